@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SCORE_SLICES = 256
+INF = float("inf")
 
 
 def _cells(df: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -67,12 +69,10 @@ def roc_auc(df: DataFrame, label: str = "riesgo", score: str = "probabilidad_alt
     groups = scored.groupBy(F.col(score).cast("double").alias("score")).agg(
         F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")
     )
-    cuts = groups.agg(
-        F.percentile_approx("score", [i / SCORE_SLICES for i in range(1, SCORE_SLICES)], 1000).alias("c")
-    ).scalar()
-    sliced = groups.withColumn("cuts", cuts).withColumn(
-        "slice", F.size(F.filter("cuts", lambda c: c <= F.col("score")))
-    ).drop("cuts")
+    shares = [i / SCORE_SLICES for i in range(1, SCORE_SLICES)]
+    cuts = sorted(set(groups.approxQuantile("score", shares, 0.001)))  # a few hundred numbers
+    splits = [-INF, *[c for c in cuts if abs(c) != INF], INF]
+    sliced = Bucketizer(splits=splits, inputCol="score", outputCol="slice").transform(groups)
     totals = sliced.groupBy("slice").agg(F.sum("neg").alias("in_slice"))
     earlier = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(  # at most SCORE_SLICES rows

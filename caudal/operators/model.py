@@ -147,7 +147,9 @@ def train(
         featuresCol="features", labelCol=LABEL, weightCol="peso", numTrees=trees,
         maxDepth=depth, seed=seed, probabilityCol="probability",
     )
-    return Pipeline(stages=[*_encoders(rows, max_levels), forest]).fit(rows)
+    # The copy leaves the training summary behind, which holds the session and cannot be shipped
+    # to executors once the session has observed metrics.
+    return Pipeline(stages=[*_encoders(rows, max_levels), forest]).fit(rows).copy()
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:

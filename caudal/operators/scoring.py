@@ -98,10 +98,10 @@ def _shown(column: str, numeric: bool) -> Column:
     value = F.col(column)
     if not numeric:
         return F.coalesce(value.cast("string"), F.lit("nan"))
-    number = value.cast("double")
+    number = F.round(value.cast("double"), 2)
     whole = number == F.floor(number)
     return F.when(whole, F.floor(number).cast("string")).otherwise(
-        F.coalesce(F.format_string("%.2f", F.round(number, 2)), F.lit("nan"))
+        F.coalesce(F.format_string("%.2f", number), F.lit("nan"))
     )
 
 

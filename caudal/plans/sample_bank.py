@@ -25,7 +25,7 @@ def usuarios(spark: SparkSession, sf_dir: str) -> DataFrame:
         "concat('Ciudad ', c_nationkey) as ciudad_residencia",
         "cast(date_sub(date'2002-01-01', cast(6570 + k * 53 % 20800 as int)) as string) as fecha_de_nacimiento",
         "array('Ingeniero', 'Médica', 'Abogado', 'Diseñador ', null, 'Electricista', 'N/A')[k % 7] as profesion",
-        "cast(greatest(c_acctbal, 0) * 1500 as string) as ingreso_mensual_estimado",
+        "cast(cast(greatest(c_acctbal, 0) * 1500 as decimal(18, 2)) as string) as ingreso_mensual_estimado",
         "array(' Empleado', 'Independiente', 'Desempleado', 'Estudiante', 'Pensionado', null)[k % 6] as estado_laboral",
         "array('Primaria', 'Secundaria', ' Técnico', 'Universitario', 'Postgrado', 'Ninguno', null, 'Doctorado')[k % 8]"
         " as nivel_educativo",
@@ -44,7 +44,7 @@ def cuentas(spark: SparkSession, sf_dir: str) -> DataFrame:
         "array('Ahorros', 'Corriente', 'Nómina', null)[k % 4] as tipo_cuenta",
         "if(k % 307 = 306, 'bad', concat(date_format(o_orderdate, 'yyyy-MM-dd'), "
         "array('T00:00:00', 'T23:30:00.5')[k % 2])) as fecha_apertura",
-        "if(k % 97 = 96, 'x', cast(o_totalprice * 55 - 500000 as string)) as saldo_actual",
+        "if(k % 97 = 96, 'x', cast(cast(o_totalprice * 55 - 500000 as decimal(18, 2)) as string)) as saldo_actual",
         "' cop ' as moneda",
         "case o_orderstatus when 'O' then 'Activa' when 'F' then ' Inactiva' when 'P' then 'Bloqueada' end"
         " as estado_cuenta",
@@ -57,7 +57,7 @@ def transacciones(spark: SparkSession, sf_dir: str) -> DataFrame:
         "concat(o, '-', n) as transaction_id",
         "if(o % 41 = 40, 'N/A', cast(o as string)) as account_id",
         "cast(l_suppkey as string) as user_id",
-        "if((o + n) % 113 = 112, 'x', cast(l_extendedprice * l_quantity as string)) as monto",
+        "if((o + n) % 113 = 112, 'x', cast(cast(l_extendedprice * l_quantity as decimal(18, 2)) as string)) as monto",
         "concat(date_format(l_shipdate, 'yyyy-MM-dd'), 'T', lpad((o * 7 + n) % 24, 2, '0'), ':15:00') as fecha",
         "array('Compra', 'Transferencia Enviada', 'Transferencia Recibida', 'Pago Servicio', 'Retiro ATM', "
         "'Depósito', 'Pago Préstamo', 'Salario', 'Nómina', null, ' Ajuste ', 'Transferencia')[(o + n) % 12]"
@@ -77,11 +77,11 @@ def prestamos(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urgent.withColumnRenamed("o_orderkey", "k").selectExpr(
         "cast(k as string) as loan_id",
         "cast(o_custkey as string) as user_id",
-        "if(k % 29 = 28, 'x', cast(o_totalprice * 100 as string)) as monto_otorgado",
-        "if(k % 31 = 30, '-1', cast(10 + (k % 250) / 10 as string)) as tasa_interes_anual",
+        "if(k % 29 = 28, 'x', cast(cast(o_totalprice * 100 as decimal(18, 2)) as string)) as monto_otorgado",
+        "if(k % 31 = 30, '-1', cast(cast(10 + (k % 250) / 10 as decimal(6, 1)) as string)) as tasa_interes_anual",
         "array('12', '24', '36', '48', '60', '72')[k % 6] as plazo_meses",
         "date_format(o_orderdate, 'yyyy-MM-dd') as fecha_desembolso",
-        "cast(o_totalprice as string) as cuota_mensual",
+        "cast(cast(o_totalprice as decimal(18, 2)) as string) as cuota_mensual",
         "array('Activo', 'Pagado', 'En Mora', null, 'Castigado')[k % 5] as estado_prestamo",
         "array('Libre Inversión', 'Compra Vehículo', 'Educación', 'Vivienda', 'Deuda', null, 'Viaje')[k % 7] as proposito",
     )
@@ -113,7 +113,16 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
             when event_id % 19 = 18 then null
             when event_id % 23 = 22 then concat('{"edad": ', user_id)
             when event_id % 5 = 4 then concat('{"edad": ', user_id % 70, '}')
-            else concat('{"edad": ', user_id % 70, ', "ingreso_mensual_estimado": ', value, '00000',
+            when event_id % 29 = 28 then to_json(named_struct(
+                'edad', user_id % 70, 'ingreso_mensual_estimado', 1500000, 'numero_dependientes', 1,
+                'tiene_dependientes', 1, 'vivienda_propia', 0, 'antiguedad_cliente', event_id % 9,
+                'num_total_cuentas', 2, 'saldo_total_en_cuentas', 5000000.5, 'promedio_transacciones_por_cuenta', 4,
+                'monto_total_movido_por_usuario', 100000, 'num_total_prestamos', event_id % 3,
+                'monto_total_prestado', 0, 'promedio_monto_prestamo', 0, 'ciudad_residencia', 'CALI',
+                'rango_edad', '26-35', 'profesion', 'MEDICA', 'categoria_ingresos', 'BAJOS',
+                'estado_laboral', 'EMPLEADO', 'nivel_educativo', 'OTRO', 'estado_civil', 'VIUDO(A)',
+                'tipo_vivienda', 'FAMILIAR'))
+            else concat('{"edad": ', user_id % 70, ', "ingreso_mensual_estimado": ', cast(floor(value * 100000) as bigint),
                 ', "estado_laboral": " ', array('Estudiante', 'empleado', 'Pensionado')[event_id % 3],
                 '", "numero_dependientes": ', event_id % 3, ', "tipo_vivienda": "Propia", "num_total_prestamos": ',
                 event_id % 4, '}')

@@ -21,11 +21,17 @@ def is_text(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, T.StringType)
 
 
+def _java_suffix(column: Column) -> Column:
+    """Ends like ``1.0d`` or ``1.0f``, which Java takes as numbers; ``inf`` is none of these."""
+    last = F.upper(F.right(F.rtrim(column), F.lit(2)))
+    return last.endswith("D") | (last.endswith("F") & ~last.endswith("NF"))
+
+
 def number(column: Column, text: bool = True) -> Column:
-    """Double or null. Java's ``1.0d`` / ``1.0f`` spellings are not numbers here."""
+    """Double or null."""
     value = column.try_cast("double")
     if text:
-        value = F.when(~column.rlike(r"[0-9.][dDfF]\s*$"), value)
+        value = F.when(~_java_suffix(column), value)
     return F.when(~F.isnan(value), value)
 
 
@@ -42,4 +48,5 @@ def timestamp(column: Column, text: bool = True) -> Column:
     """Any ISO shape, judged row by row. A bare time of day is not a timestamp."""
     if not text:
         return column.cast("timestamp")
-    return F.when(column.rlike(r"^\s*[0-9]{4}"), F.try_to_timestamp(column))
+    bare_time = F.instr(F.ltrim(column), ":").between(1, 8)
+    return F.when(~bare_time, F.try_to_timestamp(column))

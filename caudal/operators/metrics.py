@@ -33,24 +33,30 @@ def _ratio(part: Column, whole: Column) -> Column:
     return F.coalesce(part / F.nullif(whole, F.lit(0)), F.lit(0.0))
 
 
-def classification_report(
-    df: DataFrame, label: str = "riesgo", prediction: str = "prediction"
-) -> DataFrame:
-    """Precision, recall, F1 and support per class, plus macro and weighted averages."""
-    cells = _cells(df, label, prediction)
+def _class_scores(cells: DataFrame) -> DataFrame:
+    """Precision, recall, F1 and support of both classes next to the cells."""
     columns = {}
     for k, hit, false_hit, miss in ((0, "c00", "c10", "c01"), (1, "c11", "c01", "c10")):
         columns[f"p{k}"] = _ratio(F.col(hit), F.col(hit) + F.col(false_hit))
         columns[f"r{k}"] = _ratio(F.col(hit), F.col(hit) + F.col(miss))
         columns[f"s{k}"] = F.col(hit) + F.col(miss)
-    scores = cells.select(*[c.alias(n) for n, c in columns.items()])
-    scores = scores.withColumns(
+    scores = cells.withColumns(columns)
+    return scores.withColumns(
         {f"f{k}": _ratio(2 * F.col(f"p{k}") * F.col(f"r{k}"), F.col(f"p{k}") + F.col(f"r{k}"))
          for k in (0, 1)}
     ).withColumn("s", F.col("s0") + F.col("s1"))
-    macro = ", ".join(f"({m}0 + {m}1) / 2" for m in "prf")
-    weighted = ", ".join(f"coalesce(({m}0 * s0 + {m}1 * s1) / nullif(s, 0), 0d)" for m in "prf")
-    return scores.selectExpr(
+
+
+def _averages(m: str) -> tuple[str, str]:
+    return f"({m}0 + {m}1) / 2", f"coalesce(({m}0 * s0 + {m}1 * s1) / nullif(s, 0), 0d)"
+
+
+def classification_report(
+    df: DataFrame, label: str = "riesgo", prediction: str = "prediction"
+) -> DataFrame:
+    """Precision, recall, F1 and support per class, plus macro and weighted averages."""
+    macro, weighted = (", ".join(v) for v in zip(*map(_averages, "prf")))
+    return _class_scores(_cells(df, label, prediction)).selectExpr(
         f"stack(4, '0', p0, r0, f0, s0, '1', p1, r1, f1, s1, "
         f"'macro avg', {macro}, s, 'weighted avg', {weighted}, s) "
         "as (clase, precision, recall, f1, support)"
@@ -95,19 +101,19 @@ def evaluation(
     prediction: str = "prediction",
     score: str = "probabilidad_alto_riesgo",
 ) -> DataFrame:
-    """All figures in one long table ``(metrica, clase, valor)``, ready for an audit log."""
-    none = F.lit(None).cast("string")
-    report = classification_report(df, label, prediction).selectExpr(
-        "stack(4, 'precision', clase, precision, 'recall', clase, recall, 'f1', clase, f1, "
-        "'support', clase, cast(support as double)) as (metrica, clase, valor)"
-    )
-    cells = confusion_matrix(df, label, prediction).select(
-        F.lit("confusion").alias("metrica"),
-        F.format_string("%d->%d", "real", "predicho").alias("clase"),
-        F.col("n").cast("double").alias("valor"),
+    """All figures in one long table ``(metrica, clase, valor)``, ready for an audit log.
+
+    Everything but the area under the curve follows from one scan for the four cells.
+    """
+    rows = ["'accuracy', null, (c00 + c11) / nullif(s, 0)"]
+    for name, m in (("precision", "p"), ("recall", "r"), ("f1", "f")):
+        macro, weighted = _averages(m)
+        rows += [f"'{name}', '0', {m}0", f"'{name}', '1', {m}1",
+                 f"'{name}', 'macro avg', {macro}", f"'{name}', 'weighted avg', {weighted}"]
+    rows += [f"'support', '{k}', cast(s{k} as double)" for k in (0, 1)]
+    rows += [f"'confusion', '{a}->{b}', cast(c{a}{b} as double)" for a in (0, 1) for b in (0, 1)]
+    figures = _class_scores(_cells(df, label, prediction)).selectExpr(
+        f"stack({len(rows)}, {', '.join(rows)}) as (metrica, clase, valor)"
     )
-    acc = accuracy(df, label, prediction).select(
-        F.lit("accuracy").alias("metrica"), none.alias("clase"), F.col("accuracy").alias("valor"))
-    auc = roc_auc(df, label, score).select(
-        F.lit("roc_auc").alias("metrica"), none.alias("clase"), F.col("roc_auc").alias("valor"))
-    return acc.unionByName(auc).unionByName(report).unionByName(cells)
+    auc = roc_auc(df, label, score).selectExpr("'roc_auc' as metrica", "string(null) as clase", "roc_auc as valor")
+    return figures.unionByName(auc)

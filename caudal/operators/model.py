@@ -70,18 +70,20 @@ def feature_profile(df: DataFrame) -> DataFrame:
 
 
 def class_quotas(df: DataFrame, label: str = LABEL, share: float = TEST_SHARE) -> DataFrame:
-    """Test rows per class: ceil(share * rows) in total, split by largest remainder."""
+    """Test rows per class: ceil(share * rows) in total, split by largest remainder.
+
+    The windows run over one row per class.
+    """
     counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n"))
-    total = counts.select(F.sum("n")).scalar()
-    wanted = F.ceil(total * share)
-    ideal = counts.select(label, "n", (F.col("n") * wanted / total).alias("ideal"))
+    every = Window.partitionBy()
+    total = F.sum("n").over(every)
+    ideal = counts.withColumn("wanted", F.ceil(total * share)).withColumn(
+        "ideal", F.col("n") * F.col("wanted") / total
+    )
     floors = ideal.withColumn("base", F.floor("ideal").cast("bigint"))
-    missing = wanted - floors.select(F.sum("base")).scalar()
     order = Window.orderBy(F.desc(F.col("ideal") - F.col("base")), F.col(label))
-    return floors.withColumn("rank", F.row_number().over(order)).select(
-        label, "n",
-        (F.col("base") + F.when(F.col("rank") <= missing, 1).otherwise(0)).alias("quota"),
-    )
+    extra = F.row_number().over(order) <= F.col("wanted") - F.sum("base").over(every)
+    return floors.select(label, "n", (F.col("base") + extra.cast("bigint")).alias("quota"))
 
 
 def stratified_split(
@@ -94,12 +96,11 @@ def stratified_split(
 
 
 def with_class_weight(df: DataFrame, label: str = LABEL) -> DataFrame:
-    """Weight n / (classes * n_class); the class table has one row per class."""
+    """Weight n / (classes * n_class). The table of weights has one row per class."""
     counts = df.groupBy(label).agg(F.count("*").alias("_n"))
-    total = counts.select(F.sum("_n")).scalar()
-    classes = counts.select(F.count("*")).scalar()
-    weights = counts.select(label, (total / (classes * F.col("_n"))).alias("peso"))
-    return df.join(F.broadcast(weights), label)
+    every = Window.partitionBy()
+    weight = F.sum("_n").over(every) / (F.count("*").over(every) * F.col("_n"))
+    return df.join(F.broadcast(counts.select(label, weight.alias("peso"))), label)
 
 
 def prepare(df: DataFrame) -> DataFrame:

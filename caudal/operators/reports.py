@@ -45,22 +45,25 @@ def key_figures(df: DataFrame) -> DataFrame:
     )
 
 
-def frequencies(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Counts per value for all columns in one scan; nulls are left out."""
-    columns = columns or [c for c in FREQUENCY_COLUMNS if c in df.columns]
+def _per_value(df: DataFrame, columns: list[str], *measures: Column) -> DataFrame:
+    """Measures per value of each column, ``(columna, valor, ...)``, in one scan; nulls left out."""
     keys = [F.col(c) for c in columns]
-    counted = df.groupingSets([[k] for k in keys], *keys).agg(
-        F.count("*").alias("n"),
-        *[F.grouping(k).alias(f"_off_{c}") for k, c in zip(keys, columns)],
+    grouped = df.groupingSets([[k] for k in keys], *keys).agg(
+        *measures, *[F.grouping(k).alias(f"_off_{c}") for k, c in zip(keys, columns)]
     )
     which, value = F, F
     for c in columns:
-        which = which.when(F.col(f"_off_{c}") == 0, F.lit(c))
-        value = value.when(F.col(f"_off_{c}") == 0, F.col(c).cast("string"))
-    return (
-        counted.select(which.alias("columna"), value.alias("valor"), "n")
-        .where(F.col("valor").isNotNull())
-    )
+        mine = F.col(f"_off_{c}") == 0
+        which = which.when(mine, F.lit(c))
+        value = value.when(mine, F.col(c).cast("string"))
+    named = grouped.withColumns({"columna": which, "valor": value})
+    return named.drop(*columns, *[f"_off_{c}" for c in columns]).where(F.col("valor").isNotNull())
+
+
+def frequencies(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Counts per value for all columns."""
+    columns = columns or [c for c in FREQUENCY_COLUMNS if c in df.columns]
+    return _per_value(df, columns, F.count("*").alias("n")).select("columna", "valor", "n")
 
 
 def by_frequency(freq: DataFrame) -> DataFrame:
@@ -75,18 +78,16 @@ def by_category(freq: DataFrame, column: str) -> DataFrame:
     )
 
 
-def risk_crosstab(df: DataFrame, by: str) -> DataFrame:
-    """Percent of high and low risk within each value of ``by``; rows add up to 100."""
-    labels = ["Alto Riesgo", "Bajo Riesgo"]
-    counts = (
-        with_risk_text(df).where(F.col(by).isNotNull())
-        .groupBy(by).pivot("riesgo_etiqueta", labels).count().fillna(0, labels)
+def risk_crosstab(df: DataFrame, by: list[str]) -> DataFrame:
+    """Percent of high and low risk within each value of the columns; rows add up to 100."""
+    counts = _per_value(
+        df, by, F.count_if(F.col(schemas.LABEL) == 1).alias("high"), F.count("*").alias("n")
     )
-    total = F.col(labels[0]) + F.col(labels[1])
+    low = F.col("n") - F.col("high")
     return counts.select(
-        by,
-        (F.col(labels[0]) / total * 100).alias("alto_riesgo_pct"),
-        (F.col(labels[1]) / total * 100).alias("bajo_riesgo_pct"),
+        "columna", "valor",
+        (F.col("high") / F.col("n") * 100).alias("alto_riesgo_pct"),
+        (low / F.col("n") * 100).alias("bajo_riesgo_pct"),
     )
 
 
@@ -104,27 +105,40 @@ def _bin_number(value: Column, low: Column, high: Column, count: int) -> Column:
     )
 
 
-def histogram(df: DataFrame, column: str, count: int | None = None) -> DataFrame:
-    """Equal-width bins from minimum to maximum, the last one closed, empty bins included."""
-    count = count or HISTOGRAMS[column]
-    values = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("x"))
-    bounds = values.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    widen = F.when(F.col("lo") == F.col("hi"), F.lit(0.5)).otherwise(F.lit(0.0))
-    bounds = bounds.select((F.col("lo") - widen).alias("lo"), (F.col("hi") + widen).alias("hi"))
-    low, high = bounds.select("lo").scalar(), bounds.select("hi").scalar()
-    counted = (
-        values.groupBy(_bin_number(F.col("x"), low, high, count).cast("int").alias("bin"))
-        .agg(F.count("*").alias("n"))
-    )
-    spine = bounds.where(F.col("lo").isNotNull()).select(
-        "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias("bin")
-    )
-    step = (F.col("hi") - F.col("lo")) / F.lit(count)
-    return spine.join(counted, "bin", "left").select(
-        F.lit(column).alias("columna"),
-        "bin",
-        (F.col("lo") + F.col("bin") * step).alias("desde"),
-        (F.col("lo") + (F.col("bin") + 1) * step).alias("hasta"),
+def histograms(df: DataFrame, bins_of: dict[str, int] = HISTOGRAMS) -> DataFrame:
+    """Equal-width bins from minimum to maximum per column, last bin closed, empty bins included.
+
+    One scan finds all bounds, a second one counts the bins of all columns.
+    """
+    values = df.select(*[F.col(c).cast("double").alias(c) for c in bins_of])
+
+    def bound(function, c: str, other, by: float) -> Column:
+        flat = function(c) == other(c)
+        return function(c) + F.when(flat, F.lit(by)).otherwise(F.lit(0.0))
+
+    # one row; a column with a single value gets bounds half a unit around it
+    bounds = values.agg(*[
+        F.struct(bound(F.min, c, F.max, -0.5).alias("lo"), bound(F.max, c, F.min, 0.5).alias("hi")).alias(c)
+        for c in bins_of
+    ])
+    limits = bounds.select(F.struct(*bins_of).alias("limits")).scalar()
+    numbered = values.select(*[
+        _bin_number(F.col(c), limits[c]["lo"], limits[c]["hi"], n).cast("int").alias(c)
+        for c, n in bins_of.items()
+    ])
+    counted = _per_value(numbered, list(bins_of), F.count("*").alias("n"))
+    edges = F.array(*[
+        F.struct(F.lit(c).alias("columna"), F.lit(n).alias("bins"), F.col(c)["lo"].alias("lo"), F.col(c)["hi"].alias("hi"))
+        for c, n in bins_of.items()
+    ])
+    spine = bounds.select(F.inline(edges)).where(F.col("lo").isNotNull()).select(
+        "columna", "lo", ((F.col("hi") - F.col("lo")) / F.col("bins")).alias("step"),
+        F.explode(F.sequence(F.lit(0), F.col("bins") - 1)).alias("bin"),
+    ).withColumn("valor", F.col("bin").cast("string"))
+    return spine.join(counted, ["columna", "valor"], "left").select(
+        "columna", "bin",
+        (F.col("lo") + F.col("bin") * F.col("step")).alias("desde"),
+        (F.col("lo") + (F.col("bin") + 1) * F.col("step")).alias("hasta"),
         F.coalesce("n", F.lit(0)).cast("bigint").alias("n"),
     )
 
@@ -135,8 +149,9 @@ def detail(df: DataFrame, rows: int = DETAIL_ROWS) -> DataFrame:
     return shown.orderBy("user_id").limit(rows)
 
 
-def options(df: DataFrame, column: str) -> DataFrame:
-    """Observed values and the fixed choices, each once, sorted."""
-    observed = df.where(F.col(column).isNotNull()).select(F.col(column).alias("opcion")).distinct()
-    fixed = df.sparkSession.createDataFrame([(o,) for o in OPTIONS[column]], "opcion string")
-    return observed.unionByName(fixed).distinct().orderBy("opcion")
+def options(df: DataFrame, columns: tuple = tuple(OPTIONS)) -> DataFrame:
+    """Observed values and the fixed choices of each column, each once, sorted."""
+    fixed = [(c, choice) for c in columns for choice in OPTIONS[c]]
+    observed = frequencies(df, list(columns)).select("columna", F.col("valor").alias("opcion"))
+    choices = df.sparkSession.createDataFrame(fixed, "columna string, opcion string")
+    return observed.unionByName(choices).distinct().orderBy("columna", "opcion")

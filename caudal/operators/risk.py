@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from caudal.schemas import LABEL
 
@@ -33,5 +33,5 @@ def with_risk(df: DataFrame, rule_column: str | None = None) -> DataFrame:
 def label_share(df: DataFrame, label: str = LABEL) -> DataFrame:
     """Share of each label value among rows that have one."""
     counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n"))
-    total = counts.select(F.sum("n")).scalar()
+    total = F.sum("n").over(Window.partitionBy())  # over one row per label value
     return counts.select(label, "n", (F.col("n") / total).alias("share"))

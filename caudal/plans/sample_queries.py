@@ -413,24 +413,12 @@ query("o2_by_frequency")(lambda spark, sf_dir: reports.by_frequency(_frequencies
 query("o1_by_category")(lambda spark, sf_dir: reports.by_category(_frequencies(spark, sf_dir), "categoria_ingresos"))
 
 
-@query("a7_risk_crosstab")
-def _(spark, sf_dir):
-    rows = labelled(spark, sf_dir)
-    tables_ = [
-        reports.risk_crosstab(rows, by).select(
-            F.lit(by).alias("columna"), F.col(by).alias("valor"),
-            F.round("alto_riesgo_pct", 4).alias("alto_riesgo_pct"),
-            F.round("bajo_riesgo_pct", 4).alias("bajo_riesgo_pct"))
-        for by in ("categoria_ingresos", "rango_edad")
-    ]
-    return tables_[0].unionByName(tables_[1])
-
+query("a7_risk_crosstab")(lambda spark, sf_dir: reports.risk_crosstab(
+    labelled(spark, sf_dir), ["categoria_ingresos", "rango_edad"]
+).transform(rounded, money("alto_riesgo_pct", "bajo_riesgo_pct", digits=4)))
 
-@query("a8_histogram")
-def _(spark, sf_dir):
-    users = gold(spark, sf_dir, "usuarios")
-    parts = [reports.histogram(users, c) for c in reports.HISTOGRAMS]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).transform(rounded, money("desde", "hasta", digits=4))
+query("a8_histogram")(lambda spark, sf_dir: reports.histograms(
+    gold(spark, sf_dir, "usuarios")).transform(rounded, money("desde", "hasta", digits=4)))
 
 
 @query("a9_collect_accounts")
@@ -472,11 +460,7 @@ def _(spark, sf_dir):
         rounded, money("saldo_total_en_cuentas", "monto_total_prestado"))
 
 
-@query("u1_options")
-def _(spark, sf_dir):
-    users = gold(spark, sf_dir, "usuarios")
-    parts = [reports.options(users, c).select(F.lit(c).alias("columna"), "opcion") for c in reports.OPTIONS]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+query("u1_options")(lambda spark, sf_dir: reports.options(gold(spark, sf_dir, "usuarios")))
 
 
 # --- model ---------------------------------------------------------------------------------------
@@ -508,7 +492,8 @@ def _(spark, sf_dir):
 
 
 def _split(spark, sf_dir):
-    return model.stratified_split(labelled(spark, sf_dir).select("user_id", "riesgo"))
+    rows = training.materialise(spark, labelled(spark, sf_dir).select("user_id", "riesgo"), "labels")
+    return model.stratified_split(rows)
 
 
 query("m7_split")(_split)

@@ -8,6 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from caudal.operators import features, metrics, model, risk
+from caudal.schemas import LABEL
 from caudal.session import scratch_dir
 from caudal.sources import tables
 
@@ -35,7 +36,9 @@ def fit_and_evaluate(spark: SparkSession, table: DataFrame, model_path: str | No
     """Split, train on three quarters, evaluate on the rest, store the fitted pipeline."""
     split = materialise(spark, model.stratified_split(materialise(spark, table, "features")), "split")
     fitted = model.train(split.where(~F.col("es_prueba")), **settings)
-    tested = model.predict(fitted, split.where("es_prueba"))
+    tested = model.predict(fitted, split.where("es_prueba")).select(
+        LABEL, "prediccion_numerica", "probabilidad_alto_riesgo")
+    tested = materialise(spark, tested, "tested")
     figures = metrics.evaluation(tested, prediction="prediccion_numerica")
     if model_path:
         model.save(fitted, model_path)

@@ -13,6 +13,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The JVM never compiles methods above 8,000 bytes; wide rule projections would be interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -63,7 +63,7 @@ def load_gold(spark: SparkSession, path: str, entity: str, nanos: bool = False)
     try:
         found = spark.read.parquet(path)
     except (AnalysisException, PySparkException) as problem:
-        log.warning("gold table %s is taken as empty: %s", path, problem)
+        log.warning("gold table %s is taken as empty: %s", path, str(problem).splitlines()[0])
         return spark.createDataFrame([], schema)
     have = {f.name: f.dataType for f in found.schema}
     columns = []

@@ -95,7 +95,8 @@ def _bin_number(value: Column, low: Column, high: Column, count: int) -> Column:
     """0-based bin. Rounding of the quotient is put right by a look at the edges themselves."""
     n = F.lit(count)
     step = (high - low) / n
-    guess = F.least(F.floor((value - low) / (high - low) * n), F.lit(count - 1))
+    guess = F.floor((value - low) / (high - low) * n)
+    guess = F.when(guess >= count, F.lit(count - 1)).otherwise(guess)
     edge = low + guess * step
     next_edge = low + (guess + 1) * step
     return (

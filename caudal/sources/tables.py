@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.errors import AnalysisException, PySparkException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, types as T, functions as F
 
 from caudal import schemas
@@ -62,7 +63,7 @@ def load_gold(spark: SparkSession, path: str, entity: str, nanos: bool = False)
         spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
     try:
         found = spark.read.parquet(path)
-    except (AnalysisException, PySparkException) as problem:
+    except (PySparkException, Py4JJavaError) as problem:
         log.warning("gold table %s is taken as empty: %s", path, str(problem).splitlines()[0])
         return spark.createDataFrame([], schema)
     have = {f.name: f.dataType for f in found.schema}

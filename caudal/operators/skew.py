@@ -8,23 +8,31 @@ SALTS = 64              # pieces a heavy key is cut into
 MIN_SHARE = 0.002       # share of all rows from which a key counts as heavy
 MIN_ROWS = 1_000_000    # keys below this many rows never matter
 TRACKED = 2048          # size of the heavy-hitter sketch, independent of the data
+MERGERS = 256           # sketches are merged in two steps, first into this many
 
 
-def heavy_keys(df: DataFrame, key: Column, min_rows: int = MIN_ROWS) -> DataFrame:
-    """One row with the array of heavy key hashes.
+def heavy_keys(df: DataFrame, key: Column, min_rows: int = MIN_ROWS) -> list[int]:
+    """Hashes of the keys that hold a large share of the rows.
 
-    A frequent-items sketch finds them in one scan without shuffling the keys. It holds at most
-    ``TRACKED`` items, and at most ``1 / MIN_SHARE`` keys can pass the threshold, so the result is
-    bounded whatever the data. It only steers the salting: results never depend on it.
+    A frequent-items sketch finds them in one scan of the key columns without shuffling the keys.
+    At most ``1 / MIN_SHARE`` = 500 keys can pass the threshold, so the list that reaches the
+    driver is bounded whatever the data. It is fetched once and used as a constant: both sides of
+    a join must see the very same list, and two runs of a sketch need not agree on borderline keys.
     """
-    found = df.select(
-        F.call_function("approx_top_k", key, F.lit(500), F.lit(TRACKED)).alias("top"),
-        F.count(key).alias("n"),
+    partial = df.groupBy((F.spark_partition_id() % MERGERS).alias("part")).agg(
+        F.call_function("approx_top_k_accumulate", key, F.lit(TRACKED)).alias("sketch"),
+        F.count("*").alias("n"),
     )
-    limit = F.greatest(F.col("n") * MIN_SHARE, F.lit(float(min_rows)))
-    return found.select(
-        F.transform(F.filter("top", lambda t: t["count"] >= limit), lambda t: t["item"]).alias("keys")
+    # grouped by a constant, so that an empty table gives no row instead of an empty sketch
+    merged = partial.groupBy(F.lit("all")).agg(
+        F.call_function("approx_top_k_combine", F.col("sketch"), F.lit(TRACKED)).alias("sketch"),
+        F.sum("n").alias("n"),
     )
+    found = merged.select(
+        F.call_function("approx_top_k_estimate", F.col("sketch"), F.lit(int(1 / MIN_SHARE))).alias("top"), "n"
+    ).select(F.inline("top"), "n")
+    limit = F.greatest(F.col("n") * MIN_SHARE, F.lit(float(min_rows)))
+    return [r["item"] for r in found.where(F.col("count") >= limit).select("item").collect()]
 
 
 def spread_left_join(
@@ -38,11 +46,11 @@ def spread_left_join(
 
     Rows of a heavy key, and rows whose key is null, get a salt taken from ``spread_by``; the
     heavy keys' rows on the right are repeated once per salt. All other keys keep salt 0 and join
-    as usual. Exact for any salting: a left row has one salt, and its match exists for each salt.
+    as usual. Exact for any list of heavy keys: a left row has one salt, and its match exists for
+    each salt. Looking for heavy keys runs one small job on the key columns of ``left``.
     """
     key = F.xxhash64(*on)
-    keys = heavy_keys(left.select(*on), key, min_rows).scalar()
-    heavy = F.coalesce(F.array_contains(keys, key), F.lit(False))
+    heavy = key.isin(heavy_keys(left.select(*on), key, min_rows))
     no_key = F.lit(False)
     for c in on:
         no_key = no_key | F.col(c).isNull()

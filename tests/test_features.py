@@ -84,10 +84,22 @@ def test_spread_join_equals_plain_join(spark):
 
 def test_spread_join_spreads_the_heavy_key(spark):
     _, _, l, r = skewed(spark)
-    keys = skew.heavy_keys(l.select("k"), F.xxhash64("k"), 1000).first()[0]
+    keys = skew.heavy_keys(l.select("k"), F.xxhash64("k"), 1000)
     assert keys == [spark.sql("select xxhash64('hot')").first()[0]]
-    plan = skew.spread_left_join(l, r, ["k"], ["id"], 1000)._jdf.queryExecution().toString()
-    assert "_salt" in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+    assert skew.heavy_keys(l.select("k"), F.xxhash64("k")) == []
+    assert skew.heavy_keys(l.where("id < 0").select("k"), F.xxhash64("k")) == []
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = skew.spread_left_join(l, r, ["k"], ["id"], 1000)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin [k" in plan and plan.count("_salt") > 4
+        largest = joined.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        plain = l.join(r, "k", "left").groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert largest < 0.4 * l.count() < plain
 
 
 def test_account_list_and_pick(spark):

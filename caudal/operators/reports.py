@@ -91,52 +91,34 @@ def risk_crosstab(df: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
-def _bin_number(value: Column, low: Column, high: Column, count: int) -> Column:
-    """0-based bin. Rounding of the quotient is put right by a look at the edges themselves."""
-    n = F.lit(count)
-    step = (high - low) / n
-    guess = F.floor((value - low) / (high - low) * n)
-    guess = F.when(guess >= count, F.lit(count - 1)).otherwise(guess)
-    edge = low + guess * step
-    next_edge = low + (guess + 1) * step
-    return (
-        F.when(value < edge, guess - 1)
-        .when((value >= next_edge) & (guess < count - 1), guess + 1)
-        .otherwise(guess)
-    )
-
-
 def histograms(df: DataFrame, bins_of: dict[str, int] = HISTOGRAMS) -> DataFrame:
     """Equal-width bins from minimum to maximum per column, last bin closed, empty bins included.
 
-    One scan finds all bounds, a second one counts the bins of all columns.
+    One scan finds all bounds, a second one counts the bins of all columns. A value's bin comes
+    from a quotient, whose rounding is put right by a look at the edges themselves.
     """
     values = df.select(*[F.col(c).cast("double").alias(c) for c in bins_of])
-
-    def bound(function, c: str, other, by: float) -> Column:
-        flat = function(c) == other(c)
-        return function(c) + F.when(flat, F.lit(by)).otherwise(F.lit(0.0))
-
-    # one row; a column with a single value gets bounds half a unit around it
-    bounds = values.agg(*[
-        F.struct(bound(F.min, c, F.max, -0.5).alias("lo"), bound(F.max, c, F.min, 0.5).alias("hi")).alias(c)
-        for c in bins_of
-    ])
-    limits = bounds.select(F.struct(*bins_of).alias("limits")).scalar()
-    numbered = values.select(*[
-        _bin_number(F.col(c), limits[c]["lo"], limits[c]["hi"], n).cast("int").alias(c)
+    limits = values.agg(*[F.struct(F.min(c).alias("lo"), F.max(c).alias("hi")).alias(c) for c in bins_of])
+    limit = limits.select(F.struct(*bins_of)).scalar()
+    long = values.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("columna"), F.lit(n).alias("bins"), F.col(c).alias("x"),
+                 limit[c]["lo"].alias("lo"), limit[c]["hi"].alias("hi"))
         for c, n in bins_of.items()
-    ])
-    counted = _per_value(numbered, list(bins_of), F.count("*").alias("n"))
-    edges = F.array(*[
+    ]))).where(F.col("x").isNotNull())
+
+    last = F.col("bins") - 1
+    guess = F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.col("bins")).cast("int")
+    placed = _with_step(long).withColumn("bin", F.least(guess, last))
+    edge, next_edge = (F.col("lo") + (F.col("bin") + i) * F.col("step") for i in (0, 1))
+    shift = F.when(F.col("x") < edge, -1).when((F.col("x") >= next_edge) & (F.col("bin") < last), 1).otherwise(0)
+    counted = placed.groupBy("columna", (F.col("bin") + shift).alias("bin")).agg(F.count("*").alias("n"))
+
+    spine = limits.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("columna"), F.lit(n).alias("bins"), F.col(c)["lo"].alias("lo"), F.col(c)["hi"].alias("hi"))
         for c, n in bins_of.items()
-    ])
-    spine = bounds.select(F.inline(edges)).where(F.col("lo").isNotNull()).select(
-        "columna", "lo", ((F.col("hi") - F.col("lo")) / F.col("bins")).alias("step"),
-        F.explode(F.sequence(F.lit(0), F.col("bins") - 1)).alias("bin"),
-    ).withColumn("valor", F.col("bin").cast("string"))
-    return spine.join(counted, ["columna", "valor"], "left").select(
+    ]))).where(F.col("lo").isNotNull())
+    spine = _with_step(spine).withColumn("bin", F.explode(F.sequence(F.lit(0), last)))
+    return spine.join(counted, ["columna", "bin"], "left").select(
         "columna", "bin",
         (F.col("lo") + F.col("bin") * F.col("step")).alias("desde"),
         (F.col("lo") + (F.col("bin") + 1) * F.col("step")).alias("hasta"),
@@ -144,6 +126,13 @@ def histograms(df: DataFrame, bins_of: dict[str, int] = HISTOGRAMS) -> DataFrame
     )
 
 
+def _with_step(df: DataFrame) -> DataFrame:
+    """Bin width; a column with a single value gets bounds half a unit around it."""
+    half = F.when(F.col("lo") == F.col("hi"), F.lit(0.5)).otherwise(F.lit(0.0))
+    wide = df.withColumns({"lo": F.col("lo") - half, "hi": F.col("hi") + half})
+    return wide.withColumn("step", (F.col("hi") - F.col("lo")) / F.col("bins"))
+
+
 def detail(df: DataFrame, rows: int = DETAIL_ROWS) -> DataFrame:
     """First rows by user with the report's columns."""
     shown = schemas.only_existing(df, DETAIL_COLUMNS)

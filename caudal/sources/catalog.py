@@ -10,7 +10,7 @@ log = logging.getLogger(__name__)
 
 
 def register(spark: SparkSession, database: str, table: str, path: str) -> str:
-    """Creates or refreshes an external table over a Parquet folder.
+    """Creates or refreshes an external table over a Parquet folder, also when the folder moved.
 
     New columns in the files are added to the table. Columns the files no longer have are logged
     and kept.
@@ -20,6 +20,7 @@ def register(spark: SparkSession, database: str, table: str, path: str) -> str:
     if not spark.catalog.tableExists(name):
         spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
     else:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
         stored = spark.read.option("mergeSchema", True).parquet(path).schema
         known = spark.table(name).columns
         added = [f for f in stored if f.name not in known]

@@ -107,6 +107,9 @@ def test_catalog_gains_columns_and_keeps_old_ones(spark, tmp_path):
     catalog.register(spark, "test_zone", "t", path)
     got = spark.table(name)
     assert set(got.columns) == {"id", "old", "added"} and got.where("old is null").count() == 3
+    spark.range(7).selectExpr("id", "'x' as old", "id as added").write.parquet(f"{tmp_path}/moved")
+    catalog.register(spark, "test_zone", "t", f"{tmp_path}/moved")
+    assert spark.table(name).count() == 7
     spark.sql(f"DROP TABLE {name}")
 
 

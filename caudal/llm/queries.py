@@ -8,14 +8,31 @@ from pyspark.sql import functions as F
 
 from caudal.llm.common import table
 from caudal.llm.exact_dedup import exact_duplicates
+from caudal.llm.rlz_dedup import without_repeated_passages
+from caudal.llm.suffix_dedup import without_repeated_strings
+
+
+def op4_rlz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeated_passages(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    )
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeated_strings(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
+    "op4_rlz_dedup": op4_rlz_dedup,
     "op7_exact_dedup": op7_exact_dedup,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 #: DuckDB's lower() also changes other letters, so A-Z are translated.

@@ -214,6 +214,18 @@ def unpacked(blobs: list[bytes], kinds: list[str]) -> list[np.ndarray]:
     return [np.concatenate(part) if part else np.zeros(0, kind) for part, kind in zip(parts, kinds, strict=True)]
 
 
+def grouped(keys: np.ndarray, columns: list[np.ndarray]):
+    """(key, columns of its entries) for each key."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    if not len(keys):
+        return
+    cuts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])).tolist()
+    columns = [c[order] for c in columns]
+    for a, b in zip(cuts, [*cuts[1:], len(keys)], strict=True):
+        yield int(keys[a]), [c[a:b] for c in columns]
+
+
 def slices(n: int, offsets: np.ndarray, size: int):
     """Row ranges of about `size` bytes; one row at least."""
     at = 0

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caudal.llm.common import (
-    BYTE_VALUES, SPACE, gram_hashes, groups_for, mixed, packed, prefix_hashes, slices, span_hashes,
+    BYTE_VALUES, SPACE, gram_hashes, grouped, groups_for, mixed, packed, prefix_hashes, slices, span_hashes,
     stored, string_bytes, text_bytes, unpacked, word_hashes,
 )
 
@@ -139,7 +139,8 @@ def blocks(scheme: Scheme, symbols: np.ndarray, offsets: np.ndarray):
 
 def settle(scheme: Scheme, anchor, segment, doc, tag, start):
     """Of entries: the indexes of those whose anchor occurs again; and for them: repeated, contexts of
-    the anchor, first of its context (twice at most an anchor), number of the anchor."""
+    the anchor, first of its context (twice at most an anchor), number of the anchor. Last, the indexes
+    of entries of one place that another row of the same document has sent as well: all but one."""
     order = np.argsort(anchor, kind="stable")
     same = anchor[order][1:] == anchor[order][:-1]
     again = np.zeros(len(order), bool)
@@ -147,6 +148,9 @@ def settle(scheme: Scheme, anchor, segment, doc, tag, start):
     again[:-1] |= same
     index = order[again]
     index = index[np.lexsort((start[index], tag[index], doc[index], segment[index], anchor[index]))]
+    once = np.ones(len(index), bool)
+    once[1:] = np.any([c[index][1:] != c[index][:-1] for c in (anchor, segment, doc, tag, start)], axis=0)
+    twice, index = index[~once], index[once]
     a, u, d = anchor[index], segment[index], doc[index]
     new_anchor = np.concatenate([[True], a[1:] != a[:-1]])[: len(a)]
     new_context = new_anchor | np.concatenate([[True], u[1:] != u[:-1]])[: len(a)]
@@ -154,7 +158,7 @@ def settle(scheme: Scheme, anchor, segment, doc, tag, start):
     repeated = d > d[new_context][context] if scheme.other_doc else ~new_context
     contexts = np.bincount(group, weights=new_context).astype(np.int64)[group] if len(a) else np.zeros(0, np.int64)
     rank = context - context[new_anchor][group]
-    return index, repeated, contexts, new_context & (rank < 2), group
+    return index, repeated, contexts, new_context & (rank < 2), group, twice
 
 
 def part_of(doc: np.ndarray, parts: int) -> np.ndarray:
@@ -167,15 +171,6 @@ def part_column(parts: int):
     return F.coalesce(by_id, F.pmod(F.crc32(F.col("text").cast("binary")), F.lit(parts))).cast("int")
 
 
-def grouped(keys: np.ndarray, columns: list[np.ndarray]) -> Iterator[tuple[int, list[np.ndarray]]]:
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
-    cuts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else []
-    columns = [c[order] for c in columns]
-    for a, b in zip(cuts, [*cuts[1:], len(keys)], strict=True):
-        yield int(keys[a]), [c[a:b] for c in columns]
-
-
 def verdict_rows(parts: int, doc, tag, start, offset, count, state) -> list[tuple[int, int, bytes]]:
     columns = [c.astype(k) for c, k in zip((doc, tag, start, offset, count, state), VERDICT_KINDS, strict=True)]
     return [(p, int((c[5] != REPEATED).sum()), packed(*c)) for p, c in grouped(part_of(doc, parts), columns)]
@@ -194,7 +189,7 @@ def send_anchors(scheme: Scheme, parts: int):
 
     def settled(found: list[tuple]) -> Iterator[pa.RecordBatch]:
         anchor, segment, doc, tag, start, offset, count = (np.concatenate(c) for c in zip(*found, strict=True))
-        index, repeated, contexts, witness, _ = settle(scheme, anchor, segment, doc, tag, start)
+        index, repeated, contexts, witness, _, twice = settle(scheme, anchor, segment, doc, tag, start)
         spread = contexts > CONTEXTS_SENT
         state = np.full(len(doc), -1, np.int8)
         state[index[spread]] = SPREAD
@@ -207,6 +202,7 @@ def send_anchors(scheme: Scheme, parts: int):
         marked = np.zeros(len(doc), np.uint8)
         marked[index[spread]] = 1
         send = state < 0
+        send[twice] = False
         send[index[spread & witness]] = True
         columns = [c[send].astype(k) for c, k in zip((anchor, segment, doc, tag, start, offset, count, marked), ANCHOR_KINDS, strict=True)]
         rows += [(b, -1, 0, packed(*c)) for b, c in grouped((columns[0] % np.uint64(parts)).astype(np.int64), columns)]
@@ -248,7 +244,7 @@ def judge_anchors(scheme: Scheme, parts: int):
         blobs, opens = table.column("blob").to_pylist(), table.column("n_open").to_pylist()
         rows = [(int(p), n, b) for p, n, b in zip(part, opens, blobs, strict=True) if p >= 0]
         anchor, segment, doc, tag, start, offset, count, marked = unpacked([b for p, b in zip(part, blobs, strict=True) if p < 0], ANCHOR_KINDS)
-        index, repeated, contexts, _, group = settle(scheme, anchor, segment, doc, tag, start)
+        index, repeated, contexts, _, group, _ = settle(scheme, anchor, segment, doc, tag, start)
         if len(index):
             spread = (np.bincount(group, weights=marked[index]) > 0)[group] | (contexts > CONTEXTS)
             state = np.where(repeated, REPEATED, np.where(spread, SPREAD, OPEN))
@@ -322,37 +318,29 @@ def send_open(scheme: Scheme, parts: int, buckets: int):
             texts = Texts(scheme, docs)
             columns = unpacked(verdicts.column("blob").to_pylist(), VERDICT_KINDS)
             wanted = columns[5] != REPEATED
-            doc, tag, start, offset, count, state = (c[wanted] for c in columns)
-            row = texts.rows_of(doc, tag)
-            used = np.unique(row)
-            place = texts.places[row] + start  # of the first window among all symbols
-            prefix_of: dict[int, tuple[np.ndarray, int]] = {}
-            for r in used.tolist():
-                a, b = int(texts.offsets[r]), int(texts.offsets[r + 1])
-                symbols, _ = symbols_of(scheme, texts.data[a:b], np.array([0, b - a]))
-                prefix_of[r] = prefix_hashes(symbols), int(texts.places[r])
+            entries = np.unique(np.stack([c[wanted].astype(np.int64) for c in columns]), axis=1)
+            doc, tag, start, offset, count, state = entries
+            tag = tag.astype(np.uint32)
+            place = texts.places[texts.rows_of(doc, tag)]  # of the document among all symbols
+            prefix = prefix_hashes(symbols_of(scheme, texts.data, texts.offsets)[0])
             whole = np.flatnonzero(state == OPEN)
-            for i in whole.tolist():
-                prefix, base = prefix_of[int(row[i])]
-                at = int(start[i]) + int(offset[i])
-                route = int(mixed(span_hashes(prefix, np.array([at]), np.array([at + scheme.gram])))[0])
-                content = texts.content(int(place[i]), int(place[i]) + int(count[i]) - 1 + length)
-                rows.append((route % buckets, -1, route, int(doc[i]), int(tag[i]), int(start[i]), int(offset[i]), int(count[i]), content, None))
+            at = place[whole] + start[whole]
+            route = mixed(span_hashes(prefix, at + offset[whole], at + offset[whole] + scheme.gram))
+            for i, a, r in zip(whole.tolist(), at.tolist(), route.tolist(), strict=True):
+                content = texts.content(a, a + int(count[i]) - 1 + length)
+                rows.append((r % buckets, -1, r, int(doc[i]), int(tag[i]), int(start[i]), int(offset[i]), int(count[i]), content, None))
             single = np.flatnonzero(state == SPREAD)
             if len(single):
                 which = np.repeat(single, count[single])
-                first = start[which] + (np.arange(len(which)) - np.repeat(np.cumsum(count[single]) - count[single], count[single]))
-                route = np.zeros(len(which), np.uint64)
-                for r in np.unique(row[which]).tolist():
-                    mine = row[which] == r
-                    route[mine] = mixed(span_hashes(prefix_of[r][0], first[mine], first[mine] + length))
+                first = start[which] + np.arange(len(which)) - np.repeat(np.cumsum(count[single]) - count[single], count[single])
+                route = mixed(span_hashes(prefix, place[which] + first, place[which] + first + length))
                 order = np.lexsort((first, tag[which], doc[which], route))
                 which, first, route = which[order], first[order], route[order]
                 new = np.concatenate([[True], route[1:] != route[:-1]])
                 group = np.cumsum(new) - 1
                 repeated = doc[which] > doc[which][new][group] if scheme.other_doc else ~new
                 for i, s, x in zip(which[~repeated].tolist(), first[~repeated].tolist(), route[~repeated].tolist(), strict=True):
-                    at = int(texts.places[row[i]]) + s
+                    at = int(place[i]) + s
                     rows.append((x % buckets, -1, x, int(doc[i]), int(tag[i]), s, 0, 1, texts.content(at, at + length), None))
                 i, s = which[repeated], first[repeated]
                 one = np.ones(len(i), np.int64)

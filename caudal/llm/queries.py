@@ -9,9 +9,16 @@ from pyspark.sql import functions as F
 from caudal.llm.common import table
 from caudal.llm.exact_dedup import exact_duplicates
 from caudal.llm.rlz_dedup import without_repeated_passages
+from caudal.llm.simhash_dedup import near_duplicates
 from caudal.llm.suffix_dedup import without_repeated_strings
 
 
+def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).withColumn(
+        "fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    )
+
+
 def op4_rlz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeated_passages(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
@@ -30,6 +37,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_simhash_dedup": op2_simhash_dedup,
     "op4_rlz_dedup": op4_rlz_dedup,
     "op7_exact_dedup": op7_exact_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,

@@ -3,14 +3,19 @@ gives the same rows where SQL can."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caudal.llm.bpe import decoded, encoded
 from caudal.llm.common import table
+from caudal.llm.containment import contained
 from caudal.llm.exact_dedup import exact_duplicates
 from caudal.llm.rlz_dedup import without_repeated_passages
+from caudal.llm.shards import SHARDS, sharded
 from caudal.llm.simhash_dedup import near_duplicates
 from caudal.llm.suffix_dedup import without_repeated_strings
+from caudal.llm.viterbi_counts import token_counts
 
 
 def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,16 +24,38 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharded(table(spark, sf_dir, "documents"), SHARDS).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def op4_rlz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeated_passages(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
     )
 
 
+def op5_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return decoded(encoded(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN), path).select(
+        "doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeated_strings(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
@@ -38,8 +65,12 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_simhash_dedup": op2_simhash_dedup,
+    "op3_shards": op3_shards,
     "op4_rlz_dedup": op4_rlz_dedup,
+    "op5_containment": op5_containment,
+    "op6_bpe": op6_bpe,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_token_counts": op8_token_counts,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 

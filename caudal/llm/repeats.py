@@ -43,7 +43,7 @@ from caudal.llm.common import (
 BLOCK = 1 << 17
 PLACE = np.uint64((1 << 18) - 1)
 #: Anchors that a sender gathers before it passes them on.
-FLUSH = 1_000_000
+FLUSH = 500_000
 #: Contexts of one anchor in one sender, and in all, beyond which its windows are dealt out singly.
 CONTEXTS_SENT, CONTEXTS = 64, 512
 #: Bytes of text in a group of documents, and of content in a group of open segments.
@@ -216,7 +216,7 @@ def send_anchors(scheme: Scheme, parts: int):
             batch = batch.filter(batch.column(0).is_valid())
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             data, offsets = string_bytes(batch.column(1))
-            for a, b in slices(len(ids), offsets, 4 << 20):
+            for a, b in slices(len(ids), offsets, 1 << 20):
                 piece, at = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
                 tags = np.array([zlib.crc32(piece[x:y]) for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], np.uint32)
                 symbols, ends = symbols_of(scheme, piece, at)

@@ -11,6 +11,7 @@ from caudal.llm.bpe import decoded, encoded
 from caudal.llm.common import table
 from caudal.llm.containment import contained
 from caudal.llm.exact_dedup import exact_duplicates
+from caudal.llm.revisits import TRACKING, resolved_revisits
 from caudal.llm.rlz_dedup import without_repeated_passages
 from caudal.llm.shards import SHARDS, sharded
 from caudal.llm.simhash_dedup import near_duplicates
@@ -18,6 +19,41 @@ from caudal.llm.suffix_dedup import without_repeated_strings
 from caudal.llm.viterbi_counts import token_counts
 
 
+def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A capture log over the pages: each page as a full response, a revisit some weeks later that carries an ETag (a
+    stale one for every third page), and one that carries a modification date only and may come before the page. The
+    revisits spell the URL in another way."""
+    page = F.col("page_id")
+    start = F.lit(1_704_067_200) + F.pmod(page * 7919, F.lit(2_592_000))
+    etag, modified = F.md5(F.col("html").cast("binary")), F.concat(F.lit("day "), F.pmod(page, F.lit(365)).cast("string"))
+    headers = {
+        "Content-Type": F.lit("text/html"), "Content-Length": F.octet_length("html").cast("string"), "ETag": etag,
+        "Cache-Control": F.concat(F.lit("max-age="), F.pmod(page, F.lit(100)).cast("string")), "Date": start.cast("string"),
+    }
+    late, early = start + 1 + F.pmod(page * 31, F.lit(5_000_000)), start + F.pmod(page * 17, F.lit(2_000_000)) - 1_000_000
+    as_map = lambda d: F.create_map(*[x for k, v in d.items() for x in (F.lit(k), v)])
+    other = F.concat(F.regexp_replace("url", "^https?://", "HTTPS://"), F.lit("#again"))
+    stale = F.when(F.pmod(page, F.lit(3)) == 0, F.lit("stale")).otherwise(etag)
+    rows = [
+        (page * 4, F.col("url"), start, False, etag, modified, as_map(headers)),
+        (page * 4 + 1, other, late, True, F.concat(F.lit("W/"), stale), F.lit(None).cast("string"),
+         as_map({"date": late.cast("string"), "CACHE-CONTROL": F.lit("no-cache"), "Content-Length": F.lit("0")})),
+        (page * 4 + 2, other, early, True, F.lit(None).cast("string"), modified,
+         as_map({"Date": early.cast("string"), "Content-Type": F.lit("none")})),
+    ]
+    names = ["capture_id", "url", "at", "revisit", "etag", "last_modified", "headers"]
+    one = F.array(*[F.struct(*[(F.lit(v) if n == "revisit" else v).alias(n) for n, v in zip(names, r, strict=True)]) for r in rows])
+    return table(spark, sf_dir, "pages").select(F.explode(one).alias("c")).select("c.*").withColumn("at", F.timestamp_seconds("at"))
+
+
+def op1_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    header = lambda name: F.element_at("headers", name).alias(name.replace("-", "_"))
+    return resolved_revisits(captures(spark, sf_dir)).select(
+        "capture_id", "url_key", F.unix_timestamp("at").alias("captured"), "response_id", "status",
+        *[header(n) for n in ("cache-control", "content-length", "content-type", "date", "etag")],
+    )
+
+
 def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).withColumn(
         "fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
@@ -64,6 +100,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_revisits": op1_revisits,
     "op2_simhash_dedup": op2_simhash_dedup,
     "op3_shards": op3_shards,
     "op4_rlz_dedup": op4_rlz_dedup,
@@ -77,7 +114,41 @@ QUERIES = {
 #: DuckDB's lower() also changes other letters, so A-Z are translated.
 _AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_TRACKING = ", ".join(f"'{t}'" for t in TRACKING)
+
 SQL = {
+    "op1_revisits": f"""
+        WITH p AS (
+            SELECT page_id, 1704067200 + (page_id * 7919) % 2592000 AS start, md5(html) AS tag, 'day ' || page_id % 365 AS modified,
+                   strlen(html) AS n, regexp_replace(regexp_replace(url, '#.*$', ''), '^https?://', '', 'i') AS bare
+            FROM pages),
+        k AS (
+            SELECT *, string_split(bare, '?')[1] AS head,
+                   list_sort(list_filter(string_split(regexp_extract(bare, '\\?(.*)$', 1), '&'),
+                             lambda q: q <> '' AND string_split(q, '=')[1] NOT IN ({_TRACKING}))) AS query FROM p),
+        u AS (
+            SELECT *, regexp_replace(lower(regexp_extract(head, '^([^/]*)', 1)), '^www[.]|:(80|443)$', '', 'g')
+                   || regexp_replace(regexp_extract(head, '^[^/]*(.*)$', 1), '/+$', '')
+                   || CASE WHEN len(query) > 0 THEN '?' || array_to_string(query, '&') ELSE '' END AS url_key FROM k),
+        responses AS (
+            SELECT url_key, start AS captured, max(page_id * 4) AS response_id, max_by(tag, page_id) AS tag, max_by(modified, page_id) AS modified,
+                   max_by(n, page_id) AS n, max_by('max-age=' || page_id % 100, page_id) AS cache FROM u GROUP BY ALL),
+        revisits AS (
+            SELECT page_id * 4 + 1 AS capture_id, url_key, start + 1 + (page_id * 31) % 5000000 AS captured,
+                   CASE WHEN page_id % 3 = 0 THEN 'stale' ELSE tag END AS tag, NULL AS modified, 'no-cache' AS cache, '0' AS n, NULL AS kind FROM u
+            UNION ALL
+            SELECT page_id * 4 + 2, url_key, start + (page_id * 17) % 2000000 - 1000000, NULL, modified, NULL, NULL, 'none' FROM u),
+        j AS (
+            SELECT v.*, r.response_id, r.tag AS r_tag, r.n AS r_n, r.cache AS r_cache,
+                   CASE WHEN r.response_id IS NULL THEN 'orphan'
+                        WHEN coalesce(v.tag = r.tag, v.modified = r.modified, true) THEN 'resolved' ELSE 'changed' END AS status
+            FROM revisits v ASOF LEFT JOIN responses r ON v.url_key = r.url_key AND v.captured > r.captured)
+        SELECT capture_id, url_key, captured, response_id, status,
+               CASE WHEN status = 'resolved' THEN coalesce(cache, r_cache) ELSE cache END AS cache_control,
+               CASE WHEN status = 'resolved' THEN r_n::VARCHAR ELSE n END AS content_length,
+               CASE WHEN status = 'resolved' THEN 'text/html' ELSE kind END AS content_type,
+               captured::VARCHAR AS date, CASE WHEN status = 'resolved' THEN r_tag END AS etag
+        FROM j""",
     "op7_exact_dedup": f"""
         WITH d AS (SELECT doc_id, sha256({_AZ}) AS text_sha256 FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,

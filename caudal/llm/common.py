@@ -73,10 +73,10 @@ def text_bytes(docs: DataFrame) -> int:
     return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
 
 
-def groups_for(spark: SparkSession, amount: int, each: int) -> int:
-    """How many hash groups to deal `amount` out to, so that one holds about `each`; many a partition
-    at least, so that partitions come out even."""
-    return max(-(-amount // each), 8 * shuffle_partitions(spark), 1)
+def groups_for(spark: SparkSession, amount: int, each: int, least: int = 1) -> int:
+    """How many hash groups to deal `amount` out to, so that one holds about `each`; `least` a partition
+    at least."""
+    return max(-(-amount // each), least * shuffle_partitions(spark), 1)
 
 
 # ---------------------------------------------------------------- heavy keys

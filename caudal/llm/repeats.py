@@ -46,8 +46,8 @@ PLACE = np.uint64((1 << 18) - 1)
 FLUSH = 500_000
 #: Contexts of one anchor in one sender, and in all, beyond which its windows are dealt out singly.
 CONTEXTS_SENT, CONTEXTS = 64, 512
-#: Bytes of text in a group of documents, and of content in a group of open segments.
-GROUP_BYTES, OPEN_BYTES = 8 << 20, 4 << 20
+#: Bytes of text in a group of documents, of text behind a group of anchors, and of content in a group of open segments.
+GROUP_BYTES, ANCHOR_BYTES, OPEN_BYTES = 2 << 20, 16 << 20, 4 << 20
 
 REPEATED, OPEN, SPREAD = 0, 1, 2
 ANCHOR_KINDS = ["u8", "u8", "i8", "u4", "i4", "u2", "u2", "u1"]  # anchor, segment, doc, tag, start, offset, count, spread
@@ -184,7 +184,7 @@ def sent_batch(rows: list[tuple]) -> pa.RecordBatch:
     )
 
 
-def send_anchors(scheme: Scheme, parts: int):
+def send_anchors(scheme: Scheme, buckets: int, parts: int):
     """Documents to blobs of anchors by bucket, and of verdicts already certain by part."""
 
     def settled(found: list[tuple]) -> Iterator[pa.RecordBatch]:
@@ -196,7 +196,7 @@ def send_anchors(scheme: Scheme, parts: int):
         state[index[repeated]] = REPEATED
         known = np.flatnonzero(state >= 0)
         rows = [
-            (part, part, n_open, blob) for part, n_open, blob in
+            (part % buckets, part, n_open, blob) for part, n_open, blob in
             verdict_rows(parts, *(c[known] for c in (doc, tag, start, offset, count, state)))
         ]
         marked = np.zeros(len(doc), np.uint8)
@@ -205,7 +205,7 @@ def send_anchors(scheme: Scheme, parts: int):
         send[twice] = False
         send[index[spread & witness]] = True
         columns = [c[send].astype(k) for c, k in zip((anchor, segment, doc, tag, start, offset, count, marked), ANCHOR_KINDS, strict=True)]
-        rows += [(b, -1, 0, packed(*c)) for b, c in grouped((columns[0] % np.uint64(parts)).astype(np.int64), columns)]
+        rows += [(b, -1, 0, packed(*c)) for b, c in grouped((columns[0] % np.uint64(buckets)).astype(np.int64), columns)]
         for i in range(0, len(rows), 2000):
             yield sent_batch(rows[i : i + 2000])
 
@@ -413,17 +413,18 @@ def remove_repeats(docs: DataFrame, scheme: Scheme, finish: Callable, schema: st
     are empty. An empty table gives an empty result."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    parts = groups_for(spark, text_bytes(docs), GROUP_BYTES)
+    amount = text_bytes(docs)
+    parts, buckets = groups_for(spark, amount, GROUP_BYTES, 2), groups_for(spark, amount, ANCHOR_BYTES)
     dealt = docs.withColumn("part", part_column(parts)).groupBy("part")
     closed = stored(
-        docs.mapInArrow(send_anchors(scheme, parts), SENT).groupBy("bucket").applyInArrow(judge_anchors(scheme, parts), VERDICTS),
+        docs.mapInArrow(send_anchors(scheme, buckets, parts), SENT).groupBy("bucket").applyInArrow(judge_anchors(scheme, parts), VERDICTS),
         "anchors",
     )
     n_open = closed.agg(F.sum("n_open")).first()[0] or 0
     verdicts = closed.select("part", "blob")
     if n_open:
-        buckets = groups_for(spark, n_open * 200, OPEN_BYTES)
-        segments = dealt.cogroup(closed.filter("n_open > 0").groupBy("part")).applyInArrow(send_open(scheme, parts, buckets), SEGMENTS)
+        groups = groups_for(spark, n_open * 200, OPEN_BYTES)
+        segments = dealt.cogroup(closed.filter("n_open > 0").groupBy("part")).applyInArrow(send_open(scheme, parts, groups), SEGMENTS)
         opened = stored(segments.groupBy("bucket").applyInArrow(judge_open(scheme, parts), VERDICTS), "open")
         verdicts = verdicts.unionByName(opened.select("part", "blob"))
     return dealt.cogroup(verdicts.groupBy("part")).applyInArrow(cover(scheme, finish), schema)

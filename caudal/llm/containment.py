@@ -112,51 +112,66 @@ def owners(values: np.ndarray, items: np.ndarray, hashes: np.ndarray) -> set[int
 TABLE = 20
 
 
-def _search(sent):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items: Items = sent.value
-        mask = np.uint64((1 << TABLE) - 1)
-        tables = {}
+class Search:
+    """Finds items in texts; made once a task."""
+
+    def __init__(self, items: Items):
+        self.items = items
+        self.mask = np.uint64((1 << TABLE) - 1)
+        self.tables = {}
         for key, (values, _) in items.classes.items():
-            tables[key] = np.zeros(1 << TABLE, bool)
-            tables[key][(values & mask).astype(np.int64)] = True
-        widths = sorted({w for w, _ in items.classes})
-        for batch in batches:
-            data, offsets = string_bytes(batch.column(1))
-            rows: list[tuple] = []
-            for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
-                text = data[a:b]
-                starts, ends = word_spans(text, NOT_WORD)
-                if not len(starts):
+            self.tables[key] = np.zeros(1 << TABLE, bool)
+            self.tables[key][(values & self.mask).astype(np.int64)] = True
+        self.widths = sorted({w for w, _ in items.classes})
+
+    def candidates(self, text: np.ndarray) -> set[int]:
+        starts, ends = word_spans(text, NOT_WORD)
+        found: set[int] = set()
+        if not len(starts):
+            return found
+        symbols = word_hashes(text, starts, ends)
+        for width in self.widths:
+            hashes = gram_hashes(symbols, width)
+            order = None
+            for (w, u), (values, owner) in self.items.classes.items():
+                if w != width or not len(hashes):
                     continue
-                symbols = word_hashes(text, starts, ends)
-                candidates: set[int] = set()
-                for width in widths:
-                    hashes = gram_hashes(symbols, width)
-                    if not len(hashes):
-                        continue
-                    order = None
-                    for (w, u), (values, owner) in items.classes.items():
-                        if w != width:
-                            continue
-                        maybe = tables[w, u][(hashes & mask).astype(np.int64)]
-                        if not maybe.any():
-                            continue
-                        if u:
-                            order = np.argsort(hashes)[::-1] if order is None else order
-                            maybe &= survivors(hashes, order, u)
-                        candidates |= owners(values, owner, hashes[maybe])
-                if not candidates:
+                maybe = self.tables[w, u][(hashes & self.mask).astype(np.int64)]
+                if not maybe.any():
                     continue
-                words = words_of(text.tobytes())
-                own = {w: shingles_of(words, w) for w in {items.widths[k] for k in candidates}}
-                for k in sorted(candidates):
-                    shared = len(items.texts[k] & own[items.widths[k]])
-                    if shared >= items.share * len(items.texts[k]):
-                        rows.append((i, items.ids[k], shared, len(items.texts[k])))
+                if u:
+                    order = np.argsort(hashes)[::-1] if order is None else order
+                    maybe &= survivors(hashes, order, u)
+                found |= owners(values, owner, hashes[maybe])
+        return found
+
+    def text(self, text: np.ndarray) -> list[tuple[int | None, int, int]]:
+        """(item_id, shared shingles, shingles) of the items contained in a text."""
+        candidates, items = self.candidates(text), self.items
+        if not candidates:
+            return []
+        words = words_of(text.tobytes())
+        own = {w: shingles_of(words, w) for w in {items.widths[k] for k in candidates}}
+        out = []
+        for k in sorted(candidates):
+            shared, n = len(items.texts[k] & own[items.widths[k]]), len(items.texts[k])
+            if shared >= items.share * n:
+                out.append((items.ids[k], shared, n))
+        return out
+
+    def column(self, column: pa.Array) -> list[list[tuple]]:
+        data, offsets = string_bytes(column)
+        return [self.text(data[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+
+
+def _rows_found(sent):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        search = Search(sent.value)
+        for batch in batches:
+            rows = [(i, *found) for i, each in enumerate(search.column(batch.column(1))) for found in each]
             i, item, shared, n = zip(*rows, strict=True) if rows else ((), (), (), ())
             yield pa.record_batch(
-                [batch.column(0).take(pa.array(i, pa.int64())), pa.array(item, pa.int64()), pa.array(shared, pa.int64()), pa.array(n, pa.int64()),
+                [batch.column(0).take(pa.array(i, pa.int64())), *(pa.array(c, pa.int64()) for c in (item, shared, n)),
                  pa.array([s / m for s, m in zip(shared, n, strict=True)], pa.float64())],
                 ["doc_id", "item_id", "n_shared", "n_shingles", "containment"],
             )
@@ -164,6 +179,28 @@ def _search(sent):
     return run
 
 
+def _rows_without(sent):
+    """Rows whose last column, the text to search, holds no item; without that column."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        search = Search(sent.value)
+        for batch in batches:
+            keep = pa.array([not found for found in search.column(batch.columns[-1])], pa.bool_())
+            yield pa.record_batch(batch.columns[:-1], batch.schema.names[:-1]).filter(keep)
+
+    return run
+
+
+def _item_blocks(items: DataFrame, shingle: int, share: float) -> Iterator:
+    """Items in broadcast blocks of bounded size."""
+    context = items.sparkSession.sparkContext
+    items = items.select(F.col("item_id").cast("long"), F.lower(F.coalesce("text", F.lit(""))).cast("binary").alias("text"))
+    n = -(-(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // ITEM_BYTES)
+    for k in range(n):
+        part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k) if n > 1 else items
+        yield context.broadcast(Items([(r[0], bytes(r[1])) for r in part.collect()], shingle, share))
+
+
 def contained(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, share: float = SHARE) -> DataFrame:
     """(doc_id, item_id, n_shared, n_shingles, containment) for each row of docs (doc_id, text) and row of items (item_id,
     text) whose containment is at least `share`; other columns are not read.
@@ -174,13 +211,22 @@ def contained(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, share:
     """
     spark = docs.sparkSession
     importable(spark)
-    docs = docs.select(F.col("doc_id").cast("long"), F.lower(F.coalesce("text", F.lit(""))).alias("text"))
-    items = items.select(F.col("item_id").cast("long"), F.lower(F.coalesce("text", F.lit(""))).cast("binary").alias("text"))
-    n = -(-(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // ITEM_BYTES)
+    docs = docs.select(F.col("doc_id").cast("long"), _searched())
     out = spark.createDataFrame([], FOUND)
-    for k in range(n):
-        part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect() if n > 1 else items.collect()
-        sent = spark.sparkContext.broadcast(Items([(r[0], bytes(r[1])) for r in part], shingle, share))
-        found = docs.mapInArrow(_search(sent), FOUND)
-        out = found if n == 1 else out.unionByName(found)
+    for k, sent in enumerate(_item_blocks(items, shingle, share)):
+        found = docs.mapInArrow(_rows_found(sent), FOUND)
+        out = out.unionByName(found) if k else found
     return out
+
+
+def _searched():
+    return F.lower(F.coalesce("text", F.lit(""))).alias("_searched")
+
+
+def without_contained(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, share: float = SHARE) -> DataFrame:
+    """The rows of docs, with all their columns, that hold none of the items; see `contained`."""
+    importable(docs.sparkSession)
+    for sent in _item_blocks(items, shingle, share):
+        columns = [F.col(f"`{c}`") for c in docs.columns]
+        docs = docs.select(*columns, _searched()).mapInArrow(_rows_without(sent), docs.schema)
+    return docs

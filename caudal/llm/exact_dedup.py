@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from caudal.llm.common import join_by_key, stored, string_bytes
 
@@ -154,6 +155,13 @@ def _digest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch.column(0), pa.array(keys, pa.binary())], ["doc_id", "key"])
 
 
+def _keyed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, doc_id, text) to (row, doc_id, key)."""
+    for batch in batches:
+        found = next(_digest_rows(iter([pa.record_batch(batch.columns[1:], ["doc_id", "text"])])))
+        yield pa.record_batch([batch.column(0), *found.columns], ["row", "doc_id", "key"])
+
+
 def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     found: dict[bytes, list[int]] = {}
 
@@ -239,3 +247,17 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     return plain.unionByName(repeated).select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("key")).alias("text_sha256")
     )
+
+
+def without_duplicates(docs: DataFrame) -> DataFrame:
+    """The rows of docs that stay, with all their columns; see `exact_duplicates`."""
+    found = stored(exact_duplicates(docs), "duplicates")
+    kept = found.filter("kept").select(F.col("doc_id").alias("_id"), F.unhex("text_sha256").alias("_key_kept"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    schema = T.StructType([*docs.select(row).schema.fields, T.StructField("doc_id", T.LongType()), T.StructField("key", T.BinaryType())])
+    keyed = docs.select(row, F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_keyed_rows, schema)
+    left = keyed.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key_kept")), "left_semi")
+    # Rows that repeat a document as a whole are told apart only if there are any.
+    if not found.groupBy("doc_id", "text_sha256").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+        left = left.dropDuplicates(["doc_id", "key"])
+    return left.select("row.*")

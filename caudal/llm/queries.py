@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from caudal.llm.bpe import decoded, encoded
 from caudal.llm.common import table
 from caudal.llm.containment import contained
+from caudal.llm.cotraining import scored
 from caudal.llm.exact_dedup import exact_duplicates
 from caudal.llm.revisits import TRACKING, resolved_revisits
 from caudal.llm.rlz_dedup import without_repeated_passages
@@ -92,6 +93,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", *[F.round(p, 4).alias(p) for p in ("p_content", "p_page", "p_quality")], (F.col("p_quality") >= 0.5).alias("keep"))
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeated_strings(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
@@ -108,6 +114,7 @@ QUERIES = {
     "op6_bpe": op6_bpe,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_token_counts": op8_token_counts,
+    "op9_quality": op9_quality,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 

@@ -12,8 +12,9 @@ the distance in at least one cell. Within a cell the Manhattan bound comes first
 counted exactly.
 
 Only different fingerprints take part, one row each. A cell gives all its links where they are
-few, and a spanning forest of them where a group of copies is dense. Cells larger than any task should hold
-are exchanged for balls: fingerprints within `bits` of each other share a point within half of that.
+few, and a spanning forest of them where a group of copies is dense. For distances up to 4, cells larger than any task
+should hold are exchanged for balls: fingerprints within 4 bits of each other share a point within 2 bits of both. Balls
+of larger distances have too many points; there a large cell is compared block by block in its task.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ EVEN = np.uint64(0x5555555555555555)
 ONE = np.uint64(1)
 #: Points of one cell from one sender, and in all, beyond which the cell is exchanged for balls.
 CELL_SENT, CELL = 1024, 20_000
+#: The largest distance for which balls are small enough.
+BALL_BITS = 4
 #: Points that a sender files at once, bytes of a group of cells, and pairs compared at once.
 FLUSH, GROUP_BYTES, PAIRS = 20_000, 4 << 20, 1 << 22
 #: Shingles hashed at once.
@@ -103,7 +106,7 @@ def grid(bits: int, spare: int) -> list[int]:
     return [sum(chosen) for chosen in itertools.combinations(masks, spare)]
 
 
-def _send_cells(masks: list[int], buckets: int, nodes: int):
+def _send_cells(masks: list[int], buckets: int, balls: bool):
     """Points (columns: fingerprints, then node) to blobs of their cells. Where one sender has many points of a cell,
     it sends a mark instead, and the points for balls."""
 
@@ -118,11 +121,11 @@ def _send_cells(masks: list[int], buckets: int, nodes: int):
                 for k, mask in enumerate(masks):
                     cell = mixed((vector & np.uint64(mask)) + np.uint64(k * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
                     kinds, which, count = np.unique(cell, return_inverse=True, return_counts=True)
-                    mine = count[which] > CELL_SENT
+                    mine = (count[which] > CELL_SENT) & balls
                     many |= mine
                     for b, c in grouped((cell[~mine] % np.uint64(buckets)).astype(np.int64), [cell[~mine], *(c[~mine] for c in columns)]):
                         rows.append((b, 0, packed(*c)))
-                    full = kinds[count > CELL_SENT]
+                    full = kinds[(count > CELL_SENT) & balls]
                     for b, c in grouped((full % np.uint64(buckets)).astype(np.int64), [full]):
                         rows.append((b, 1, packed(*c)))
                 if many.any():
@@ -211,7 +214,7 @@ def _cells(table: pa.Table, kinds: list[str], kind: int) -> list[np.ndarray]:
     return unpacked(blobs, kinds)
 
 
-def _links_of_cells(limits: list[int]):
+def _links_of_cells(limits: list[int], with_balls: bool):
     names = [*(f"p{i}" for i in range(len(limits))), "node"]
 
     def run(table: pa.Table) -> pa.Table:
@@ -223,7 +226,7 @@ def _links_of_cells(limits: list[int]):
         cell, columns = cell[order], [c[order] for c in columns]
         cut = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1], [True]])) if len(cell) else np.zeros(1, np.int64)
         size = np.diff(cut)
-        large = (size > CELL) | np.isin(cell[cut[:-1]], full)
+        large = ((size > CELL) | np.isin(cell[cut[:-1]], full)) & with_balls if len(cell) else np.zeros(0, bool)
         if large.any():
             out = np.repeat(large, size)
             balls = [np.concatenate([b, c[out]]) for b, c in zip(balls, columns, strict=True)]
@@ -245,18 +248,21 @@ def _links_of_cells(limits: list[int]):
 
 
 def _balls(bits: int):
-    """Points to all points within half the distance (rounded up), one row each."""
-    reach = (bits + 1) // 2
-    flips = np.array(
-        [sum(1 << i for i in chosen) for r in range(reach + 1) for chosen in itertools.combinations(range(64), r)], np.uint64
-    )
+    """Points to all points within half the distance, one row each. For an odd distance, pairs within the smaller half
+    of one and the larger half of the other: marked by side."""
+    reach = [bits // 2, bits - bits // 2]
+    flips = [
+        np.array([sum(1 << i for i in c) for r in range(n + 1) for c in itertools.combinations(range(64), r)], np.uint64) for n in reach
+    ]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            points = batch.column(0).to_numpy().view(np.uint64)
             for i in range(batch.num_rows):
-                key = batch.column(0)[i].as_py() & 0xFFFFFFFFFFFFFFFF
-                rest = [pa.array(np.full(len(flips), c[i].as_py(), np.int64)) for c in batch.columns]
-                yield pa.record_batch([pa.array((flips ^ np.uint64(key)).view(np.int64)), *rest], ["ball", *batch.schema.names])
+                for side in range(1 if reach[0] == reach[1] else 2):
+                    keys = (flips[side] ^ points[i]).view(np.int64)
+                    rest = [pa.array(np.full(len(keys), c[i].as_py(), np.int64)) for c in batch.columns]
+                    yield pa.record_batch([pa.array(keys), pa.array(np.full(len(keys), side, np.int32)), *rest], ["ball", "side", *batch.schema.names])
 
     return run
 
@@ -265,12 +271,12 @@ def links_within(points: DataFrame, limits: list[int], spare: int) -> DataFrame:
     """Links (a, b) between nodes of points (p0 long, ..., node long) whose fingerprints all differ by at most their
     limits: all that share a cell, or a forest that connects the same nodes."""
     spark = points.sparkSession
-    masks = grid(limits[0], spare)
+    masks, balls = grid(limits[0], spare), limits[0] <= BALL_BITS and len(limits) == 1
     names = [*(f"p{i}" for i in range(len(limits))), "node"]
     buckets = groups_for(spark, points.count() * len(masks) * 8 * (len(names) + 1), GROUP_BYTES)
-    filed = points.select(*names).mapInArrow(_send_cells(masks, buckets, len(names)), "bucket int, kind int, blobs array<binary>")
+    filed = points.select(*names).mapInArrow(_send_cells(masks, buckets, balls), "bucket int, kind int, blobs array<binary>")
     schema = "a long, b long, " + ", ".join(f"{n} long" for n in names)
-    found = stored(filed.groupBy("bucket").applyInArrow(_links_of_cells(limits), schema), "links")
+    found = stored(filed.groupBy("bucket").applyInArrow(_links_of_cells(limits, balls), schema), "links")
     links = found.filter("a is not null").select("a", "b")
     dense = found.filter("a is null").select(*names)
     if dense.isEmpty():
@@ -279,17 +285,19 @@ def links_within(points: DataFrame, limits: list[int], spare: int) -> DataFrame:
 
 
 def _links_of_balls(points: DataFrame, limits: list[int]) -> DataFrame:
-    """Links among points of very full cells. Points that share a ball's centre are within the distance (even
-    limits), each is linked to the smallest node there; with further limits, or odd ones, links are checked."""
-    names = points.columns
-    schema = "ball long, " + ", ".join(f"{n} long" for n in names)
+    """Links among points of very full cells. Points that share a ball's centre are within twice its radius of each other;
+    each is linked to the smallest node there."""
+    schema = "ball long, side int, " + ", ".join(f"{n} long" for n in points.columns)
     balls = stored(points.mapInArrow(_balls(limits[0]), schema), "balls")
-    centres = balls.groupBy("ball").agg(F.min_by(F.struct(*names), "node").alias("least"), F.count("*").alias("size"))
-    pairs = join_by_key(balls, centres.filter("size > 1"), "ball", "size").filter("least is not null and node <> least.node")
-    near = F.lit(True)
-    for i, limit in enumerate(limits):
-        near &= F.bit_count(F.col(f"p{i}").bitwiseXOR(F.col(f"least.p{i}"))) <= limit
-    return pairs.filter(near).select(F.col("node").alias("a"), F.col("least.node").alias("b")).distinct()
+    # The smaller half's points are linked to the centre's smallest node of the larger half, and the other way round.
+    one, other = (0, 0) if limits[0] % 2 == 0 else (0, 1)
+    pairs = None
+    for a, b in {(one, other), (other, one)}:
+        least = balls.filter(F.col("side") == b).groupBy("ball").agg(F.min("node").alias("least"), F.count("*").alias("size"))
+        found = join_by_key(balls.filter(F.col("side") == a), least, "ball", "size").filter("least is not null and node <> least")
+        found = found.select(F.col("node").alias("a"), F.col("least").alias("b"))
+        pairs = found if pairs is None else pairs.unionByName(found)
+    return pairs.distinct()
 
 
 # ---------------------------------------------------------------- operator
@@ -322,3 +330,11 @@ def near_duplicates(
     )
     rows = prints.select("doc_id", F.col(columns[0]).alias("fingerprint"), F.struct(*columns).alias("key"))
     return join_by_key(rows, stored(named, "named"), "key", "size").select("doc_id", "fingerprint", "component_id")
+
+
+def without_near_duplicates(docs: DataFrame, **parameters) -> DataFrame:
+    """The rows of docs, with all their columns, whose doc_id is the smallest of its component; rows without doc_id stay.
+    See `near_duplicates` for the parameters."""
+    found = near_duplicates(docs, **parameters)
+    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")

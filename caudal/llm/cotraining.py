@@ -32,7 +32,7 @@ LABELLED, POOL = 20_000, 20_000
 ROUNDS, GROWTH, CONFIDENT = 3, 1_000, 0.95
 #: One labelled document in so many is held out for calibration.
 FOLD = 5
-REGULARISATION, ITERATIONS = 1e-3, 30
+REGULARISATION, ITERATIONS = 1e-3, 15
 #: Tasks of a pass over the (bounded) training rows.
 TASKS = 6
 #: Hashed words, languages and sources.

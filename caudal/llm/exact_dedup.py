@@ -27,6 +27,8 @@ from caudal.llm.common import join_by_key, stored, string_bytes
 
 SLOTS = 4
 MOVES = 200
+#: Share of full places beyond which an overflow doubles the filter.
+LOAD = 0.5
 FIRST_BUCKETS = 256
 #: Distinct texts that one input task gathers before it passes them on.
 FLUSH = 200_000
@@ -45,7 +47,7 @@ class CuckooIndex:
 
     def __init__(self, buckets: int = FIRST_BUCKETS):
         self._empty(buckets)
-        self.resized = 0
+        self.resized = self.live = 0
 
     def _empty(self, buckets: int) -> None:
         self.mask = buckets - 1
@@ -76,32 +78,31 @@ class CuckooIndex:
             for i, there in enumerate(self.keys[bucket]):
                 if there is entry:
                     del self.keys[bucket][i], self.slots[bucket][i]
+                    self.live -= 1
                     return
         raise KeyError(entry[0])
 
     def insert(self, entry: tuple) -> None:
-        entry = self._place(entry)
-        while entry is not None:
-            live = [e for keys in self.keys for e in keys]
-            self._empty(2 * (self.mask + 1))
-            self.resized += 1
-            for each in [*live, entry]:
-                entry = self._place(each)
-                if entry is not None:
-                    entry = self._spill(live, each)
-                    break
-
-    def _spill(self, live: list[tuple], last: tuple) -> tuple | None:
-        """Refilling overflowed as well: more than eight digests of one fingerprint and bucket pair can
-        never fit, whatever the size, so such a bucket becomes longer than four."""
-        self._empty(self.mask + 1)
-        for each in [*live, last]:
-            rest = self._place(each)
-            if rest is not None:
-                fingerprint, first, _ = self._places(rest[0])
-                self.slots[first].append(fingerprint)
-                self.keys[first].append(rest)
-        return None
+        self.live += 1
+        rest = self._place(entry)
+        if rest is None:
+            return
+        if self.live <= LOAD * SLOTS * (self.mask + 1):
+            self._overfill(rest)
+            return
+        stored_keys = [rest, *self.entries()]
+        self._empty(2 * (self.mask + 1))
+        self.resized += 1
+        for each in stored_keys:
+            if (rest := self._place(each)) is not None:
+                self._overfill(rest)
+
+    def _overfill(self, entry: tuple) -> None:
+        """More than eight digests of one fingerprint and bucket pair never fit, whatever the size; a filter that is
+        half empty makes such a bucket longer instead of growing."""
+        fingerprint, first, _ = self._places(entry[0])
+        self.slots[first].append(fingerprint)
+        self.keys[first].append(entry)
 
     def _place(self, entry: tuple) -> tuple | None:
         """Puts an entry in, moving others; returns what has found no place in the end."""

@@ -1,7 +1,8 @@
 """One feature row per user: aggregate first, then join, so no join multiplies rows.
 
 Every aggregation combines on the map side, and distinct accounts are counted in two steps, so a
-busy account or user costs no more than any other. The joins go through ``spread_left_join``.
+busy account or user costs no more than any other. The left sides
+of the joins have unique keys, so no key of theirs can be heavy.
 """
 
 from __future__ import annotations
@@ -10,7 +11,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from caudal import schemas
 from caudal.functions import coerce
-from caudal.operators.skew import MIN_ROWS, spread_left_join
 
 
 def _amount(df: DataFrame, column: str):
@@ -31,11 +31,10 @@ def transactions_per_account(transactions: DataFrame) -> DataFrame:
 
 
 def accounts_with_activity(
-    accounts: DataFrame, per_account: DataFrame, min_rows: int = MIN_ROWS
+    accounts: DataFrame, per_account: DataFrame
 ) -> DataFrame:
     """Accounts without transactions keep nulls, which later averages must skip."""
-    spread_by = ["user_id"] if "user_id" in accounts.columns else accounts.columns
-    return spread_left_join(accounts, per_account, ["account_id"], spread_by, min_rows)
+    return accounts.join(per_account, "account_id", "left")
 
 
 def accounts_per_user(accounts_activity: DataFrame) -> DataFrame:
@@ -65,8 +64,8 @@ def loans_per_user(loans: DataFrame) -> DataFrame:
     )
 
 
-def join_per_user(users: DataFrame, per_user: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
-    return spread_left_join(users, per_user, ["user_id"], users.columns, min_rows)
+def join_per_user(users: DataFrame, per_user: DataFrame) -> DataFrame:
+    return users.join(per_user, "user_id", "left")
 
 
 def zero_fill(df: DataFrame) -> DataFrame:
@@ -74,12 +73,12 @@ def zero_fill(df: DataFrame) -> DataFrame:
 
 
 def user_aggregates(
-    accounts: DataFrame, transactions: DataFrame, loans: DataFrame, min_rows: int = MIN_ROWS
+    accounts: DataFrame, transactions: DataFrame, loans: DataFrame
 ) -> DataFrame:
     """All seven aggregates by user. Both sides come out of an aggregation by ``user_id``, so
     the full join needs no shuffle of its own."""
     needed = accounts.select("account_id", "user_id", "saldo_actual")
-    activity = accounts_with_activity(needed, transactions_per_account(transactions), min_rows)
+    activity = accounts_with_activity(needed, transactions_per_account(transactions))
     return accounts_per_user(activity).join(loans_per_user(loans), "user_id", "full")
 
 
@@ -88,9 +87,8 @@ def feature_table(
     accounts: DataFrame,
     transactions: DataFrame,
     loans: DataFrame,
-    min_rows: int = MIN_ROWS,
 ) -> DataFrame:
     """Gold tables to the training table without label. Empty inputs give zeros."""
-    per_user = user_aggregates(accounts, transactions, loans, min_rows)
-    joined = zero_fill(join_per_user(users, per_user, min_rows))
+    per_user = user_aggregates(accounts, transactions, loans)
+    joined = zero_fill(join_per_user(users, per_user))
     return joined.select(*users.columns, *schemas.ACCOUNT_FEATURES, *schemas.LOAN_FEATURES)

@@ -170,14 +170,24 @@ def generate_recipients(ids: DataFrame, seed: int = SEED) -> DataFrame:
     )
 
 
+def numbering(ids: DataFrame) -> tuple[int, int]:
+    """First id and number of ids, which must be consecutive: a transaction then computes its recipient instead of
+    looking it up."""
+    first, last, count = ids.agg(F.min("id"), F.max("id"), F.count("id")).first()
+    if count and last - first + 1 != count:
+        raise ValueError("recipient ids must be consecutive")
+    return first or 0, count
+
+
 def generate_transactions(
-    ids: DataFrame, as_of, recipients: int = RECIPIENTS, seed: int = SEED
+    ids: DataFrame, as_of, recipients: tuple[int, int] = (0, RECIPIENTS), seed: int = SEED
 ) -> DataFrame:
     """Five to fifty transactions per user on the user's own accounts, after their opening.
 
-    ``recipients`` is the number of recipients, whose ids are 0, 1, 2, ... 70 % of outgoing
+    ``recipients`` is the first id and the number of recipients, see ``numbering``. 70 % of outgoing
     transfers name one.
     """
+    first, count = recipients
     user, number = F.col("id"), F.col("_t")
     low, high = TRANSACTIONS_PER_USER
     size = F.lit(low) + below(_draws(seed, "volumen", user), 0, high - low + 1)
@@ -198,7 +208,7 @@ def generate_transactions(
         kind = kind.when(is_type, F.lit(name))
         amount = amount.when(is_type, _money(h1, 2, least, most))
         category = category.when(is_type, _pick(categories, h1, 3))
-    named = (kind == "Transferencia Enviada") & (below(h2, 2, 10) < 7) & F.lit(recipients > 0)
+    named = (kind == "Transferencia Enviada") & (below(h2, 2, 10) < 7) & F.lit(count > 0)
     return rows.select(
         uuid_text(_draws(seed, "transaction_id", user, number)).alias("transaction_id"),
         "account_id", "user_id",
@@ -208,7 +218,7 @@ def generate_transactions(
         category.alias("categoria"),
         _pick(CANALES, h2, 1).alias("canal"),
         _pick(TARJETAS, h2, 3).alias("tipo_tarjeta_usada"),
-        F.when(named, _recipient_id(below(_draws(seed, "destino", user, number), 0, max(recipients, 1)), seed))
+        F.when(named, _recipient_id(F.lit(first) + below(_draws(seed, "destino", user, number), 0, max(count, 1)), seed))
         .alias("recipient_id_fk"),
         F.concat_ws(" ", F.lit("Movimiento"), number.cast("string"), F.lit("de"), kind).alias("descripcion"),
     )
@@ -246,8 +256,9 @@ def generate_loans(ids: DataFrame, as_of, share: float = LOAN_SHARE, seed: int =
 
 
 def generate_all(
-    user_ids: DataFrame, recipient_ids: DataFrame, recipients: int, as_of, seed: int = SEED
+    user_ids: DataFrame, recipient_ids: DataFrame, as_of, seed: int = SEED
 ) -> dict[str, DataFrame]:
+    recipients = numbering(recipient_ids)
     return {
         "usuarios": generate_users(user_ids, as_of, seed),
         "cuentas": generate_accounts(user_ids, as_of, seed),

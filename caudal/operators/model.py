@@ -19,8 +19,8 @@ SEED = 42
 TEST_SHARE = 0.25
 TREES = 100
 
-MAX_DEPTH = 12
-MAX_LEVELS = 5_000     # above this a text column is hashed instead of indexed on the driver
+MAX_DEPTH = 30         # the engine's limit: the recipe's trees grow as deep as they can
+MAX_LEVELS = 5_000     # the indexer keeps its levels on the driver, so more are refused
 HASH_SIZE = 1 << 14
 
 
@@ -96,11 +96,12 @@ def stratified_split(
 
 
 def with_class_weight(df: DataFrame, label: str = LABEL) -> DataFrame:
-    """Weight n / (classes * n_class). The table of weights has one row per class."""
+    """Weight n / (classes * n_class). The table of weights has one row per class; rows without label keep a null weight."""
     counts = df.groupBy(label).agg(F.count("*").alias("_n"))
     every = Window.partitionBy()
     weight = F.sum("_n").over(every) / (F.count("*").over(every) * F.col("_n"))
-    return df.join(F.broadcast(counts.select(label, weight.alias("peso"))), label)
+    counted = counts.where(F.col(label).isNotNull()).select(label, weight.alias("peso"))
+    return df.join(counted, label, "left").select(label, *[c for c in df.columns if c != label], "peso")
 
 
 def prepare(df: DataFrame) -> DataFrame:
@@ -111,11 +112,20 @@ def prepare(df: DataFrame) -> DataFrame:
     )
 
 
-def _encoders(df: DataFrame, max_levels: int) -> list:
-    """Indexers keep their levels on the driver, so columns with too many levels are hashed."""
-    levels = df.agg(*[F.approx_count_distinct(c).alias(c) for c in CATEGORICAL_FEATURES]).first()
-    indexed = [c for c in CATEGORICAL_FEATURES if levels[c] <= max_levels]
-    hashed = [c for c in CATEGORICAL_FEATURES if c not in indexed]
+class TooManyLevels(ValueError):
+    """A text column has more levels than the indexer may hold."""
+
+
+def _encoders(df: DataFrame, encoding: str) -> list:
+    """Encoding of text columns is the caller's choice: ``levels`` is one-hot over all levels, ``hash`` a hashed
+    vector for data with more levels than the driver may hold. It never depends on the data."""
+    if encoding not in ("levels", "hash"):
+        raise ValueError(f"unknown encoding {encoding!r}")
+    indexed, hashed = (CATEGORICAL_FEATURES, []) if encoding == "levels" else ([], CATEGORICAL_FEATURES)
+    if indexed:
+        levels = df.agg(*[F.count_distinct(c).alias(c) for c in indexed]).first()
+        if many := [c for c in indexed if levels[c] > MAX_LEVELS]:
+            raise TooManyLevels(f"more than {MAX_LEVELS} levels in {', '.join(many)}: train with encoding='hash'")
     stages = [
         VectorAssembler(inputCols=NUMERIC_FEATURES, outputCol="_numbers"),
         StandardScaler(inputCol="_numbers", outputCol="_scaled", withMean=True),
@@ -140,7 +150,7 @@ def train(
     trees: int = TREES,
     depth: int = MAX_DEPTH,
     seed: int = SEED,
-    max_levels: int = MAX_LEVELS,
+    encoding: str = "levels",
 ) -> PipelineModel:
     """Fits encoders and forest on rows that carry the label."""
     rows = with_class_weight(prepare(training.where(F.col(LABEL).isNotNull())))
@@ -150,7 +160,7 @@ def train(
     )
     # The copy leaves the training summary behind, which holds the session and cannot be shipped
     # to executors once the session has observed metrics.
-    return Pipeline(stages=[*_encoders(rows, max_levels), forest]).fit(rows).copy()
+    return Pipeline(stages=[*_encoders(rows, encoding), forest]).fit(rows).copy()
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, functions as F
 
-from caudal.functions import bins, text
+from caudal.functions import bins, rules, text
 from caudal.operators import model as models
 from caudal.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES, UNKNOWN
 
 FEATURES = NUMERIC_FEATURES + CATEGORICAL_FEATURES
 
-OK, BAD_REQUEST = 200, 400
+OK, BAD_REQUEST, FAILED = 200, 400, 500
 
 RESPONSE = [
     "prediccion_numerica", "prediccion_etiqueta", "probabilidad_bajo_riesgo",
@@ -27,8 +27,9 @@ def event_body(event: Column) -> Column:
 def parse_requests(df: DataFrame, body: str = "body", on_missing: str = "default") -> DataFrame:
     """Adds ``status``, ``error`` and one column per model input.
 
-    The text is parsed once. ``on_missing="default"`` leaves absent inputs null for later;
-    ``"reject"`` turns a request that lacks any input into a bad request.
+    The text is parsed once. An input that is present and can't be read is a bad request.
+    ``on_missing="default"`` leaves absent inputs null for later; ``"reject"`` turns a request that lacks any
+    input into a bad request.
     """
     if on_missing not in ("default", "reject"):
         raise ValueError(f"unknown on_missing {on_missing!r}")
@@ -39,6 +40,15 @@ def parse_requests(df: DataFrame, body: str = "body", on_missing: str = "default
     problem = F.when(F.col("_json").isNull(), F.lit("body is not valid JSON")).when(
         ~F.schema_of_variant("_json").startswith("OBJECT"), F.lit("body is not a JSON object")
     )
+    # A number must read as one; a text must not be an object or a list.
+    def bad(name, value):
+        kind = F.schema_of_variant(value)
+        no_number = name.isin(NUMERIC_FEATURES) & ~F.is_variant_null(value) & F.try_variant_get(value, "$", "double").isNull()
+        return no_number | (name.isin(CATEGORICAL_FEATURES) & (kind.startswith("OBJECT") | kind.startswith("ARRAY")))
+
+    inputs = F.try_variant_get("_json", "$", "map<string,variant>")
+    unreadable = F.coalesce(F.array_join(F.array_sort(F.map_keys(F.map_filter(inputs, bad))), ", "), F.lit(""))
+    problem = problem.when(unreadable != "", F.concat(F.lit("unreadable inputs: "), unreadable))
     if on_missing == "reject":
         absent = F.concat_ws(", ", *[F.when(F.col(c).isNull(), F.lit(c)) for c in FEATURES])
         problem = problem.when(absent != "", F.concat(F.lit("missing inputs: "), absent))
@@ -47,14 +57,20 @@ def parse_requests(df: DataFrame, body: str = "body", on_missing: str = "default
     ).drop("_json")
 
 
-def complete(df: DataFrame) -> DataFrame:
+def trained_texts(df: DataFrame, mode: str = "reference") -> DataFrame:
+    """Text inputs as training has them: normalised, and put into the categories of the two columns that have some."""
+    return df.withColumns({c: text.normalise(F.col(c)) for c in CATEGORICAL_FEATURES}).withColumns({
+        c: F.when(F.col(c).isNotNull(), rules.categorise(F.col(c), c, mode)) for c in ("estado_laboral", "nivel_educativo")
+    })
+
+
+def complete(df: DataFrame, rules_mode: str = "reference") -> DataFrame:
     """Fills absent inputs and derives what training derives.
 
-    Texts are normalised as in training, the two flags come from their source column when absent,
+    Texts are normalised and categorised as in training, the two flags come from their source column when absent,
     and age range and income category always follow from age and income.
     """
     age = F.col("edad")
-    texts = {c: text.normalise(F.col(c)) for c in CATEGORICAL_FEATURES}
     flags = {
         "tiene_dependientes": F.coalesce(
             F.col("tiene_dependientes"), bins.flag(F.col("numero_dependientes") > 0).cast("double")),
@@ -69,21 +85,34 @@ def complete(df: DataFrame) -> DataFrame:
         "categoria_ingresos": F.coalesce(
             bins.bin_label(F.col("ingreso_mensual_estimado"), "categoria_ingresos"), F.lit(UNKNOWN)),
     }
-    return df.withColumns(texts).withColumns(flags).withColumns(defaults).withColumns(derived)
+    return trained_texts(df, rules_mode).withColumns(flags).withColumns(defaults).withColumns(derived)
 
 
-def request_features(df: DataFrame, body: str = "body", on_missing: str = "default") -> DataFrame:
-    """Parsed and completed requests; rejected mode takes derived inputs as given."""
+def request_features(
+    df: DataFrame, body: str = "body", on_missing: str = "default", rules_mode: str = "reference"
+) -> DataFrame:
+    """Parsed and completed requests; rejected mode takes derived inputs as given. ``rules_mode`` is that of the training
+    data."""
     parsed = parse_requests(df, body, on_missing)
-    return complete(parsed) if on_missing == "default" else parsed
+    return complete(parsed, rules_mode) if on_missing == "default" else trained_texts(parsed, rules_mode)
 
 
 def score_requests(
-    model: PipelineModel, df: DataFrame, body: str = "body", on_missing: str = "default"
+    model: PipelineModel | str, df: DataFrame, body: str = "body", on_missing: str = "default", rules_mode: str = "reference"
 ) -> DataFrame:
-    """One response per request, bad ones included with their error."""
+    """One response per request, bad ones included with their error. Given a path, the model is loaded; if that fails,
+    good requests are answered with 500."""
     keep = [c for c in df.columns if c not in FEATURES]
-    scored = models.predict(model, request_features(df, body, on_missing))
+    rows = request_features(df, body, on_missing, rules_mode)
+    try:
+        scored = models.predict(models.load(model) if isinstance(model, str) else model, rows)
+    except models.ModelNotLoaded as problem:
+        good = F.col("status") == OK
+        scored = rows.withColumns({
+            "error": F.when(good, F.lit(str(problem))).otherwise(F.col("error")),
+            "status": F.when(good, F.lit(FAILED)).otherwise(F.col("status")),
+            **{c: F.lit(None).cast("string" if c == "prediccion_etiqueta" else "double") for c in RESPONSE},
+        })
     good = F.col("status") == OK
     answers = scored.select(
         *keep, "status", "error", *[F.when(good, F.col(c)).alias(c) for c in RESPONSE]
@@ -114,18 +143,16 @@ def feature_lines(numeric: list[str] = NUMERIC_FEATURES, texts: list[str] = CATE
     return F.concat_ws("\n", *lines)
 
 
-PROMPT = """Actúa como analista de riesgo de crédito de {bank}.
-Datos del solicitante:
+PROMPT = """Informe para el comité de crédito de {bank}.
+
+Perfil evaluado:
 %s
 
-Resultado del modelo: %s.
-Probabilidad de alto riesgo: %s. Probabilidad de bajo riesgo: %s.
+El modelo clasifica este perfil como %s (alto riesgo %s, bajo riesgo %s).
 
-Escribe un informe breve para el evaluador:
-1. Los dos o tres datos que mejor explican el resultado.
-2. Datos que se contradicen o que una persona debería revisar.
-3. Recomendación (aprobar, rechazar o pedir más información) con su motivo.
-4. Qué aportaría comparar este perfil con el conjunto de clientes."""
+Responde en tres párrafos. Primero, qué cifras del perfil se apartan de lo habitual y en qué sentido, citando su valor. \
+Segundo, qué campos faltan, valen cero o no son coherentes entre sí, y qué documento los aclararía. \
+Tercero, si la clasificación se sostiene sin esos campos, y el siguiente paso que propones."""
 
 
 def percent(value: Column) -> Column:

@@ -64,14 +64,14 @@ def handle_event(
     started, clock = datetime.now(timezone.utc).replace(tzinfo=None), time.monotonic()
     record = {"entity": entity, "started": started}
     try:
-        record["source"] = paths.event_path(event)
+        record["source"] = paths.event_path(event, zones)
         summary = run_table(spark, entity, record["source"], zones, as_of, **options)
         seconds = time.monotonic() - clock
         record.update(summary, status="ok", seconds=seconds)
         answer = {"statusCode": 200, "body": json.dumps({**summary, "execution_time": f"{seconds:.2f} segundos"})}
     except Exception as problem:
         log.exception("run for %s failed", entity)
-        record.update(status="failed", error=str(problem)[:2000], seconds=time.monotonic() - clock)
+        record.update(status="failed", error=str(problem), seconds=time.monotonic() - clock)
         answer = {"statusCode": 500, "body": json.dumps({"error": f"Error procesando datos: {problem}"})}
     if audit_path:
         audit.append(spark, audit_path, **record)
@@ -96,6 +96,6 @@ def write_synthetic(
     seed: int = generate.SEED,
 ) -> None:
     """Makes the five raw csv tables, in any size."""
-    made = generate.generate_all(spark.range(users), spark.range(recipients), recipients, as_of, seed)
+    made = generate.generate_all(spark.range(users), spark.range(recipients), as_of, seed)
     for entity, df in made.items():
         tables.write_bronze(df, f"{bronze.rstrip('/')}/{entity}/{entity}.csv")

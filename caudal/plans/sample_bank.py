@@ -73,8 +73,7 @@ def transacciones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prestamos(spark: SparkSession, sf_dir: str) -> DataFrame:
-    urgent = source(spark, sf_dir, "orders").where("o_orderstatus = 'P' and o_orderpriority = '1-URGENT'")
-    return urgent.withColumnRenamed("o_orderkey", "k").selectExpr(
+    return source(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "k").selectExpr(
         "cast(k as string) as loan_id",
         "cast(o_custkey as string) as user_id",
         "if(k % 29 = 28, 'x', cast(cast(o_totalprice * 100 as decimal(18, 2)) as string)) as monto_otorgado",
@@ -111,6 +110,8 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         """case
             when event_id % 17 = 16 then '[1]'
             when event_id % 19 = 18 then null
+            when event_id % 31 = 30 then '{"edad": "abc", "estado_laboral": "Desempleado"}'
+            when event_id % 37 = 36 then '{"edad": 44, "estado_laboral": "Desempleado"}'
             when event_id % 23 = 22 then concat('{"edad": ', user_id)
             when event_id % 5 = 4 then concat('{"edad": ', user_id % 70, '}')
             when event_id % 29 = 28 then to_json(named_struct(

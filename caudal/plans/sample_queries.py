@@ -20,7 +20,6 @@ from caudal.streaming import ingest as stream_ingest, scoring as stream_scoring
 QUERIES = {}
 
 GENERATED_AS_OF = "2025-01-01 00:00:00"
-SCORE_TREES = 40
 
 
 def query(name: str, *args):
@@ -99,13 +98,24 @@ def trained(spark, sf_dir):
 
     def make():
         base = scratch_dir(spark, "model")
-        done = training.run(spark, zones(spark, sf_dir)[0].gold, base, trees=SCORE_TREES)
+        done = training.run(spark, zones(spark, sf_dir)[0].gold, base)
         done.model = model.load(base)
         return done
 
     return _once(spark, sf_dir, "model", make)
 
 
+@query("s8_event_paths")
+def _(spark, sf_dir):
+    """New-file events with a record, with an explicit path, and with neither."""
+    events = source(spark, sf_dir, "orders").selectExpr("o_orderkey", """case o_orderkey % 3
+        when 0 then to_json(named_struct('Records', array(named_struct('s3', named_struct(
+            'bucket', named_struct('name', 'bronze'), 'object', named_struct('key', concat(o_orderstatus, '/', o_orderkey, '.csv')))))))
+        when 1 then to_json(named_struct('input_path', concat('/data/', o_orderkey, '.csv')))
+        else '{}' end as event""")
+    return events.select("o_orderkey", paths.event_path_column(F.col("event"), "s3a").alias("path"))
+
+
 # --- sources and sinks ---------------------------------------------------------------------------
 
 @query("s1_read_bronze")
@@ -213,8 +223,13 @@ def _(spark, sf_dir):
 
 @query("p6_zero_fill_amounts")
 def _(spark, sf_dir):
-    return gold(spark, sf_dir, "cuentas").select(
-        "account_id", coerce.number_or_zero(F.col("saldo_actual"), text=False).alias("saldo_actual"))
+    parts = [
+        gold(spark, sf_dir, entity).select(
+            F.lit(entity).alias("tabla"), F.col(key).alias("clave"), coerce.number_or_zero(F.col(amount), text=False).alias("monto"))
+        for entity, key, amount in (("cuentas", "account_id", "saldo_actual"), ("transacciones", "transaction_id", "monto"),
+                                    ("prestamos", "loan_id", "monto_otorgado"))
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query("p7_date_parts")
@@ -438,6 +453,12 @@ query("a13_report")(lambda spark, sf_dir: metrics.classification_report(_pairs(s
 
 
 @query("a12_auc")
+def _(spark, sf_dir):
+    scored = source(spark, sf_dir, "customer").selectExpr("c_nationkey % 2 as riesgo", "c_acctbal as score")
+    return metrics.roc_auc(scored, score="score").transform(rounded, money("roc_auc", digits=8))
+
+
+@query("a12_auc_ties")
 def _(spark, sf_dir):
     scored = source(spark, sf_dir, "customer").selectExpr("c_nationkey % 2 as riesgo", "round(c_acctbal, -2) as score")
     return metrics.roc_auc(scored, score="score").transform(rounded, money("roc_auc", digits=8))
@@ -515,6 +536,26 @@ def _(spark, sf_dir):
     return model.predict(done.model, done.split).select("user_id", "riesgo", *scoring.RESPONSE)
 
 
+@query("m9_contract")
+def _(spark, sf_dir):
+    """What holds for every prediction, whatever the forest: probabilities add up, the class has the larger one, and
+    its text is the class's."""
+    done = trained(spark, sf_dir)
+    low, high = F.col("probabilidad_bajo_riesgo"), F.col("probabilidad_alto_riesgo")
+    number = F.col("prediccion_numerica")
+    return model.predict(done.model, done.split).select(
+        "user_id", "riesgo", (F.abs(low + high - 1) < 1e-9).alias("suman"),
+        F.when(number == 1, high >= low).otherwise(low >= high).alias("mayor"),
+        F.col("prediccion_etiqueta").eqNullSafe(rules.risk_text(number)).alias("etiqueta"),
+    )
+
+
+@query("m10_support")
+def _(spark, sf_dir):
+    """Evaluated rows per class, from the predictions that were stored for it."""
+    return trained(spark, sf_dir).split.where("es_prueba").groupBy("riesgo").agg(F.count("*").alias("n"))
+
+
 @query("m10_evaluation")
 def _(spark, sf_dir):
     return trained(spark, sf_dir).evaluation
@@ -550,6 +591,13 @@ def _(spark, sf_dir):
     return scoring.score_requests(trained(spark, sf_dir).model, requests(spark, sf_dir))
 
 
+@query("r6_contract")
+def _(spark, sf_dir):
+    """Every request is answered; exactly the good ones carry a score."""
+    answers = scoring.score_requests(trained(spark, sf_dir).model, requests(spark, sf_dir))
+    return answers.select("request_id", "status", "error", F.col("prediccion_numerica").isNotNull().alias("con_puntaje"))
+
+
 @query("r7_prompt")
 def _(spark, sf_dir):
     """The rule label stands in for a prediction, so that the text can be compared."""
@@ -574,12 +622,14 @@ def _(spark, sf_dir):
 @query("t2_stream_scoring")
 def _(spark, sf_dir):
     base = scratch_dir(spark, "requests")
-    requests(spark, sf_dir).where("body is not null").select(F.translate("body", "\r\n", "  ").alias("value")) \
+    # A line can't be null, so a missing body is an empty line.
+    requests(spark, sf_dir).select(F.translate(F.coalesce("body", F.lit("")), "\r\n", "  ").alias("value")) \
         .write.text(f"{base}/in")
     stream_scoring.score_stream(
         trained(spark, sf_dir).model, stream_scoring.read_requests(spark, f"{base}/in"),
         f"{base}/out", f"{base}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{base}/out").groupBy("status", "prediccion_etiqueta").agg(F.count("*").alias("n"))
+    return spark.read.parquet(f"{base}/out").groupBy(
+        "status", "error", F.col("prediccion_numerica").isNotNull().alias("con_puntaje")).agg(F.count("*").alias("n"))
 
 
 # --- generator: one user per customer, one recipient per supplier ---------------------------------
@@ -591,7 +641,18 @@ def _ids(spark, sf_dir, table="customer", key="c_custkey"):
 query("g1_users")(lambda spark, sf_dir: generate.generate_users(_ids(spark, sf_dir), GENERATED_AS_OF))
 query("g2_accounts")(lambda spark, sf_dir: generate.generate_accounts(_ids(spark, sf_dir), GENERATED_AS_OF))
 query("g3_recipients")(lambda spark, sf_dir: generate.generate_recipients(_ids(spark, sf_dir, "supplier", "s_suppkey")))
-query("g4_transactions")(lambda spark, sf_dir: generate.generate_transactions(_ids(spark, sf_dir), GENERATED_AS_OF))
+query("g4_transactions")(lambda spark, sf_dir: generate.generate_transactions(
+    _ids(spark, sf_dir), GENERATED_AS_OF, generate.numbering(_ids(spark, sf_dir, "supplier", "s_suppkey"))))
+
+
+@query("g4_dangling_recipients")
+def _(spark, sf_dir):
+    """Transactions whose recipient is not in the recipient table: none."""
+    made = generate.generate_all(_ids(spark, sf_dir), _ids(spark, sf_dir, "supplier", "s_suppkey"), GENERATED_AS_OF)
+    named = made["transacciones"].where("recipient_id_fk is not null").select(F.col("recipient_id_fk").alias("recipient_id"))
+    return named.join(made["destinatarios"], "recipient_id", "left_anti").agg(F.count("*").alias("n"))
+
+
 query("g5_loans")(lambda spark, sf_dir: generate.generate_loans(_ids(spark, sf_dir), GENERATED_AS_OF))
 
 
@@ -604,6 +665,6 @@ def _(spark, sf_dir):
 @query("g6_all_tables")
 def _(spark, sf_dir):
     made = generate.generate_all(
-        _ids(spark, sf_dir), _ids(spark, sf_dir, "supplier", "s_suppkey"), 50, GENERATED_AS_OF)
+        _ids(spark, sf_dir), _ids(spark, sf_dir, "supplier", "s_suppkey"), GENERATED_AS_OF)
     counts = [df.agg(F.count("*").alias("n")).select(F.lit(e).alias("entity"), "n") for e, df in made.items()]
     return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3]).unionByName(counts[4])

@@ -216,7 +216,7 @@ CTES = {
         {_pick("'Activo', 'Pagado', 'En Mora', NULL, 'Castigado'", "k % 5")} AS estado_prestamo,
         {_pick("'Libre Inversión', 'Compra Vehículo', 'Educación', 'Vivienda', 'Deuda', NULL, 'Viaje'", "k % 7")}
             AS proposito
-        FROM (SELECT *, o_orderkey AS k FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT')""",
+        FROM (SELECT *, o_orderkey AS k FROM orders)""",
     "prestamos_t": f"""SELECT loan_id, user_id, {_num("monto_otorgado")} AS monto_otorgado,
         {_num("tasa_interes_anual")} AS tasa_interes_anual, {_num("plazo_meses")} AS plazo_meses,
         try_cast(fecha_desembolso AS TIMESTAMP) AS fecha_desembolso, {_num("cuota_mensual")} AS cuota_mensual,
@@ -301,6 +301,8 @@ CTES = {
         <= q.quota AS es_prueba FROM labelled l JOIN class_quotas q ON l.riesgo = q.riesgo""",
     "requests": """SELECT 'e' || event_id AS request_id, CASE
         WHEN event_id % 17 = 16 THEN '[1]' WHEN event_id % 19 = 18 THEN NULL
+        WHEN event_id % 31 = 30 THEN '{"edad": "abc", "estado_laboral": "Desempleado"}'
+        WHEN event_id % 37 = 36 THEN '{"edad": 44, "estado_laboral": "Desempleado"}'
         WHEN event_id % 23 = 22 THEN '{"edad": ' || user_id
         WHEN event_id % 5 = 4 THEN '{"edad": ' || (user_id % 70) || '}'
         WHEN event_id % 29 = 28 THEN '{"edad":' || (user_id % 70) || ',"ingreso_mensual_estimado":1500000,' ||
@@ -316,7 +318,9 @@ CTES = {
             (event_id % 4) || '}' END AS body FROM events
         UNION ALL SELECT 'c' || conv_id || '-' || turn, text FROM conversations""",
     "checked": """SELECT *, CASE WHEN body IS NULL OR NOT json_valid(body) THEN 'body is not valid JSON'
-        WHEN json_type(body) <> 'OBJECT' THEN 'body is not a JSON object' END AS error FROM requests""",
+        WHEN json_type(body) <> 'OBJECT' THEN 'body is not a JSON object'
+        WHEN json_extract_string(body, '$.edad') IS NOT NULL AND try_cast(json_extract_string(body, '$.edad') AS DOUBLE) IS NULL
+        THEN 'unreadable inputs: edad' END AS error FROM requests""",
 }
 
 
@@ -416,7 +420,7 @@ def _level_index(column: str) -> str:
 
 def _request_features() -> str:
     def num(c):
-        return f"CAST(json_extract_string(body, '$.{c}') AS DOUBLE) AS {c}"
+        return f"TRY_CAST(json_extract_string(body, '$.{c}') AS DOUBLE) AS {c}"
 
     def txt(c):
         return f"{_norm(f'''json_extract_string(body, '$.{c}')''')} AS {c}"
@@ -425,6 +429,8 @@ def _request_features() -> str:
     texts = [c for c in _INPUTS_TEXT if c not in ("rango_edad", "categoria_ingresos")]
     raw = ", ".join([num(c) for c in _INPUTS_NUM] + [txt(c) for c in _INPUTS_TEXT])
     cols = ", ".join([f"coalesce({c}, 0) AS {c}" for c in plain] + [f"coalesce({c}, 'DESCONOCIDO') AS {c}" for c in texts])
+    # The first rule of the employment table also matches the word it is part of.
+    cols = cols.replace("coalesce(estado_laboral,", "coalesce(CASE WHEN estado_laboral LIKE '%EMPLEADO%' THEN 'EMPLEADO' ELSE estado_laboral END,")
     age = _bins("edad", "25:18-25", "35:26-35", "45:36-45", "55:46-55", "65:56-65", "1e300:65+")
     income = _bins("coalesce(ingreso_mensual_estimado, 0)", "1000000:MUY BAJOS", "3000000:BAJOS", "6000000:MEDIOS",
                    "10000000:ALTOS", "1e300:MUY ALTOS")
@@ -444,16 +450,14 @@ def _prompt() -> str:
     for c in _INPUTS_TEXT:
         lines.append(f"'- {c.replace('_', ' ').capitalize()}: ' || coalesce({c}, 'nan')")
     listed = "concat_ws(chr(10), " + ", ".join(lines) + ")"
-    return f"""SELECT user_id, caracteristicas, concat_ws(chr(10), 'Actúa como analista de riesgo de crédito de el banco.',
-        'Datos del solicitante:', caracteristicas, '',
-        'Resultado del modelo: ' || CASE riesgo WHEN 1 THEN 'ALTO RIESGO' ELSE 'BAJO RIESGO' END || '.',
-        'Probabilidad de alto riesgo: ' || printf('%.2f', round(edad / 128.0 * 100, 2)) ||
-        '%. Probabilidad de bajo riesgo: ' || printf('%.2f', round((1 - edad / 128.0) * 100, 2)) || '%.', '',
-        'Escribe un informe breve para el evaluador:',
-        '1. Los dos o tres datos que mejor explican el resultado.',
-        '2. Datos que se contradicen o que una persona debería revisar.',
-        '3. Recomendación (aprobar, rechazar o pedir más información) con su motivo.',
-        '4. Qué aportaría comparar este perfil con el conjunto de clientes.') AS prompt
+    return f"""SELECT user_id, caracteristicas, concat_ws(chr(10), 'Informe para el comité de crédito de el banco.', '',
+        'Perfil evaluado:', caracteristicas, '',
+        'El modelo clasifica este perfil como ' || CASE riesgo WHEN 1 THEN 'ALTO RIESGO' ELSE 'BAJO RIESGO' END ||
+        ' (alto riesgo ' || printf('%.2f', round(edad / 128.0 * 100, 2)) || '%, bajo riesgo ' ||
+        printf('%.2f', round((1 - edad / 128.0) * 100, 2)) || '%).', '',
+        'Responde en tres párrafos. Primero, qué cifras del perfil se apartan de lo habitual y en qué sentido, citando ' ||
+        'su valor. Segundo, qué campos faltan, valen cero o no son coherentes entre sí, y qué documento los aclararía. ' ||
+        'Tercero, si la clasificación se sostiene sin esos campos, y el siguiente paso que propones.') AS prompt
         FROM (SELECT *, {listed} AS caracteristicas FROM labelled)"""
 
 
@@ -528,7 +532,7 @@ def _generated() -> dict[str, str]:
     kind = f"([{', '.join(repr(k) for k in kinds.split(','))}])[CAST(kind AS INTEGER) + 1]"
     a1, a2 = _h("cuentas", "(id)", "(k)", "1"), _h("cuentas", "(id)", "(k)", "2")
     d1, d2 = _h("destinatarios", "(s_suppkey)", "1"), _h("destinatarios", "(s_suppkey)", "2")
-    target = _below(_h("destino", "(id)", "(t)"), 0, 50)
+    target = "((SELECT min(s_suppkey) FROM supplier) + " + _below(_h("destino", "(id)", "(t)"), 0, "(SELECT count(*) FROM supplier)") + ")"
     return {
         "g1_users": f"""SELECT user_id, CAST((id % 1090000000 * 618033989) % 1090000000 + 10000000
             + (id // 1090000000) * 10000000000 AS VARCHAR) AS cedula,
@@ -614,7 +618,9 @@ def _bodies() -> dict[str, str]:
             UNION ALL SELECT 'plazo-' || loan_id, plazo_meses FROM prestamos_s
             UNION ALL SELECT 'cuota-' || loan_id, cuota_mensual FROM prestamos_s""",
         "p5_int_zero": "SELECT user_id, numero_dependientes FROM usuarios_s",
-        "p6_zero_fill_amounts": "SELECT account_id, coalesce(saldo_actual, 0) AS saldo_actual FROM cuentas_g",
+        "p6_zero_fill_amounts": """SELECT 'cuentas' AS tabla, account_id AS clave, coalesce(saldo_actual, 0) AS monto FROM cuentas_g
+            UNION ALL SELECT 'transacciones', transaction_id, coalesce(monto, 0) FROM transacciones_g
+            UNION ALL SELECT 'prestamos', loan_id, coalesce(monto_otorgado, 0) FROM prestamos_g""",
         "p7_date_parts": "SELECT transaction_id, fecha, anio, mes, dia, hora FROM transacciones_s",
         "p8_drop_description": "SELECT * FROM transacciones_s",
         "p9_gold_projection_users": gold["s4_gold_usuarios"],
@@ -714,6 +720,10 @@ def _bodies() -> dict[str, str]:
             (SELECT count(*) FROM {_PAIRS} WHERE y = a AND p = b) AS n FROM range(2) r(a), range(2) s(b)""",
         "a11_accuracy": f"SELECT round(avg(CASE WHEN y = p THEN 1.0 ELSE 0.0 END), 6)::DOUBLE AS accuracy FROM {_PAIRS}",
         "a12_auc": """SELECT round((sum(avg_rank) FILTER (y = 1) - pos * (pos + 1) / 2) / (pos * neg), 8) AS roc_auc FROM (
+            SELECT y, rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2 AS avg_rank,
+                count(*) FILTER (y = 1) OVER () AS pos, count(*) FILTER (y = 0) OVER () AS neg
+            FROM (SELECT c_nationkey % 2 AS y, c_acctbal AS x FROM customer)) GROUP BY pos, neg""",
+        "a12_auc_ties": """SELECT round((sum(avg_rank) FILTER (y = 1) - pos * (pos + 1) / 2) / (pos * neg), 8) AS roc_auc FROM (
             SELECT y, rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2 AS avg_rank,
                 count(*) FILTER (y = 1) OVER () AS pos, count(*) FILTER (y = 0) OVER () AS neg
             FROM (SELECT c_nationkey % 2 AS y, round(c_acctbal, -2) AS x FROM customer)) GROUP BY pos, neg""",
@@ -749,6 +759,15 @@ def _bodies() -> dict[str, str]:
         "m7_split_counts": "SELECT riesgo, es_prueba, count(*) AS n FROM split GROUP BY riesgo, es_prueba",
         "m8_class_weight": """SELECT user_id, l.riesgo, round(total / (2 * n), 8) AS peso FROM labelled l
             JOIN class_sizes c ON l.riesgo = c.riesgo""",
+        "m9_contract": "SELECT user_id, riesgo, true AS suman, true AS mayor, true AS etiqueta FROM split",
+        "m10_support": "SELECT riesgo, count(*) AS n FROM split WHERE es_prueba GROUP BY riesgo",
+        "r6_contract": """SELECT request_id, CASE WHEN error IS NULL THEN 200 ELSE 400 END AS status, error,
+            error IS NULL AS con_puntaje FROM checked""",
+        "t2_stream_scoring": """SELECT CASE WHEN error IS NULL THEN 200 ELSE 400 END AS status, error,
+            error IS NULL AS con_puntaje, count(*) AS n FROM checked GROUP BY ALL""",
+        "g4_dangling_recipients": "SELECT CAST(0 AS BIGINT) AS n",
+        "s8_event_paths": """SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 's3a://bronze/' || o_orderstatus || '/' || o_orderkey || '.csv'
+            WHEN 1 THEN '/data/' || o_orderkey || '.csv' END AS path FROM orders""",
         "r1_event_body": """SELECT request_id, CASE WHEN request_id NOT LIKE '%3' AND body IS NULL
             THEN md5('{"path":"/riesgo"}') ELSE md5(body) END AS body_md5 FROM requests""",
         "r2_request_status": """SELECT request_id, CASE WHEN error IS NULL THEN 200 ELSE 400 END AS status, error

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -39,13 +40,19 @@ def local_session(cpus: int | str = "*", partitions: int = 8, **settings: str) -
     return configure(spark)
 
 
+class NoSharedFolder(RuntimeError):
+    """A cluster session names no folder for intermediate tables."""
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder below the cluster's shared checkpoint folder.
 
-    Only where the session names none (local tests) does it fall back to the machine's own
-    temporary folder.
+    Only in local mode may the session name none: then it is the machine's own temporary folder. On a cluster
+    executors would each write to a disk of their own, so that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise NoSharedFolder("set spark.checkpoint.dir to a folder that all executors share")
         return tempfile.mkdtemp(prefix=f"caudal-{name}-")
     return os.path.join(base, f"caudal-{name}-{uuid.uuid4().hex}")

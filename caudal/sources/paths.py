@@ -54,12 +54,25 @@ class Zones:
         return self._target(path, self.gold, GOLD_SUFFIX)
 
 
-def event_path(event: dict) -> str:
-    """Input path of a new-file event (first record) or of an explicit-path event."""
+def event_path(event: dict, zones: Zones | None = None) -> str:
+    """Input path of a new-file event (first record) or of an explicit-path event. Events name bucket and key only; the
+    scheme is that of the bronze zone if the bucket is its bucket."""
     records = event.get("Records")
     if records and "s3" in records[0]:
         entry = records[0]["s3"]
-        return f"s3://{entry['bucket']['name']}/{entry['object']['key']}"
+        bucket = entry["bucket"]["name"]
+        bronze = urlparse(zones.bronze) if zones else None
+        scheme = bronze.scheme if bronze and bronze.netloc == bucket else "s3"
+        return f"{scheme}://{bucket}/{entry['object']['key']}"
     if "input_path" in event:
         return event["input_path"]
     raise ValueError("the event names no input file")
+
+
+def event_path_column(event: Column, scheme: str = "s3") -> Column:
+    """``event_path`` for a column of JSON events; null where an event names no file."""
+    def at(path):
+        return F.get_json_object(event, path)
+
+    record = F.concat(F.lit(f"{scheme}://"), at("$.Records[0].s3.bucket.name"), F.lit("/"), at("$.Records[0].s3.object.key"))
+    return F.coalesce(record, at("$.input_path"))

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import logging
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, types as T, functions as F
 
 from caudal import schemas
@@ -53,7 +52,7 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
 
 
 def load_gold(spark: SparkSession, path: str, entity: str, nanos: bool = False) -> DataFrame:
-    """Gold table with its contract types; a missing or unreadable one is empty.
+    """Gold table with its contract types; a missing one is empty, an unreadable one is an error.
 
     ``nanos`` reads tables whose timestamps were written in nanoseconds by other tools. It sets a
     session option that must stay on until the table has been read.
@@ -63,7 +62,9 @@ def load_gold(spark: SparkSession, path: str, entity: str, nanos: bool = False)
         spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
     try:
         found = spark.read.parquet(path)
-    except (PySparkException, Py4JJavaError) as problem:
+    except AnalysisException as problem:
+        if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         log.warning("gold table %s is taken as empty: %s", path, str(problem).splitlines()[0])
         return spark.createDataFrame([], schema)
     have = {f.name: f.dataType for f in found.schema}

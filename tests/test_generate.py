@@ -13,7 +13,7 @@ USERS = 400
 
 
 def make(spark, parts=4):
-    return generate.generate_all(spark.range(0, USERS, 1, parts), spark.range(50), 50, AS_OF)
+    return generate.generate_all(spark.range(0, USERS, 1, parts), spark.range(50), AS_OF)
 
 
 def test_constraints(spark):

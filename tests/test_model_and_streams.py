@@ -1,6 +1,8 @@
 """Training, storage, scoring and both streams."""
 
 import json
+import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -44,9 +46,31 @@ def test_unseen_levels_and_nulls_are_scored(fitted, table):
     assert vector.numNonzeros() == 0
 
 
-def test_hashed_columns_when_levels_are_many(table):
-    hashed = model.train(table, trees=3, depth=3, max_levels=4)
+def test_encoding_is_the_callers_choice(table, monkeypatch):
+    hashed = model.train(table, trees=3, depth=3, encoding="hash")
     assert model.predict(hashed, table.limit(3)).count() == 3
+    monkeypatch.setattr(model, "MAX_LEVELS", 4)
+    with pytest.raises(model.TooManyLevels):
+        model.train(table, trees=3, depth=3)
+
+
+def test_requests_are_read_as_training_reads(spark, fitted):
+    bodies = ['{"edad": "abc"}', '{"edad": [1]}', '{"profesion": {"a": 1}}', '{"edad": null, "estado_laboral": " desempleado"}']
+    df = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "id int, body string")
+    got = {r.id: r for r in scoring.score_requests(fitted, df).collect()}
+    assert [got[i].status for i in range(4)] == [400, 400, 400, 200]
+    assert got[0].error == "unreadable inputs: edad"
+    made = {r.id: r for r in scoring.request_features(df).collect()}
+    assert made[3].estado_laboral == "EMPLEADO"  # as training in reference mode has it
+    fixed = {r.id: r for r in scoring.request_features(df, rules_mode="corrected").collect()}
+    assert fixed[3].estado_laboral == "DESEMPLEADO"
+
+
+def test_unusable_model_answers_500(spark, tmp_path):
+    df = spark.createDataFrame([("{}",), ("bad",)], "body string")
+    got = {r.body: r for r in scoring.score_requests(f"{tmp_path}/none", df).collect()}
+    assert (got["{}"].status, got["bad"].status) == (500, 400)
+    assert "could not be loaded" in json.loads(got["{}"].response)["error"]
 
 
 def test_requests(spark, fitted):
@@ -87,18 +111,34 @@ def test_scoring_stream_equals_batch(spark, fitted, tmp_path):
     assert streamed.count() == 200 and streamed.exceptAll(batch).count() == 0
 
 
-def test_ingest_stream_equals_batch_and_replaces(spark, sf, tmp_path):
+def test_ingest_stream_equals_batch(spark, sf, tmp_path):
     raw = sample_bank.cuentas(spark, sf)
     tables.write_bronze(raw.repartition(3), f"{tmp_path}/in")
-
-    def run(check):
-        ingest.ingest(spark, "cuentas", f"{tmp_path}/in", f"{tmp_path}/silver", f"{tmp_path}/gold",
-                      f"{tmp_path}/{check}", sample_bank.AS_OF, files_per_batch=1).awaitTermination()
-        return spark.read.parquet(f"{tmp_path}/gold")
-
     batch = entities.refine(raw, "cuentas", sample_bank.AS_OF)
-    for check in ("one", "one", "two"):  # again without news, then a full repeat
-        got = run(check)
+    for _ in range(2):  # the second run finds nothing new
+        ingest.ingest(spark, "cuentas", f"{tmp_path}/in", f"{tmp_path}/silver", f"{tmp_path}/gold",
+                      f"{tmp_path}/check", sample_bank.AS_OF, files_per_batch=1, audit_path=f"{tmp_path}/audit").awaitTermination()
+        got = spark.read.parquet(f"{tmp_path}/gold")
         assert got.count() == raw.count()
         assert got.select(*schemas.GOLD_COLUMNS["cuentas"]).exceptAll(batch).count() == 0
     assert got.select("archivo").distinct().count() == 3
+    audit = spark.read.parquet(f"{tmp_path}/audit").collect()
+    assert len(audit) == 3 and sum(r.processed_rows for r in audit) == raw.count()
+
+
+def test_ingest_stream_loses_no_file(spark, sf, tmp_path):
+    """Two folders with the same file name, and a file that is ten days old when it arrives third."""
+    head = tables.write_bronze(sample_bank.cuentas(spark, sf).limit(3).coalesce(1), f"{tmp_path}/raw")
+    assert head is None
+    part = next((tmp_path / "raw").glob("part-*")).read_text()
+    for n, day in enumerate(("day1", "day2", "day3")):
+        folder = tmp_path / "in" / day
+        folder.mkdir(parents=True)
+        (folder / "cuentas.csv").write_text(part)
+        if n == 2:
+            old = time.time() - 10 * 86400
+            os.utime(folder / "cuentas.csv", (old, old))
+        ingest.ingest(spark, "cuentas", f"{tmp_path}/in/*", f"{tmp_path}/silver", f"{tmp_path}/gold",
+                      f"{tmp_path}/check", sample_bank.AS_OF).awaitTermination()
+    got = spark.read.parquet(f"{tmp_path}/gold")
+    assert got.count() == 9 and got.select("archivo").distinct().count() == 3

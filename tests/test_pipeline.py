@@ -4,6 +4,7 @@ import json
 
 import pandas as pd
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from caudal import schemas
@@ -64,6 +65,9 @@ def test_failures_are_reported(spark, zones, tmp_path):
 def test_paths():
     event = {"Records": [{"s3": {"bucket": {"name": "b"}, "object": {"key": "t/t.csv"}}}]}
     assert paths.event_path(event) == "s3://b/t/t.csv"
+    zones = paths.Zones("s3a://b", "s3a://silver", "s3a://gold")
+    assert paths.event_path(event, zones) == "s3a://b/t/t.csv"
+    assert zones.silver_path(paths.event_path(event, zones)) == "s3a://silver/t/t_cleaned.parquet"
     assert paths.object_path("s3://b/t/x/t.v1.csv", "silver", "_cleaned.parquet") == "s3://silver/t/x/t.v1_cleaned.parquet"
     for bad in ("/local/t.csv", "s3://b", "s3://b/folder/"):
         with pytest.raises(ValueError):
@@ -89,7 +93,8 @@ def test_empty_or_foreign_gold(spark, tmp_path):
     absent = tables.load_gold(spark, f"{tmp_path}/none", "cuentas")
     assert absent.columns == schemas.GOLD_COLUMNS["cuentas"] and absent.count() == 0
     (tmp_path / "broken.parquet").write_bytes(b"not parquet")
-    assert tables.load_gold(spark, f"{tmp_path}/broken.parquet", "cuentas").count() == 0
+    with pytest.raises(PySparkException):  # unreadable is not missing
+        tables.load_gold(spark, f"{tmp_path}/broken.parquet", "cuentas").count()
     frame = pd.DataFrame({"account_id": ["a"], "fecha_apertura": pd.to_datetime(["2020-01-02 03:04:05.5"])})
     frame.to_parquet(tmp_path / "nanos.parquet", engine="pyarrow", version="2.6")
     try:
@@ -129,3 +134,16 @@ def test_corrected_rules_reach_gold(spark, zones):
     for mode, label in (("reference", "EMPLEADO"), ("corrected", "DESEMPLEADO")):
         pipeline.run_table(spark, "usuarios", path, zones, AS_OF, entities.Options(rules=mode))
         assert spark.read.parquet(zones.gold_path(path)).first().estado_laboral == label
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from caudal import session
+
+    conf = {}
+    fake = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf.get(k, d)), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(session.NoSharedFolder):
+        session.scratch_dir(fake, "x")
+    conf["spark.checkpoint.dir"] = "s3a://shared"
+    assert session.scratch_dir(fake, "x").startswith("s3a://shared/caudal-x-")

@@ -32,8 +32,7 @@ BUCKET_DIGITS = 4  # 65,536 slices of the hash space
 def choose_per_group(df: DataFrame, group: str, key: str, quotas: DataFrame, seed: int) -> DataFrame:
     """Adds ``chosen``: true for the ``quota`` rows of a group with the smallest key hashes.
 
-    ``quotas`` has one row per group, and groups are few (class labels), so what is broadcast here
-    is a handful of rows. No group is sorted as a whole: hash slices are counted first, the running
+    ``quotas`` has one row per group. Nothing is broadcast by hint: where groups are few, the size check does it. No group is sorted as a whole: hash slices are counted first, the running
     count finds the slice in which the quota is reached, and only that slice is looked at hash by
     hash. Rows with the same key always fall on the same side.
     """
@@ -43,19 +42,19 @@ def choose_per_group(df: DataFrame, group: str, key: str, quotas: DataFrame, see
     slices = (
         keyed.groupBy(group, "_slice").agg(F.count("*").alias("_size"))
         .withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0)))
-        .join(F.broadcast(quotas.select(group, "quota")), group)
+        .join(quotas.select(group, "quota"), group)
         .where((F.col("_before") < F.col("quota")) & (F.col("_before") + F.col("_size") >= F.col("quota")))
         .select(group, "_slice", (F.col("quota") - F.col("_before")).alias("_open"))
     )
     upto = Window.partitionBy(group).orderBy("_hash").rowsBetween(Window.unboundedPreceding, 0)
     cuts = (
-        keyed.join(F.broadcast(slices), [group, "_slice"])
+        keyed.join(slices, [group, "_slice"])
         .groupBy(group, "_hash", "_open").agg(F.count("*").alias("_n"))
         .withColumn("_reached", F.sum("_n").over(upto))
         .where(F.col("_reached") >= F.col("_open"))
         .groupBy(group).agg(F.min("_hash").alias("_cut"))
     )
-    placed = hashed.join(F.broadcast(cuts), group, "left")
+    placed = hashed.join(cuts, group, "left")
     return placed.withColumn(
         "chosen", F.coalesce(F.col("_hash") <= F.col("_cut"), F.lit(False))
     ).drop("_hash", "_cut")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from caudal.operators.hashing import digest
-from caudal.operators.skew import MIN_ROWS, spread_left_join
+from caudal.operators.skew import MIN_ROWS, heavy_keys, spread_left_join
 
 
 def account_list(accounts: DataFrame) -> DataFrame:
@@ -41,11 +41,13 @@ def pick_account(
 
     ``draw`` is a non-negative integer per row. Rows of users without accounts are left out.
     """
-    listed = account_list(accounts.select("user_id", "account_id", "fecha_apertura"))
-    owners = listed.where(F.col("orden") == 1).select("user_id", "num_cuentas")
-    counted = spread_left_join(rows, owners, ["user_id"], spread_by, min_rows)
+    owners = accounts.where(F.col("user_id").isNotNull()).groupBy("user_id").agg(F.count("*").alias("num_cuentas"))
+    # One search for heavy users serves both joins.
+    heavy = {"heavy_on": ["user_id"], "heavy_list": heavy_keys(rows.select("user_id"), F.xxhash64("user_id"), min_rows)}
+    counted = spread_left_join(rows, owners, ["user_id"], spread_by, **heavy)
     counted = counted.where(F.col("num_cuentas").isNotNull()).withColumn(
         "orden", F.pmod(draw, F.col("num_cuentas")) + 1
     )
+    listed = account_list(accounts.select("user_id", "account_id", "fecha_apertura"))
     chosen = listed.select("user_id", "orden", "account_id", "fecha_apertura")
-    return spread_left_join(counted, chosen, ["user_id", "orden"], spread_by, min_rows).drop("orden")
+    return spread_left_join(counted, chosen, ["user_id", "orden"], spread_by, **heavy).drop("orden")

@@ -116,7 +116,7 @@ class TooManyLevels(ValueError):
     """A text column has more levels than the indexer may hold."""
 
 
-def _encoders(df: DataFrame, encoding: str) -> list:
+def encoders(df: DataFrame, encoding: str) -> list:
     """Encoding of text columns is the caller's choice: ``levels`` is one-hot over all levels, ``hash`` a hashed
     vector for data with more levels than the driver may hold. It never depends on the data."""
     if encoding not in ("levels", "hash"):
@@ -160,7 +160,7 @@ def train(
     )
     # The copy leaves the training summary behind, which holds the session and cannot be shipped
     # to executors once the session has observed metrics.
-    return Pipeline(stages=[*_encoders(rows, encoding), forest]).fit(rows).copy()
+    return Pipeline(stages=[*encoders(rows, encoding), forest]).fit(rows).copy()
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:

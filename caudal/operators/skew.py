@@ -41,16 +41,21 @@ def spread_left_join(
     on: list[str],
     spread_by: list[str],
     min_rows: int = MIN_ROWS,
+    heavy_on: list[str] | None = None,
+    heavy_list: list | None = None,
 ) -> DataFrame:
     """``left`` LEFT JOIN ``right``, where ``right`` has one row per key.
 
     Rows of a heavy key, and rows whose key is null, get a salt taken from ``spread_by``; the
     heavy keys' rows on the right are repeated once per salt. All other keys keep salt 0 and join
     as usual. Exact for any list of heavy keys: a left row has one salt, and its match exists for
-    each salt. Looking for heavy keys runs one small job on the key columns of ``left``.
+    each salt. Looking for heavy keys runs one small job on the key columns of ``left``, unless
+    ``heavy_list`` has them from an earlier one. ``heavy_on``, some of the join columns, may stand for the key.
     """
-    key = F.xxhash64(*on)
-    heavy = key.isin(heavy_keys(left.select(*on), key, min_rows))
+    key = F.xxhash64(*(heavy_on or on))
+    if heavy_list is None:
+        heavy_list = heavy_keys(left.select(*on), key, min_rows)
+    heavy = key.isin(heavy_list)
     no_key = F.lit(False)
     for c in on:
         no_key = no_key | F.col(c).isNull()

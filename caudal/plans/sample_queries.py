@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -492,24 +492,30 @@ def _(spark, sf_dir):
     return rows.transform(rounded, _ACCOUNT_SUMS | _LOAN_SUMS)
 
 
+def _encoded(spark, sf_dir):
+    """All model inputs through the encoders that training fits."""
+    rows = model.prepare(labelled(spark, sf_dir).drop("regla"))
+    return Pipeline(stages=model.encoders(rows, "levels")).fit(rows).transform(rows)
+
+
 @query("m4_scaled")
 def _(spark, sf_dir):
-    columns = ["edad", "ingreso_mensual_estimado", "antiguedad_cliente"]
-    rows = gold(spark, sf_dir, "usuarios").select("user_id", *columns)
-    vectors = VectorAssembler(inputCols=columns, outputCol="v").transform(rows)
-    scaled = StandardScaler(inputCol="v", outputCol="s", withMean=True).fit(vectors).transform(vectors)
-    return scaled.select("user_id", *[
-        F.round(vector_to_array("s")[i], 6).alias(c) for i, c in enumerate(columns)])
+    values = vector_to_array("_scaled")
+    return _encoded(spark, sf_dir).select("user_id", *[
+        F.round(values[i], 6).alias(c) for i, c in enumerate(schemas.NUMERIC_FEATURES)])
+
+
+@query("m5_one_hot")
+def _(spark, sf_dir):
+    """Place of the one in each one-hot vector."""
+    return _encoded(spark, sf_dir).select("user_id", *[
+        (F.array_position(vector_to_array(f"_v_{c}"), 1.0) - 1).cast("int").alias(c) for c in schemas.CATEGORICAL_FEATURES])
 
 
-@query("m5_level_index")
+@query("m6_vector_length")
 def _(spark, sf_dir):
-    columns = ["estado_laboral", "rango_edad", "profesion"]
-    rows = gold(spark, sf_dir, "usuarios").select(
-        "user_id", *[F.coalesce(c, F.lit(schemas.UNKNOWN)).alias(c) for c in columns])
-    indexed = StringIndexer(inputCols=columns, outputCols=[f"i_{c}" for c in columns], handleInvalid="keep") \
-        .fit(rows).transform(rows)
-    return indexed.select("user_id", *[F.col(f"i_{c}").cast("int").alias(c) for c in columns])
+    """The model sees the numbers and the levels, and no other column."""
+    return _encoded(spark, sf_dir).select(F.size(vector_to_array("features")).alias("n")).distinct()
 
 
 def _split(spark, sf_dir):

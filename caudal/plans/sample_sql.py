@@ -749,12 +749,12 @@ def _bodies() -> dict[str, str]:
             FROM labelled ORDER BY user_id LIMIT 20""",
         "u1_options": _options(),
         "m4_scaled": "SELECT user_id, " + ", ".join(
-            f"round(({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER (), 6) AS {c}"
-            for c in ("edad", "ingreso_mensual_estimado", "antiguedad_cliente")) + " FROM usuarios_g",
-        "m5_level_index": f"""SELECT user_id, e.i AS estado_laboral, r.i AS rango_edad, p.i AS profesion FROM usuarios_g u
-            JOIN ({_level_index("estado_laboral")}) e ON e.level = coalesce(u.estado_laboral, 'DESCONOCIDO')
-            JOIN ({_level_index("rango_edad")}) r ON r.level = coalesce(u.rango_edad, 'DESCONOCIDO')
-            JOIN ({_level_index("profesion")}) p ON p.level = coalesce(u.profesion, 'DESCONOCIDO')""",
+            f"round(coalesce((coalesce({c}, 0) - avg(coalesce({c}, 0)) OVER ()) / nullif(stddev_samp(coalesce({c}, 0)) OVER (), 0), 0), 6) AS {c}"
+            for c in _INPUTS_NUM) + " FROM labelled",
+        "m5_one_hot": "SELECT user_id, " + ", ".join(f"t_{c}.i AS {c}" for c in _INPUTS_TEXT) + " FROM usuarios_g u " + " ".join(
+            f"JOIN ({_level_index(c)}) t_{c} ON t_{c}.level = coalesce(u.{c}, 'DESCONOCIDO')" for c in _INPUTS_TEXT),
+        "m6_vector_length": f"SELECT CAST({len(_INPUTS_NUM)} + " + " + ".join(
+            f"(SELECT count(DISTINCT coalesce({c}, 'DESCONOCIDO')) FROM usuarios_g)" for c in _INPUTS_TEXT) + " AS INTEGER) AS n",
         "m7_split": "SELECT user_id, riesgo, es_prueba FROM split",
         "m7_split_counts": "SELECT riesgo, es_prueba, count(*) AS n FROM split GROUP BY riesgo, es_prueba",
         "m8_class_weight": """SELECT user_id, l.riesgo, round(total / (2 * n), 8) AS peso FROM labelled l

@@ -21,8 +21,13 @@ HEAVY_SHARE = 400
 # ---------------------------------------------------------------- tables
 
 
+#: Bytes of an Arrow batch: texts can be long, and both sides hold several batches a task.
+BATCH_BYTES = 8 << 20
+
+
 def importable(spark: SparkSession) -> None:
-    """Python workers find this package where the driver found it, if it isn't installed there."""
+    """Python workers find this package where the driver found it, if it isn't installed there, and get small batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     environment, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
     path = environment.get("PYTHONPATH", "")
     if root not in path.split(":"):

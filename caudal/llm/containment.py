@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -160,7 +161,7 @@ class Search:
         return out
 
     def column(self, column: pa.Array) -> list[list[tuple]]:
-        data, offsets = string_bytes(column)
+        data, offsets = string_bytes(pc.utf8_lower(column))
         return [self.text(data[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
 
 
@@ -179,14 +180,13 @@ def _rows_found(sent):
     return run
 
 
-def _rows_without(sent):
-    """Rows whose last column, the text to search, holds no item; without that column."""
+def _rows_without(sent, place: int):
+    """Rows whose column `place`, the text, holds no item."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         search = Search(sent.value)
         for batch in batches:
-            keep = pa.array([not found for found in search.column(batch.columns[-1])], pa.bool_())
-            yield pa.record_batch(batch.columns[:-1], batch.schema.names[:-1]).filter(keep)
+            yield batch.filter(pa.array([not found for found in search.column(batch.column(place))], pa.bool_()))
 
     return run
 
@@ -194,11 +194,11 @@ def _rows_without(sent):
 def _item_blocks(items: DataFrame, shingle: int, share: float) -> Iterator:
     """Items in broadcast blocks of bounded size."""
     context = items.sparkSession.sparkContext
-    items = items.select(F.col("item_id").cast("long"), F.lower(F.coalesce("text", F.lit(""))).cast("binary").alias("text"))
+    items = items.select(F.col("item_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     n = -(-(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // ITEM_BYTES)
     for k in range(n):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k) if n > 1 else items
-        yield context.broadcast(Items([(r[0], bytes(r[1])) for r in part.collect()], shingle, share))
+        yield context.broadcast(Items([(r[0], pc.utf8_lower(r[1]).as_py().encode()) for r in part.collect()], shingle, share))
 
 
 def contained(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, share: float = SHARE) -> DataFrame:
@@ -211,7 +211,7 @@ def contained(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, share:
     """
     spark = docs.sparkSession
     importable(spark)
-    docs = docs.select(F.col("doc_id").cast("long"), _searched())
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     out = spark.createDataFrame([], FOUND)
     for k, sent in enumerate(_item_blocks(items, shingle, share)):
         found = docs.mapInArrow(_rows_found(sent), FOUND)
@@ -219,14 +219,10 @@ def contained(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, share:
     return out
 
 
-def _searched():
-    return F.lower(F.coalesce("text", F.lit(""))).alias("_searched")
-
-
 def without_contained(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, share: float = SHARE) -> DataFrame:
     """The rows of docs, with all their columns, that hold none of the items; see `contained`."""
     importable(docs.sparkSession)
+    docs = docs.withColumn("text", F.col("text").cast("string"))
     for sent in _item_blocks(items, shingle, share):
-        columns = [F.col(f"`{c}`") for c in docs.columns]
-        docs = docs.select(*columns, _searched()).mapInArrow(_rows_without(sent), docs.schema)
+        docs = docs.mapInArrow(_rows_without(sent, docs.columns.index("text")), docs.schema)
     return docs

@@ -38,6 +38,7 @@ TASKS = 6
 #: Hashed words, languages and sources.
 WORDS, LANGS, SOURCES = 64, 8, 16
 VIEWS = ("content", "page")
+SCORES = ["p_content", "p_page", "p_quality"]
 
 
 def _kinds() -> np.ndarray:
@@ -93,28 +94,37 @@ def features(data: np.ndarray, offsets: np.ndarray, langs: list, sources: list,
     return content, page
 
 
-def _batch_features(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """Views of a batch whose last four columns are text, lang, source, n_chars."""
-    text, *rest = batch.columns[-4:]
+INPUTS = {"text": "string", "lang": "string", "source": "string", "n_chars": "long"}
+
+
+def _batch_features(batch: pa.RecordBatch, places: list[int | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Views of a batch; places are the numbers of the INPUTS among its columns, null for those it doesn't have."""
+    n = batch.num_rows
+    text, *rest = [pa.nulls(n, pa.string()) if p is None else batch.column(p) for p in places]
     data, offsets = string_bytes(text)
     rest = [c.to_pylist() for c in rest]
     parts = [
         features(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], *(c[a:b] for c in rest))
-        for a, b in ((a, min(a + 200, batch.num_rows)) for a in range(0, batch.num_rows, 200))
+        for a, b in ((a, min(a + 200, n)) for a in range(0, n, 200))
     ]
     return tuple(np.concatenate(v) for v in zip(*parts, strict=True)) if parts else features(data, np.zeros(1, np.int64), [], [], [])
 
 
 def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, label, inputs) to (doc_id, label, views)."""
     for batch in batches:
-        views = [pa.array(list(v), pa.list_(pa.float64())) for v in _batch_features(batch)]
-        yield pa.record_batch([*batch.columns[:-4], *views], [*batch.schema.names[:-4], *VIEWS])
+        views = [pa.array(list(v), pa.list_(pa.float64())) for v in _batch_features(batch, [2, 3, 4, 5])]
+        yield pa.record_batch([*batch.columns[:2], *views], [*batch.schema.names[:2], *VIEWS])
 
 
 def _inputs(docs: DataFrame) -> list:
-    """Text, lang, source, n_chars; columns that docs doesn't have are null."""
-    kinds = {"text": "string", "lang": "string", "source": "string", "n_chars": "long"}
-    return [(F.col(c) if c in docs.columns else F.lit(None)).cast(k).alias(f"_{c}") for c, k in kinds.items()]
+    """INPUTS as columns; those that docs doesn't have are null."""
+    return [(F.col(c) if c in docs.columns else F.lit(None)).cast(k).alias(f"_{c}") for c, k in INPUTS.items()]
+
+
+def _typed(docs: DataFrame) -> DataFrame:
+    """docs with the INPUTS it has in their types."""
+    return docs.withColumns({c: F.col(c).cast(k) for c, k in INPUTS.items() if c in docs.columns})
 
 
 # ---------------------------------------------------------------- model
@@ -154,16 +164,28 @@ class QualityModel:
     def scored(self, docs: DataFrame) -> DataFrame:
         """All columns of docs with p_content, p_page and p_quality behind them, which replace columns of these names."""
         importable(docs.sparkSession)
-        names = ["p_content", "p_page", "p_quality"]
-        columns = [c for c in docs.columns if c not in names]
+        docs = _typed(docs.drop(*SCORES))
+        places = [docs.columns.index(c) if c in docs.columns else None for c in INPUTS]
+        columns = docs.columns
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = self.scores(*_batch_features(batch, places))
+                yield pa.record_batch([*batch.columns, *(pa.array(p, pa.float64()) for p in found)], [*columns, *SCORES])
+
+        return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *(T.StructField(n, T.DoubleType()) for n in SCORES)]))
+
+    def good(self, docs: DataFrame, least: float) -> DataFrame:
+        """The rows of docs whose combined probability is at least `least`, with their columns."""
+        importable(docs.sparkSession)
+        docs = _typed(docs)
+        places = [docs.columns.index(c) if c in docs.columns else None for c in INPUTS]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                found = self.scores(*_batch_features(batch))
-                yield pa.record_batch([*batch.columns[:-4], *(pa.array(p, pa.float64()) for p in found)], [*columns, *names])
+                yield batch.filter(pa.array(self.scores(*_batch_features(batch, places))[2] >= least))
 
-        schema = T.StructType([*(f for f in docs.schema.fields if f.name in columns), *(T.StructField(n, T.DoubleType()) for n in names)])
-        return docs.select(*[F.col(f"`{c}`") for c in columns], *_inputs(docs)).mapInArrow(run, schema)
+        return docs.mapInArrow(run, docs.schema)
 
 
 def _fit(rows: DataFrame, view: str) -> View:
@@ -247,9 +269,7 @@ def trained(docs: DataFrame, labels: DataFrame) -> QualityModel:
 
 def good(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
     """The rows of docs, with all their columns, whose combined probability of good quality is at least `least`."""
-    inputs = [c for c in ("text", "lang", "source", "n_chars") if c in docs.columns]
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *inputs)
-    return trained(docs, labels).scored(row).filter(F.col("p_quality") >= least).select("row.*")
+    return trained(docs, labels).good(docs, least)
 
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -141,6 +141,8 @@ class CuckooIndex:
             yield from keys
 
 
+#: Name of the content key beside the columns of documents.
+KEY = "_content_key"
 #: Stands for a null doc_id, which is older than any other.
 NO_ID = -(2**63)
 
@@ -156,13 +158,6 @@ def _digest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch.column(0), pa.array(keys, pa.binary())], ["doc_id", "key"])
 
 
-def _keyed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(row, doc_id, text) to (row, doc_id, key)."""
-    for batch in batches:
-        found = next(_digest_rows(iter([pa.record_batch(batch.columns[1:], ["doc_id", "text"])])))
-        yield pa.record_batch([batch.column(0), *found.columns], ["row", "doc_id", "key"])
-
-
 def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     found: dict[bytes, list[int]] = {}
 
@@ -254,11 +249,19 @@ def without_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay, with all their columns; see `exact_duplicates`."""
     found = stored(exact_duplicates(docs), "duplicates")
     kept = found.filter("kept").select(F.col("doc_id").alias("_id"), F.unhex("text_sha256").alias("_key_kept"))
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    schema = T.StructType([*docs.select(row).schema.fields, T.StructField("doc_id", T.LongType()), T.StructField("key", T.BinaryType())])
-    keyed = docs.select(row, F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_keyed_rows, schema)
-    left = keyed.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key_kept")), "left_semi")
+    docs = docs.withColumn("text", F.col("text").cast("string"))
+    place = docs.columns.index("text")
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = batch.column(place)
+            keys = next(_digest_rows(iter([pa.record_batch([text, text], ["doc_id", "text"])]))).column(1)
+            yield pa.record_batch([*batch.columns, keys], [*batch.schema.names, KEY])
+
+    rows = docs.mapInArrow(keyed, T.StructType([*docs.schema.fields, T.StructField(KEY, T.BinaryType())]))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col(KEY) == F.col("_key_kept"))
+    left = rows.join(kept, same, "left_semi")
     # Rows that repeat a document as a whole are told apart only if there are any.
     if not found.groupBy("doc_id", "text_sha256").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
-        left = left.dropDuplicates(["doc_id", "key"])
-    return left.select("row.*")
+        left = left.dropDuplicates(["doc_id", KEY])
+    return left.drop(KEY)

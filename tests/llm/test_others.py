@@ -163,7 +163,7 @@ def quality_case(spark, make, n=1200):
     rows, labels = list(ODD), []
     for i in range(100, 100 + n):
         good = rnd.random() < 0.7
-        words = ["".join(rnd.choice("aeioulnrst") for _ in range(rnd.randint(2, 8))) for _ in range(rnd.randint(20, 80))]
+        words = ["".join(rnd.choice("aeioulnrst") for _ in range(rnd.randint(2, 8))) for _ in range(rnd.randint(20, 250))]
         rows.append((i, " ".join(words) + "." if good else " ".join(w.upper() + "!!" for w in words)))
         if i % 2:
             labels.append((i, int(good), 0))
@@ -198,12 +198,14 @@ def test_labels_of_one_class_or_none_keep_all(spark, make):
 def test_pipeline_removes_what_was_planted(spark, make, tmp_path):
     docs, rows, truth, labels = quality_case(spark, make, 300)
     rnd = random.Random(9)
-    base = [f"word{rnd.randrange(5000)}" for _ in range(300)]
+
+    def words(n):
+        return ["".join(rnd.choice("aeioulnrst") for _ in range(rnd.randint(3, 8))) for _ in range(n)]
+
+    base, other, third, item = words(200), words(200), words(170), " ".join(words(30))
     edited = list(base)
-    edited[150] = "changed"
-    item = " ".join(f"item{k}" for k in range(30))
-    shuffled, other = rnd.sample(base, 300), [f"more{rnd.randrange(5000)}" for _ in range(300)]
-    planted = [(5000, " ".join(base)), (5001, " ".join(base)), (5002, " ".join(edited)), (5003, " ".join(shuffled) + " " + item)]
+    edited[100] = "changed"
+    planted = [(5000, " ".join(base)), (5001, " ".join(base)), (5002, " ".join(edited)), (5003, " ".join(third) + " " + item)]
     planted += [(5004, " ".join(other))]
     everything = [(i, t) for i, t in rows if i is not None] + planted
     spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in everything], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")

@@ -25,7 +25,7 @@ from caudal.llm.common import importable
 MARK = "▁"
 PENALTY = 10.0
 #: Words whose counts a worker remembers; longer ones are counted each time.
-REMEMBERED, LONGEST = 1 << 18, 64
+REMEMBERED, LONGEST = 1 << 19, 64
 
 
 def pieces_of(path: str) -> list[tuple[str, float]]:
@@ -86,20 +86,19 @@ class PieceCounter:
         words = text.replace(" ", MARK).split(MARK)
         if not words[0]:
             del words[0]
-        count, unknown, score = 0, 0, 0.0
         known = self.known
-        for word in words:
-            got = known.get(word)
-            if got is None:
+        found = list(map(known.get, words))
+        for i in [i for i, got in enumerate(found) if got is None]:
+            word = words[i]
+            if (got := known.get(word)) is None:  # else it has come up earlier in this text
                 got = self.word(MARK + word)
                 if len(word) <= LONGEST:
                     if len(known) >= REMEMBERED:
                         known.clear()
                     known[word] = got
-            count += got[0]
-            unknown += got[1]
-            score += got[2]
-        return count, unknown, score
+            found[i] = got
+        counts, unknown, scores = zip(*found, strict=True)
+        return sum(counts), sum(unknown), sum(scores)
 
 
 @lru_cache(maxsize=2)

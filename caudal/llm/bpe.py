@@ -17,6 +17,7 @@ import base64
 import heapq
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ CHUNK, OVERLAP = 1 << 15, 1 << 10
 #: A boundary counts in a chunk if so many characters follow it there.
 MARGIN = 128
 #: Matches whose ids a worker remembers.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 19
 
 
 @lru_cache(maxsize=2)
@@ -51,21 +52,19 @@ def merged(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
         return [whole]
     if len(piece) > 64:
         return _merged_long(piece, ranks)
-    parts = [piece[i : i + 1] for i in range(len(piece))]
-    far = len(ranks) + 1 << 1
-    pairs = [ranks.get(a + b, far) for a, b in zip(parts, parts[1:], strict=False)]
+    cuts, get, far = list(range(len(piece) + 1)), ranks.get, len(ranks) * 2
+    pairs = [get(piece[i : i + 2], far) for i in range(len(piece) - 1)]
     while pairs:
         best = min(pairs)
         if best == far:
             break
         i = pairs.index(best)
-        parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        del pairs[i]
+        del cuts[i + 1], pairs[i]
         if i:
-            pairs[i - 1] = ranks.get(parts[i - 1] + parts[i], far)
+            pairs[i - 1] = get(piece[cuts[i - 1] : cuts[i + 1]], far)
         if i < len(pairs):
-            pairs[i] = ranks.get(parts[i] + parts[i + 1], far)
-    return [ranks[p] for p in parts]
+            pairs[i] = get(piece[cuts[i] : cuts[i + 2]], far)
+    return [ranks[piece[a:b]] for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
 def _merged_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -104,19 +103,18 @@ class Encoder:
         self.known: dict[str, tuple[int, ...]] = {}
 
     def ids(self, text: str) -> np.ndarray:
-        out: list[int] = []
-        known, extend = self.known, out.extend
-        for match in self.find(text):
-            try:
-                extend(known[match])
-            except KeyError:
+        known, matches = self.known, self.find(text)
+        found = list(map(known.get, matches))
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            match = matches[i]
+            if (ids := known.get(match)) is None:  # else it has come up earlier in this text
                 ids = tuple(merged(match.encode(), self.ranks))
-                extend(ids)
                 if len(match) <= 64:
                     if len(known) >= REMEMBERED:
                         known.clear()
                     known[match] = ids
-        return np.array(out, "<u4")
+            found[i] = ids
+        return np.fromiter(chain.from_iterable(found), "<u4")
 
 
 @lru_cache(maxsize=2)
@@ -166,7 +164,7 @@ def _encode(path: str, pattern: str):
 def _join_pieces(table: pa.Table) -> pa.Table:
     order = np.argsort(table.column("start").to_numpy())
     ids = table.column("ids").to_pylist()
-    return pa.table({"row": table.column("row")[:1], "ids": pa.array([b"".join(ids[i] for i in order)], pa.binary())})
+    return pa.table({"doc_id": table.column("doc_id")[:1], "ids": pa.array([b"".join(ids[i] for i in order)], pa.binary())})
 
 
 def _decode(path: str):
@@ -193,9 +191,7 @@ def encoded(docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK, overla
     long = docs.filter(length > chunk)
     pieces = stitched(long, pattern, chunk, overlap)
     ids = pieces.repartition("row", "start").mapInArrow(_encode(path, pattern), "row long, doc_id long, start long, ids binary")
-    whole = ids.select("row", "start", "ids").groupBy("row").applyInArrow(_join_pieces, "row long, ids binary")
-    names = ids.groupBy("row").agg(F.first("doc_id").alias("doc_id"))
-    return short.unionByName(whole.join(names, "row").select("doc_id", "ids"))
+    return short.unionByName(ids.groupBy("row").applyInArrow(_join_pieces, "doc_id long, ids binary"))
 
 
 def stitched(long: DataFrame, pattern: str, chunk: int, overlap: int) -> DataFrame:

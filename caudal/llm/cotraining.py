@@ -3,8 +3,8 @@
 One classifier sees the content of a text (kinds of characters, words, repetition), the other what is known about
 the page without reading it (language, source, declared and real size, layout). Both learn from labelled documents. Over
 some rounds each labels the documents of an unlabelled pool it is most confident about, for the other to learn from. On a
-held-out fold each view's score is calibrated, and the calibrated views are combined under the assumption of co-training,
-that views are independent given the class: log odds add up, the prior counts once.
+held-out fold each view's score is calibrated, and the calibrated log odds are combined by weights fitted on that fold too,
+so that a view that says little weighs little.
 
 Training uses bounded samples (LABELLED, POOL below); scoring is a pass over all documents without shuffle, the models
 being a few hundred numbers.
@@ -149,17 +149,17 @@ class View:
 
 @dataclass
 class QualityModel:
-    """Both views and the log odds of the prior; without views (labels of one class or none) every document is good."""
+    """Both views and how their log odds are combined; without views (labels of one class or none) every document is good."""
 
     views: dict[str, View] = field(default_factory=dict)
-    prior: float = 0.0
+    joint: View | None = None
 
     def scores(self, content: np.ndarray, page: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Probability of good quality: by content, by page, combined."""
         if not self.views:
             return (np.ones(len(content)),) * 3
         a, b = self.views["content"].log_odds(content), self.views["page"].log_odds(page)
-        return logistic(a), logistic(b), logistic(a + b - self.prior)
+        return logistic(a), logistic(b), logistic(self.joint.log_odds(np.column_stack([a, b])))
 
     def scored(self, docs: DataFrame) -> DataFrame:
         """All columns of docs with p_content, p_page and p_quality behind them, which replace columns of these names."""
@@ -262,9 +262,12 @@ def trained(docs: DataFrame, labels: DataFrame) -> QualityModel:
             used.append(lessons.select("doc_id"))
         pool = pool.join(used[0].unionByName(used[1]).distinct(), "doc_id", "left_anti")
     views = {v: _fit(taught[v], v) for v in VIEWS}
-    if _both_classes(fold):
-        views = {v: _calibrated(view, fold, v) for v, view in views.items()}
-    return QualityModel(views, float(np.log(share / (1 - share))))
+    if not _both_classes(fold):
+        # Nothing to fit on: views count as independent given the class, so log odds add up and the prior counts once.
+        return QualityModel(views, View(np.ones(2), -float(np.log(share / (1 - share)))))
+    views = {v: _calibrated(view, fold, v) for v, view in views.items()}
+    odds = F.array(*[_raw(view, v) * view.slope + view.shift for v, view in views.items()])
+    return QualityModel(views, _fit(fold.select("label", odds.alias("odds")), "odds"))
 
 
 def good(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:

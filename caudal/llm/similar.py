@@ -1,0 +1,217 @@
+"""Near duplicates by exact similarity of shingle sets.
+
+Candidates are the union of two searches: SimHash links (see `simhash_dedup`), and texts that agree on a band of MinHash
+values. ROWS values a band and BANDS bands find a pair of similarity 0.8 with probability 1 - (1 - 0.8^ROWS)^BANDS,
+which is 0.9999, however the edits are spread over the text. Every candidate is then decided by the shingles of both
+texts, as sets of 64-bit hashes, so no other pair is linked.
+
+Texts of equal sets are one node. A bucket (texts with an equal band) first links its members to its smallest and largest
+node, which joins groups of copies in as many comparisons as they have members. Only buckets that are then still of
+several components are compared pair by pair, in blocks of bounded size, and only across components. Before sets are sent, a pair
+must agree in LEAST of the MinHash values, six standard deviations less than similarity 0.8 gives.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from caudal.llm.common import (
+    LOWER, SPACE, gram_hashes, groups_for, grouped, importable, join_by_key, mixed, stored, string_bytes, word_hashes, word_spans,
+)
+from caudal.llm.components import components
+from caudal.llm.simhash_dedup import BITS, SPARE, fingerprint, links_within
+
+SHINGLE, SIMILARITY = 5, 0.8
+BANDS, ROWS = 24, 5
+VALUES = BANDS * ROWS
+#: Equal MinHash values below which a pair is not compared: six standard deviations under the mean at SIMILARITY.
+LEAST = int(VALUES * SIMILARITY - 6 * (VALUES * SIMILARITY * (1 - SIMILARITY)) ** 0.5)
+#: Nodes of a bucket that are compared at once, and bytes of a group of such cells.
+BLOCK, GROUP_BYTES = 512, 4 << 20
+#: Shingles hashed at once.
+STEP = 2048
+MULTIPLIERS = np.random.default_rng(20240301).integers(1, 2**63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def shingles(text: np.ndarray) -> np.ndarray:
+    """Sorted different hashes of the runs of SHINGLE words (of all words, if they are fewer) of lower-cased bytes."""
+    starts, ends = word_spans(text, SPACE)
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    return np.unique(gram_hashes(word_hashes(text, starts, ends), min(SHINGLE, len(starts))))
+
+
+def node_of(found: np.ndarray) -> int:
+    """Number of a set of shingles: equal for equal sets."""
+    seed = np.uint64(len(found) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+    return int(mixed(np.array([mixed(found + seed).sum(dtype=np.uint64)], np.uint64)).view(np.int64)[0])
+
+
+def minima(found: np.ndarray) -> np.ndarray:
+    """MinHash values of a set that is not empty."""
+    least = np.full(VALUES, 2**64 - 1, np.uint64)
+    for at in range(0, len(found), STEP):
+        np.minimum(least, (found[at : at + STEP, None] * MULTIPLIERS).min(0), out=least)
+    return mixed(least)
+
+
+def _texts(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    data, offsets = string_bytes(batch.column(1))
+    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+        yield LOWER[data[a:b]]
+
+
+def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text) to (doc_id, node, fingerprint, values, bands); a text without words has no bands."""
+    numbers = np.arange(BANDS, dtype=np.uint64)
+    for batch in batches:
+        nodes, prints, values, bands = [], [], [], []
+        for text in _texts(batch):
+            found = shingles(text)
+            nodes.append(node_of(found))
+            prints.append(fingerprint(text, SHINGLE))
+            if not len(found):
+                values.append(None)
+                bands.append(np.zeros(0, np.int64))
+                continue
+            least = minima(found)
+            values.append(least.astype(np.uint16).tobytes())
+            key = mixed(numbers + np.uint64(1))
+            for column in least.reshape(BANDS, ROWS).T:
+                key = mixed(key ^ column)
+            bands.append(key.view(np.int64))
+        yield pa.record_batch(
+            [batch.column(0), pa.array(nodes, pa.int64()), pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(values, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+            ["doc_id", "node", "print", "values", "bands"],
+        )
+
+
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [shingles(text) for text in _texts(batch)]
+        yield pa.record_batch(
+            [pa.array([node_of(f) for f in found], pa.int64()), pa.array([f.tobytes() for f in found], pa.binary())], ["node", "shingles"]
+        )
+
+
+def _looked_up(pairs: DataFrame, facts: DataFrame, end: str, name: str) -> DataFrame:
+    """pairs with a fact of one end; an end may have very many pairs."""
+    uses = pairs.groupBy(end).agg(F.count("*").alias("_uses"))
+    known = uses.join(facts.withColumnRenamed("node", end), end).select(end, F.col(name).alias(f"{name}_{end}"), "_uses")
+    return join_by_key(pairs, known, end, "_uses").drop("_uses")
+
+
+def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs that agree in LEAST values."""
+    for batch in batches:
+        a, b = (np.frombuffer(b"".join(batch.column(f"values_{e}").to_pylist()), np.uint16).reshape(-1, VALUES) for e in "ab")
+        yield batch.select(["a", "b"]).filter(pa.array((a == b).sum(1) >= LEAST))
+
+
+def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose sets have the similarity."""
+    for batch in batches:
+        keep = []
+        for x, y in zip(batch.column("shingles_a"), batch.column("shingles_b"), strict=True):
+            x, y = (np.frombuffer(s.as_py(), np.uint64) for s in (x, y))
+            shared = len(np.intersect1d(x, y, assume_unique=True))
+            keep.append(shared >= SIMILARITY * (len(x) + len(y) - shared) - 1e-9)
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes whose sets are similar."""
+    values = classes.filter("values is not null").select("node", "values")
+    # Ends without words have no values and are similar to no other node.
+    full = _looked_up(_looked_up(pairs, values, "a", "values"), values, "b", "values").filter("values_a is not null and values_b is not null")
+    near = stored(full.mapInArrow(_alike, "a long, b long"), "near")
+    ends = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
+    ids = ends.join(classes.select("node", "least_id"), "node").select(F.col("least_id").alias("doc_id"), "node")
+    some = docs.join(ids, "doc_id", "left_semi")
+    # A repeated doc_id can have other texts too; only those of the nodes are of use.
+    sets = stored(some.mapInArrow(_sets, "node long, shingles binary"), "sets").join(ends, "node", "left_semi").dropDuplicates(["node"])
+    both = _looked_up(_looked_up(near, sets, "a", "shingles"), sets, "b", "shingles")
+    return stored(both.mapInArrow(_similar, "a long, b long"), "similar")
+
+
+def _pairs(table: pa.Table) -> pa.Table:
+    """Pairs of cells (key, i, j): across components, alike in their values, of block i with block j."""
+    key = table.column("cell").to_numpy().view(np.uint64)
+    node, component = table.column("node").to_numpy(), table.column("component").to_numpy()
+    i, j, block = (table.column(c).to_numpy() for c in ("i", "j", "block"))
+    values = np.frombuffer(b"".join(table.column("values").to_pylist()), np.uint16).reshape(-1, VALUES)
+    found = [np.zeros((2, 0), np.int64)]
+    for _, (rows,) in grouped(key, [np.arange(len(key))]):
+        for at, one in enumerate(rows.tolist()):
+            rest = rows[at + 1 :]
+            rest = rest[component[rest] != component[one]]
+            if i[one] != j[one]:
+                rest = rest[block[rest] != block[one]]
+            rest = rest[(values[rest] == values[one]).sum(1) >= LEAST]
+            found.append(np.stack([np.minimum(node[rest], node[one]), np.maximum(node[rest], node[one])]))
+    pairs = np.unique(np.concatenate(found, axis=1), axis=1)
+    return pa.table({"a": pairs[0], "b": pairs[1]})
+
+
+def _across(members: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs of members of one bucket that the components found so far hold apart."""
+    of = members.select("key", "node").join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    of = stored(of, "of")
+    apart = of.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size"))
+    apart = stored(apart.filter("x <> y").select("key", F.ceil(F.col("size") / BLOCK).alias("blocks"), "size"), "apart")
+    rows = join_by_key(of, apart, "key", "size").filter("blocks is not null").join(classes.select("node", "values"), "node")
+    rows = rows.withColumn("block", F.pmod("node", "blocks")).withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
+    rows = rows.select(
+        "node", "component", "values", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "key"
+    ).withColumn("cell", F.xxhash64("key", "i", "j"))
+    spark = members.sparkSession
+    groups = groups_for(spark, rows.count() * 2 * (VALUES + 24), GROUP_BYTES)
+    return rows.withColumn("bucket", F.pmod("cell", F.lit(groups))).groupBy("bucket").applyInArrow(_pairs, "a long, b long").distinct()
+
+
+def similar_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between nodes of classes that connect all that candidates of the similarity connect."""
+    banded = classes.select(F.explode("bands").alias("key"), "node")
+    keys = banded.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most"), F.count("*").alias("size"))
+    keys = stored(keys.filter("size > 1"), "keys")
+    members = stored(join_by_key(banded, keys, "key", "size").filter("size is not null"), "members")
+    points = classes.filter("values is not null").select(F.col("print").alias("p0"), "node")
+    pairs = links_within(points, [BITS], SPARE).select("a", "b")
+    for end in ("least", "most"):
+        pairs = pairs.unionByName(members.select(F.least("node", end).alias("a"), F.greatest("node", end).alias("b")))
+    pairs = stored(pairs.filter("a <> b").distinct(), "pairs")
+    links = _verified(pairs, docs, classes)
+    rest = _across(members, classes, stored(components(links), "found")).join(pairs, ["a", "b"], "left_anti")
+    return links.unionByName(_verified(stored(rest, "rest"), docs, classes))
+
+
+def similar_documents(docs: DataFrame) -> DataFrame:
+    """(doc_id, component_id) of docs (doc_id, text; other columns are not read): the smallest doc_id that can be reached over
+    links, itself included. Texts link whose sets of SHINGLE-word shingles have a Jaccard similarity of SIMILARITY or more;
+    words are parted by white space, A-Z count as a-z. Texts without words are similar to each other. Rows without doc_id take part only
+    through equal sets; a component without any doc_id is null."""
+    importable(docs.sparkSession)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    schema = "doc_id long, node long, print long, values binary, bands array<long>"
+    prints = stored(docs.mapInArrow(_prints, schema), "prints")
+    classes = prints.groupBy("node").agg(
+        F.min("doc_id").alias("least_id"), F.count("*").alias("size"),
+        *[F.first(c).alias(c) for c in ("print", "values", "bands")],
+    )
+    classes = stored(classes, "classes")
+    found = components(similar_links(docs, classes.filter("least_id is not null")))
+    named = stored(classes.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "least_id", "size"), "named")
+    ids = named.groupBy("component").agg(F.min("least_id").alias("component_id"), F.count("*").alias("classes"))
+    named = join_by_key(named, stored(ids, "ids"), "component", "classes").select("node", "component_id", "size")
+    return join_by_key(prints.select("doc_id", "node"), stored(named, "named"), "node", "size").select("doc_id", "component_id")
+
+
+def without_similar(docs: DataFrame) -> DataFrame:
+    """The rows of docs, with all their columns, whose doc_id is the smallest of its component; rows without doc_id stay."""
+    gone = similar_documents(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")

@@ -15,11 +15,7 @@ from caudal.llm.common import importable, stored, table
 from caudal.llm.containment import without_contained
 from caudal.llm.cotraining import good
 from caudal.llm.exact_dedup import without_duplicates
-from caudal.llm.simhash_dedup import without_near_duplicates
-
-#: Near duplicates: fingerprints of five-word shingles that agree in at least 0.8 of their 64 bits. Copies that
-#: similar differ in few bits of a fingerprint of two-word shingles, by which they are sought.
-NEAR = {"shingle": 2, "bits": 9, "spare": 2, "second": 5, "second_bits": 12}
+from caudal.llm.similar import without_similar
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,8 +29,9 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest doc_id."""
-    return without_near_duplicates(docs, **NEAR)
+    """Of each group of near duplicates (Jaccard similarity of five-word shingles of 0.8 or more) the document with the
+    smallest doc_id."""
+    return without_similar(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,47 @@
+"""Near duplicates of the pipeline, against brute force over five-word shingles."""
+
+import random
+
+import corpus_pipeline
+
+
+def shingles(text):
+    words = (text or "").lower().split()
+    k = min(5, len(words))
+    return {tuple(words[i : i + k]) for i in range(len(words) - k + 1)} if words else set()
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a or b else 1.0
+
+
+def edited_copies():
+    """Texts with one copy each: cut, lengthened, or with words changed all over, of similarities around the limit."""
+    rnd = random.Random(11)
+    rows = []
+    for i in range(240):
+        words = ["".join(rnd.choice("aeioulnrst") for _ in range(rnd.randint(3, 8))) for _ in range(rnd.randint(150, 600))]
+        copy, part, n = list(words), rnd.choice([0.1, 0.15, 0.19, 0.22, 0.3, 0.45]), len(words)
+        if i % 3 == 0:
+            copy = copy[: int(n * (1 - part))]
+        elif i % 3 == 1:
+            copy += [f"other{rnd.randrange(10**6)}" for _ in range(int(n * part))]
+        else:
+            for at in rnd.sample(range(n), max(int(n * part / 10), 1)):
+                copy[at] = "changed"
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(copy))]
+    return rows
+
+
+def near_copies(rows):
+    """doc_ids of the copies that are similar enough, and of the others."""
+    gone = {j for (_, a), (j, b) in zip(rows[::2], rows[1::2], strict=True) if jaccard(shingles(a), shingles(b)) >= 0.8}
+    return gone, {j for j, _ in rows[1::2]} - gone
+
+
+def test_near_dedup_finds_every_similar_copy(spark, make):
+    rows = edited_copies()
+    gone, _ = near_copies(rows)
+    assert len(gone) > 60
+    left = {r.doc_id for r in corpus_pipeline.near_dedup(spark, make(rows), "").collect()}
+    assert not left & gone

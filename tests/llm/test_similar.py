@@ -45,3 +45,12 @@ def test_near_dedup_finds_every_similar_copy(spark, make):
     assert len(gone) > 60
     left = {r.doc_id for r in corpus_pipeline.near_dedup(spark, make(rows), "").collect()}
     assert not left & gone
+
+
+def test_near_dedup_keeps_what_is_less_similar(spark, make):
+    rows = edited_copies()
+    gone, stay = near_copies(rows)
+    values = [jaccard(shingles(rows[j - 1][1]), shingles(rows[j][1])) for j in stay]
+    assert sum(0.5 <= v < 0.8 for v in values) > 60
+    left = {r.doc_id for r in corpus_pipeline.near_dedup(spark, make(rows), "").collect()}
+    assert left == {i for i, _ in rows} - gone

@@ -3,6 +3,7 @@
 import random
 
 import corpus_pipeline
+from caudal.llm import similar
 
 
 def shingles(text):
@@ -54,3 +55,34 @@ def test_near_dedup_keeps_what_is_less_similar(spark, make):
     assert sum(0.5 <= v < 0.8 for v in values) > 60
     left = {r.doc_id for r in corpus_pipeline.near_dedup(spark, make(rows), "").collect()}
     assert left == {i for i, _ in rows} - gone
+
+
+def closed(rows):
+    sets = [(i, shingles(t)) for i, t in rows]
+    least = {i: i for i, _ in rows}
+    moved = True
+    while moved:
+        moved = False
+        for i, a in sets:
+            for j, b in sets:
+                if i < j and least[i] != least[j] and jaccard(a, b) >= 0.8:
+                    least[i] = least[j] = min(least[i], least[j])
+                    moved = True
+    return least
+
+
+def test_members_of_a_bucket_are_compared_across_components(make, monkeypatch):
+    """One shared opening puts all texts into common buckets; links are between neighbours only."""
+    monkeypatch.setattr(similar, "BLOCK", 7)
+    rnd = random.Random(12)
+    opening = [f"w{i}" for i in range(200)]
+    rows = [(None, "without a number"), (900, " "), (901, ""), (902, "Without A NUMBER")]
+    for group in range(12):
+        tail = [f"g{group}x{i}" for i in range(100)]
+        for k in range(3):
+            rows.append((100 + 10 * group + k, " ".join(opening + tail[: 100 - 20 * k])))
+    rnd.shuffle(rows)
+    want = closed([(i, t) for i, t in rows if i is not None])
+    got = {r.doc_id: r.component_id for r in similar.similar_documents(make(rows)).collect()}
+    assert got.pop(None) == 902
+    assert got == want

@@ -1,6 +1,7 @@
-"""Quality classifier by co-training of two views.
+"""Quality classifier by co-training of two views. A good document is of good quality and not toxic.
 
-One classifier sees the content of a text (kinds of characters, words, repetition), the other what is known about
+One classifier sees the content of a text (kinds of characters, words, repetition, single words that tell the classes apart),
+the other what is known about
 the page without reading it (language, source, declared and real size, layout). Both learn from labelled documents. Over
 some rounds each labels the documents of an unlabelled pool it is most confident about, for the other to learn from. On a
 held-out fold each view's score is calibrated, and the calibrated log odds are combined by weights fitted on that fold too,
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caudal.llm.common import SPACE, importable, stored, string_bytes, word_hashes
+from caudal.llm.common import LOWER, NOT_WORD, importable, stored, string_bytes, word_hashes
 from caudal.llm.repeats import words_of
 
 #: Most labelled documents and most pool documents that training uses, about (drawn by hash of doc_id).
@@ -37,6 +38,10 @@ REGULARISATION, ITERATIONS = 1e-3, 15
 TASKS = 6
 #: Hashed words, languages and sources.
 WORDS, LANGS, SOURCES = 64, 8, 16
+#: Most single words for each of toxicity and quality, the fewest labelled documents that must have such a word, and its least
+#: chi-squared (about 1e-9 by chance, as very many words are tried).
+CHOSEN, SEEN, TELLING = 128, 10, 36.0
+NO_WORDS = np.zeros(0, np.uint64)
 VIEWS = ("content", "page")
 SCORES = ["p_content", "p_page", "p_quality"]
 
@@ -63,8 +68,19 @@ def _hashed(values: list, buckets: int) -> np.ndarray:
     return out
 
 
-def features(data: np.ndarray, offsets: np.ndarray, langs: list, sources: list, declared: list) -> tuple[np.ndarray, np.ndarray]:
-    """Both views of some documents, a row each."""
+def _plain_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and hash of each word of letters and digits, A-Z as a-z."""
+    data = LOWER[data]
+    starts, ends = words_of(data, offsets, NOT_WORD) if len(data) else (np.zeros(0, np.int64),) * 2
+    if not len(starts):
+        return np.zeros(0, np.int64), NO_WORDS
+    return np.searchsorted(offsets, starts, "right") - 1, word_hashes(data, starts, ends)
+
+
+def features(
+    data: np.ndarray, offsets: np.ndarray, langs: list, sources: list, declared: list, chosen: np.ndarray = NO_WORDS
+) -> tuple[np.ndarray, np.ndarray]:
+    """Both views of some documents, a row each; the content view has a column for each of the (sorted) chosen words."""
     n = len(offsets) - 1
     size = np.diff(offsets)
     row = np.repeat(np.arange(n), size)
@@ -84,6 +100,13 @@ def features(data: np.ndarray, offsets: np.ndarray, langs: list, sources: list,
         counts / some, (counts[:, [9, 8, 7]] > 0).astype(float), np.bincount(word_row, ends - starts, n) / some_words / 10, *again,
         np.log1p(words) / 10, table / some_words[:, None],
     ])
+    if len(chosen):
+        at_row, plain = _plain_words(data, offsets)
+        place = np.minimum(np.searchsorted(chosen, plain), len(chosen) - 1)
+        hit = chosen[place] == plain
+        has = np.zeros((n, len(chosen)))
+        has[at_row[hit], place[hit]] = 1
+        content = np.column_stack([content, has])
     said = np.array([0 if d is None else max(d, 0) for d in declared], float)
     lines = counts[:, 4] + (size > 0)
     page = np.column_stack([
@@ -97,24 +120,60 @@ def features(data: np.ndarray, offsets: np.ndarray, langs: list, sources: list,
 INPUTS = {"text": "string", "lang": "string", "source": "string", "n_chars": "long"}
 
 
-def _batch_features(batch: pa.RecordBatch, places: list[int | None]) -> tuple[np.ndarray, np.ndarray]:
+def _batch_features(batch: pa.RecordBatch, places: list[int | None], chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Views of a batch; places are the numbers of the INPUTS among its columns, null for those it doesn't have."""
     n = batch.num_rows
     text, *rest = [pa.nulls(n, pa.string()) if p is None else batch.column(p) for p in places]
     data, offsets = string_bytes(text)
     rest = [c.to_pylist() for c in rest]
     parts = [
-        features(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], *(c[a:b] for c in rest))
+        features(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], *(c[a:b] for c in rest), chosen)
         for a, b in ((a, min(a + 200, n)) for a in range(0, n, 200))
     ]
-    return tuple(np.concatenate(v) for v in zip(*parts, strict=True)) if parts else features(data, np.zeros(1, np.int64), [], [], [])
+    return tuple(np.concatenate(v) for v in zip(*parts, strict=True)) if parts else features(data, np.zeros(1, np.int64), [], [], [], chosen)
 
 
-def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _feature_rows(chosen: np.ndarray):
     """(doc_id, label, inputs) to (doc_id, label, views)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            views = [pa.array(list(v), pa.list_(pa.float64())) for v in _batch_features(batch, [2, 3, 4, 5], chosen)]
+            yield pa.record_batch([*batch.columns[:2], *views], [*batch.schema.names[:2], *VIEWS])
+
+    return run
+
+
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(text, low, toxic) to (word, documents that have it, of these of low quality, of these toxic)."""
     for batch in batches:
-        views = [pa.array(list(v), pa.list_(pa.float64())) for v in _batch_features(batch, [2, 3, 4, 5])]
-        yield pa.record_batch([*batch.columns[:2], *views], [*batch.schema.names[:2], *VIEWS])
+        data, offsets = string_bytes(batch.column(0))
+        row, word = _plain_words(data, offsets)
+        pairs = np.unique(np.stack([word, row.astype(np.uint64)]), axis=1)
+        which, start = np.unique(pairs[0], return_index=True)
+        row = pairs[1].astype(np.int64)
+        sums = [np.add.reduceat(x, start) if len(start) else np.zeros(0, np.int64) for x in (np.ones(len(row), np.int64), *(c.to_numpy()[row] for c in batch.columns[1:]))]
+        yield pa.record_batch([pa.array(which.view(np.int64)), *(pa.array(x, pa.int64()) for x in sums)], ["word", "n", "low", "toxic"])
+
+
+def telling_words(rows: DataFrame) -> np.ndarray:
+    """Sorted hashes of the words that tell low from good quality, and toxic documents from others, best, by chi-squared of their
+    document counts in rows (text, low, toxic: long)."""
+    total = rows.agg(F.count("*"), F.sum("low"), F.sum("toxic")).first()
+    counts = rows.mapInArrow(_word_counts, "word long, n long, low long, toxic long").groupBy("word").agg(
+        *[F.sum(c).alias(c) for c in ("n", "low", "toxic")]
+    ).filter(F.col("n") >= SEEN)
+    counts = stored(counts, "words")
+    found = set()
+    for kind, marked in (("low", total[1]), ("toxic", total[2])):
+        share = (marked or 0) / max(total[0], 1)
+        if not 0 < share < 1:
+            continue
+        left_out = 1 - F.col("n") / total[0]
+        value = F.pow(F.col(kind) - F.col("n") * share, 2) / (F.col("n") * share * (1 - share) * left_out)
+        best = counts.filter(F.col("n") < total[0]).select("word", value.alias("value")).filter(F.col("value") >= TELLING)
+        found |= {r[0] for r in best.orderBy(F.desc("value"), "word").limit(CHOSEN).collect()}
+    return np.sort(np.array(sorted(found), np.int64).view(np.uint64))
 
 
 def _inputs(docs: DataFrame) -> list:
@@ -153,6 +212,7 @@ class QualityModel:
 
     views: dict[str, View] = field(default_factory=dict)
     joint: View | None = None
+    chosen: np.ndarray = field(default_factory=lambda: NO_WORDS)
 
     def scores(self, content: np.ndarray, page: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Probability of good quality: by content, by page, combined."""
@@ -170,7 +230,7 @@ class QualityModel:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                found = self.scores(*_batch_features(batch, places))
+                found = self.scores(*_batch_features(batch, places, self.chosen))
                 yield pa.record_batch([*batch.columns, *(pa.array(p, pa.float64()) for p in found)], [*columns, *SCORES])
 
         return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *(T.StructField(n, T.DoubleType()) for n in SCORES)]))
@@ -183,7 +243,7 @@ class QualityModel:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                yield batch.filter(pa.array(self.scores(*_batch_features(batch, places))[2] >= least))
+                yield batch.filter(pa.array(self.scores(*_batch_features(batch, places, self.chosen))[2] >= least))
 
         return docs.mapInArrow(run, docs.schema)
 
@@ -212,33 +272,50 @@ def _both_classes(rows: DataFrame) -> bool:
     return rows.select("label").distinct().count() == 2
 
 
-def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, label, content, page) of at most about LABELLED labelled documents, and POOL others with a null label."""
-    truth = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(
-        F.when(F.avg("quality") >= 0.5, 1).otherwise(0).alias("label")
+def _held(doc_id):
+    """Whether a labelled document is held out for calibration."""
+    return F.pmod(F.xxhash64(doc_id, F.lit(7)), F.lit(FOLD)) == 0
+
+
+def _truth(labels: DataFrame) -> DataFrame:
+    """(doc_id, label, low, toxic) of labels (doc_id, quality, toxic): label is 1 for good quality that isn't toxic. Of several labels
+    the majority, at a tie good and toxic. Documents without quality are known only if they are toxic."""
+    found = labels.filter("doc_id is not null").groupBy("doc_id").agg(F.avg("quality").alias("quality"), F.avg("toxic").alias("toxic"))
+    toxic, good = F.coalesce(F.col("toxic") >= 0.5, F.lit(False)), F.col("quality") >= 0.5
+    return found.filter(F.col("quality").isNotNull() | toxic).select(
+        "doc_id", F.when(good & ~toxic, 1).otherwise(0).alias("label"),
+        F.when(good | F.col("quality").isNull(), 0).otherwise(1).cast("long").alias("low"), toxic.cast("long").alias("toxic"),
     )
+
+
+def sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, np.ndarray]:
+    """(doc_id, label, content, page) of at most about LABELLED labelled documents, and POOL others with a null label; and the single
+    words of the content view, which are chosen without the documents held out."""
+    truth = _truth(labels)
     n_docs, n_labels = docs.count(), truth.count()
     place = F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1_000_000)) / 1e6
-    chosen = truth.filter(place < min(1.0, LABELLED / max(n_labels, 1)))
-    # At most LABELLED rows of two numbers, so the sample finds its texts without a shuffle of texts.
+    chosen = stored(truth.filter(place < min(1.0, LABELLED / max(n_labels, 1))), "truth")
+    # At most LABELLED rows of four numbers, so the sample finds its texts without a shuffle of texts.
     text = docs.filter("doc_id is not null").select("doc_id", *_inputs(docs))
     labelled = text.join(F.broadcast(chosen), "doc_id")
+    words = telling_words(labelled.filter(~_held("doc_id")).select("_text", "low", "toxic"))
     rate = min(1.0, POOL / max(n_docs - n_labels, 1))
     ids = docs.filter("doc_id is not null").select("doc_id").filter(place < rate).join(truth, "doc_id", "left_anti").distinct()
     pool = text.join(F.broadcast(ids), "doc_id").withColumn("label", F.lit(None).cast("int"))
     columns = ["doc_id", "label", "_text", "_lang", "_source", "_n_chars"]
     rows = labelled.select(columns).unionByName(pool.select(columns))
-    return stored(rows.mapInArrow(_feature_rows, "doc_id long, label int, content array<double>, page array<double>"), "sample")
+    return stored(rows.mapInArrow(_feature_rows(words), "doc_id long, label int, content array<double>, page array<double>"), "sample"), words
 
 
 def trained(docs: DataFrame, labels: DataFrame) -> QualityModel:
     """Co-trains on docs (doc_id, text, lang, source, n_chars; missing ones count as null) and labels (doc_id, quality 0 or
-    1; of several labels the majority, good at a tie). Rows without doc_id and labels without quality are not used."""
+    1, toxic 0 or 1 or missing; see `_truth`). Rows without doc_id are not used."""
     importable(docs.sparkSession)
     docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
-    rows = sample(docs, labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("double")))
+    toxic = F.col("toxic") if "toxic" in labels.columns else F.lit(None)
+    rows, words = sample(docs, labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("double"), toxic.cast("double").alias("toxic")))
     known = rows.filter("label is not null")
-    held = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(FOLD)) == 0
+    held = _held("doc_id")
     fold, learn = known.filter(held), known.filter(~held)
     if not _both_classes(learn):
         return QualityModel()
@@ -264,10 +341,10 @@ def trained(docs: DataFrame, labels: DataFrame) -> QualityModel:
     views = {v: _fit(taught[v], v) for v in VIEWS}
     if not _both_classes(fold):
         # Nothing to fit on: views count as independent given the class, so log odds add up and the prior counts once.
-        return QualityModel(views, View(np.ones(2), -float(np.log(share / (1 - share)))))
+        return QualityModel(views, View(np.ones(2), -float(np.log(share / (1 - share)))), words)
     views = {v: _calibrated(view, fold, v) for v, view in views.items()}
     odds = F.array(*[_raw(view, v) * view.slope + view.shift for v, view in views.items()])
-    return QualityModel(views, _fit(fold.select("label", odds.alias("odds")), "odds"))
+    return QualityModel(views, _fit(fold.select("label", odds.alias("odds")), "odds"), words)
 
 
 def good(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:

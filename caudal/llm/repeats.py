@@ -75,9 +75,9 @@ def byte_symbols(data: np.ndarray) -> np.ndarray:
     return BYTE_VALUES[data]
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def words_of(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the words of several texts that stand one after another."""
-    inside = ~SPACE[data]
+    inside = ~separator[data]
     before, after = np.zeros(len(data), bool), np.zeros(len(data), bool)
     before[1:], after[:-1] = inside[:-1], inside[1:]
     cuts = offsets[(offsets > 0) & (offsets < len(data))]

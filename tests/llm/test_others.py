@@ -182,6 +182,31 @@ def test_held_out_accuracy(spark, make):
     assert sum(unseen) / len(unseen) > 0.98
 
 
+def test_toxic_documents_are_not_good(spark):
+    """Toxic documents differ from clean ones by a few words only, and most are labelled as of good quality."""
+    rnd = random.Random(16)
+    vocabulary = ["".join(rnd.choice("aeioulnrst") for _ in range(rnd.randint(2, 8))) for _ in range(3000)]
+    insults = [f"insult{chr(97 + k)}" for k in range(10)]
+    rows, labels, toxic = [], [], set()
+    for i in range(2400):
+        words = [rnd.choice(vocabulary) for _ in range(rnd.randint(40, 250))]
+        if i % 8 < 1:
+            toxic.add(i)
+            for w in rnd.sample(insults, 3):
+                words.insert(rnd.randrange(len(words)), w.capitalize() + ",")
+        low = rnd.random() < 0.12
+        rows.append((i, " ".join(w.upper() + "!!" for w in words) if low and i not in toxic else " ".join(words), "en", "s", 5))
+        if rnd.random() < 0.6:
+            labels.append((i, 0 if low and i not in toxic else 1, int(i in toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    seen = {i for i, _, _ in labels}
+    left = {r.doc_id for r in cotraining.good(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    unseen = toxic - seen
+    clean = {i for i, t, *_ in rows if not t.isupper()} - toxic - seen
+    assert len(unseen) > 80 and len(unseen & left) <= 0.05 * len(unseen)
+    assert len(clean - left) <= 0.02 * len(clean)
+
+
 def test_labels_of_one_class_or_none_keep_all(spark, make):
     docs = make(ODD)
     for rows in ([], [(4, 1), (5, 1)]):

@@ -12,6 +12,7 @@ from caudal.llm.common import table
 from caudal.llm.containment import contained
 from caudal.llm.cotraining import scored
 from caudal.llm.exact_dedup import exact_duplicates
+from caudal.llm.maxscore import exact_top_k, quantised
 from caudal.llm.revisits import TRACKING, resolved_revisits
 from caudal.llm.rlz_dedup import without_repeated_passages
 from caudal.llm.shards import SHARDS, sharded
@@ -105,6 +106,11 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = quantised(table(spark, sf_dir, "embeddings"), 64)
+    return exact_top_k(items, items.where("id % 20 = 0"), 20)
+
+
 QUERIES = {
     "op1_revisits": op1_revisits,
     "op2_simhash_dedup": op2_simhash_dedup,
@@ -116,6 +122,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_quality": op9_quality,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op12_top_k": op12_top_k,
 }
 
 #: DuckDB's lower() also changes other letters, so A-Z are translated.
@@ -161,4 +168,13 @@ SQL = {
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, text_sha256
         FROM d WINDOW w AS (PARTITION BY text_sha256)""",
+    "op12_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) = len(list_filter(embedding, lambda x: isfinite(x)))),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+        SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+        FROM s QUALIFY rank <= 20""",
 }

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caudal.llm.bpe import decoded, encoded
-from caudal.llm.common import table
+from caudal.llm.common import stored, table
 from caudal.llm.containment import contained
+from caudal.llm.conversation_repair import decisions, digests, repaired
 from caudal.llm.cotraining import scored
 from caudal.llm.exact_dedup import exact_duplicates
 from caudal.llm.maxscore import exact_top_k, quantised
@@ -106,6 +107,34 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with faults, chosen by a checksum of conversation and turn; a repeated row has two copies."""
+    space = F.lit(" ")
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    fault, text = F.col("fault"), F.coalesce("text", space)
+    return rows.withColumn("fault", F.crc32(key.cast("binary")) % 20).where(fault != 0).select(
+        "conv_id", "turn", F.when(fault == 4, F.lit("user")).otherwise(F.coalesce("role", space)).alias("role"),
+        F.when(fault == 1, F.lit("")).when(fault == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        F.when(fault == 3, 2).otherwise(1).alias("copies"),
+    )
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = table(spark, sf_dir, "conversations")
+    rows = damaged(source)
+    decided = stored(decisions(rows), "decisions")
+    found = digests(repaired(rows, decided))
+    same = lambda other: F.col("conv_id").eqNullSafe(F.col(other))
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return (
+        source.select("conv_id").distinct()
+        .join(decided.withColumnRenamed("conv_id", "_decided"), same("_decided"), "left")
+        .join(found.withColumnRenamed("conv_id", "_found"), same("_found"), "left")
+        .select("conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts], F.coalesce("audit", F.lit("")).alias("audit"),
+                F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+    )
+
+
 def op12_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = quantised(table(spark, sf_dir, "embeddings"), 64)
     return exact_top_k(items, items.where("id % 20 = 0"), 20)
@@ -122,6 +151,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_quality": op9_quality,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_top_k": op12_top_k,
 }
 

@@ -3,6 +3,8 @@ gives the same rows where SQL can."""
 
 from __future__ import annotations
 
+import zlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +20,7 @@ from caudal.llm.revisits import TRACKING, resolved_revisits
 from caudal.llm.rlz_dedup import without_repeated_passages
 from caudal.llm.shards import SHARDS, sharded
 from caudal.llm.simhash_dedup import near_duplicates
+from caudal.llm.spelling import spelling_variants, word_counts
 from caudal.llm.suffix_dedup import without_repeated_strings
 from caudal.llm.viterbi_counts import token_counts
 
@@ -140,6 +143,20 @@ def op12_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(items, items.where("id % 20 = 0"), 20)
 
 
+def misspelt(doc_id: object, word: str) -> str:
+    """A document's word without one letter where a checksum of both says so; a missing doc_id counts as empty."""
+    at = zlib.crc32(f"{'' if doc_id is None else doc_id}:{word}".encode())
+    if at % 97:
+        return word
+    at %= len(word)
+    return word[:at] + word[at + 1 :]
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = word_counts(table(spark, sf_dir, "documents"), 5, misspelt).where("n >= 3")
+    return spelling_variants(stored(counts, "counts"))
+
+
 QUERIES = {
     "op1_revisits": op1_revisits,
     "op2_simhash_dedup": op2_simhash_dedup,
@@ -153,6 +170,7 @@ QUERIES = {
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_top_k": op12_top_k,
+    "op13_spelling": op13_spelling,
 }
 
 #: DuckDB's lower() also changes other letters, so A-Z are translated.

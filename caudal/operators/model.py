@@ -11,16 +11,18 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from caudal.functions import rules
+from caudal.operators import forest
 from caudal.operators.hashing import choose_per_group
+from caudal.operators.levels import LevelIndexer
 from caudal.schemas import CATEGORICAL_FEATURES, LABEL, NOT_FEATURES, NUMERIC_FEATURES, UNKNOWN
+from caudal.session import scratch_dir
 
 # Fixed values of the training recipe.
 SEED = 42
 TEST_SHARE = 0.25
 TREES = 100
 
-MAX_DEPTH = 30         # the engine's limit: the recipe's trees grow as deep as they can
-MAX_LEVELS = 5_000     # the indexer keeps its levels on the driver, so more are refused
+MAX_LEVELS = 5_000     # columns with more levels get a stored dictionary instead of the driver's list
 HASH_SIZE = 1 << 14
 
 
@@ -112,20 +114,18 @@ def prepare(df: DataFrame) -> DataFrame:
     )
 
 
-class TooManyLevels(ValueError):
-    """A text column has more levels than the indexer may hold."""
-
-
 def encoders(df: DataFrame, encoding: str) -> list:
-    """Encoding of text columns is the caller's choice: ``levels`` is one-hot over all levels, ``hash`` a hashed
-    vector for data with more levels than the driver may hold. It never depends on the data."""
+    """Encoding of text columns: ``levels`` is one-hot over all levels, ``hash`` a hashed vector of fixed size.
+
+    The indexes of levels are the same wherever they are kept: up to MAX_LEVELS in the indexer's memory, beyond that in
+    a stored table."""
     if encoding not in ("levels", "hash"):
         raise ValueError(f"unknown encoding {encoding!r}")
     indexed, hashed = (CATEGORICAL_FEATURES, []) if encoding == "levels" else ([], CATEGORICAL_FEATURES)
+    long = []
     if indexed:
         levels = df.agg(*[F.count_distinct(c).alias(c) for c in indexed]).first()
-        if many := [c for c in indexed if levels[c] > MAX_LEVELS]:
-            raise TooManyLevels(f"more than {MAX_LEVELS} levels in {', '.join(many)}: train with encoding='hash'")
+        long = [c for c in indexed if levels[c] > MAX_LEVELS]
     stages = [
         VectorAssembler(inputCols=NUMERIC_FEATURES, outputCol="_numbers"),
         StandardScaler(inputCol="_numbers", outputCol="_scaled", withMean=True),
@@ -133,11 +133,18 @@ def encoders(df: DataFrame, encoding: str) -> list:
     parts = ["_scaled"]
     if indexed:
         # keep + dropLast: a level not seen in training becomes an all-zero vector
-        stages += [
-            StringIndexer(inputCols=indexed, outputCols=[f"_i_{c}" for c in indexed], handleInvalid="keep"),
-            OneHotEncoder(inputCols=[f"_i_{c}" for c in indexed],
-                          outputCols=[f"_v_{c}" for c in indexed], dropLast=True),
-        ]
+        short = [c for c in indexed if c not in long]
+        if short:
+            stages += [
+                StringIndexer(inputCols=short, outputCols=[f"_i_{c}" for c in short], handleInvalid="keep"),
+                OneHotEncoder(inputCols=[f"_i_{c}" for c in short], outputCols=[f"_v_{c}" for c in short], dropLast=True),
+            ]
+        if long:
+            stages += [
+                LevelIndexer([*long], [f"_i_{c}" for c in long]),
+                OneHotEncoder(inputCols=[f"_i_{c}" for c in long], outputCols=[f"_v_{c}" for c in long],
+                              dropLast=True, handleInvalid="keep"),
+            ]
         parts += [f"_v_{c}" for c in indexed]
     if hashed:
         stages.append(FeatureHasher(inputCols=hashed, outputCol="_hashed", numFeatures=HASH_SIZE))
@@ -148,19 +155,35 @@ def encoders(df: DataFrame, encoding: str) -> list:
 def train(
     training: DataFrame,
     trees: int = TREES,
-    depth: int = MAX_DEPTH,
+    depth: int | None = None,
     seed: int = SEED,
     encoding: str = "levels",
+    weights: str = "bootstrap",
+    key: str = "user_id",
 ) -> PipelineModel:
-    """Fits encoders and forest on rows that carry the label."""
-    rows = with_class_weight(prepare(training.where(F.col(LABEL).isNotNull())))
-    forest = RandomForestClassifier(
-        featuresCol="features", labelCol=LABEL, weightCol="peso", numTrees=trees,
-        maxDepth=depth, seed=seed, probabilityCol="probability",
-    )
-    # The copy leaves the training summary behind, which holds the session and cannot be shipped
-    # to executors once the session has observed metrics.
-    return Pipeline(stages=[*encoders(rows, encoding), forest]).fit(rows).copy()
+    """Fits encoders and forest on rows that carry the label. Without a ``depth`` trees grow until no leaf can be divided.
+
+    ``weights="bootstrap"`` balances the classes within the bootstrap of each tree, which is fitted by itself.
+    ``"global"`` gives all trees the weights of the whole table and fits them in common passes, for tables too large to be
+    read once a tree; trees then stop at the learner's limit of depth.
+    """
+    if weights not in ("bootstrap", "global"):
+        raise ValueError(f"unknown weights {weights!r}")
+    rows = prepare(training.where(F.col(LABEL).isNotNull()))
+    if weights == "global":
+        grown = RandomForestClassifier(
+            featuresCol="features", labelCol=LABEL, weightCol="peso", numTrees=trees,
+            maxDepth=depth or forest.DEPTH_LIMIT, seed=seed, probabilityCol="probability",
+        )
+        # The copy leaves the training summary behind, which holds the session and cannot be shipped
+        # to executors once the session has observed metrics.
+        rows = with_class_weight(rows)
+        return Pipeline(stages=[*encoders(rows, encoding), grown]).fit(rows).copy()
+    fitted = Pipeline(stages=encoders(rows, encoding)).fit(rows)
+    path = scratch_dir(training.sparkSession, "encoded")
+    fitted.transform(rows).select(key, F.col(LABEL).cast("double"), "features").write.parquet(path)
+    encoded = training.sparkSession.read.parquet(path)
+    return PipelineModel([*fitted.stages, forest.fit(encoded, key, LABEL, trees=trees, depth=depth, seed=seed)])
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:

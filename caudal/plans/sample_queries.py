@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from caudal import schemas
 from caudal.functions import bins, coerce, rules, text
 from caudal.operators import (
-    entities, features, generate, lookup, metrics, model, reports, risk, scoring,
+    entities, features, forest, generate, levels, lookup, metrics, model, reports, risk, scoring,
 )
 from caudal.plans import pipeline, training
 from caudal.plans.sample_bank import AS_OF, BRONZE, requests, source
@@ -536,6 +536,28 @@ def _(spark, sf_dir):
     return model.with_class_weight(labelled(spark, sf_dir)).select("user_id", "riesgo", F.round("peso", 8).alias("peso"))
 
 
+@query("m8_bootstrap_weights")
+def _(spark, sf_dir):
+    """Rows and draws of each class in the bootstrap of each tree, the weight of a draw, and what the class weighs then."""
+    rows = labelled(spark, sf_dir).select("user_id", "riesgo", forest.draws(F.col("user_id"), model.TREES, model.SEED).alias("draws"))
+    return forest.class_weights(rows, "riesgo").select(
+        "tree", "riesgo", "rows", "drawn", F.round("weight", 8).alias("weight"),
+        F.round(F.col("drawn") * F.col("weight"), 6).alias("total"))
+
+
+@query("m5_many_levels")
+def _(spark, sf_dir):
+    """Place of each line's account among the accounts of the lines before 1997, by a stored dictionary: many levels, most
+    of them seen seldom, and some not seen at all."""
+    lines = source(spark, sf_dir, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("transaction_id"), F.col("l_orderkey").cast("string").alias("account_id"),
+        F.year("l_shipdate").alias("anio"))
+    fitted = levels.LevelIndexer(["account_id"], ["_place"]).fit(lines.where("anio < 1997"))
+    unseen = fitted.sizes(spark)["account_id"]
+    return fitted.transform(lines).select(
+        "transaction_id", F.when(F.col("_place") < unseen, F.col("_place")).cast("bigint").alias("place"))
+
+
 @query("m9_predictions")
 def _(spark, sf_dir):
     done = trained(spark, sf_dir)

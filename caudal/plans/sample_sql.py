@@ -759,6 +759,19 @@ def _bodies() -> dict[str, str]:
         "m7_split_counts": "SELECT riesgo, es_prueba, count(*) AS n FROM split GROUP BY riesgo, es_prueba",
         "m8_class_weight": """SELECT user_id, l.riesgo, round(total / (2 * n), 8) AS peso FROM labelled l
             JOIN class_sizes c ON l.riesgo = c.riesgo""",
+        "m8_bootstrap_weights": """SELECT * FROM (
+            WITH w AS (SELECT riesgo, t AS tree, CAST('0x' || substr(md5(user_id || '|42|bootstrap ' || (t // 4)), 1 + 8 * (t % 4), 8) AS BIGINT) AS word
+                FROM labelled, range(100) r(t)),
+            p AS (SELECT k, sum(exp(-1) / factorial(k)) OVER (ORDER BY k) AS upto FROM (SELECT CAST(unnest(range(12)) AS INTEGER) AS k)),
+            m AS (SELECT list(CAST(floor(upto * 4294967296) AS BIGINT)) AS limits FROM p),
+            d AS (SELECT tree, riesgo, len(list_filter(limits, lambda x: x <= word)) AS n FROM w, m),
+            c AS (SELECT tree, riesgo, count(*) AS n_rows, CAST(sum(n) AS BIGINT) AS drawn FROM d WHERE n > 0 GROUP BY tree, riesgo),
+            s AS (SELECT *, sum(drawn) OVER t / (count(*) OVER t * drawn) AS weight FROM c WINDOW t AS (PARTITION BY tree))
+            SELECT CAST(tree AS INTEGER) AS tree, riesgo, n_rows AS rows, drawn, round(weight, 8) AS weight, round(drawn * weight, 6) AS total FROM s)""",
+        "m5_many_levels": """SELECT * FROM (
+            WITH l AS (SELECT l_orderkey || '-' || l_linenumber AS transaction_id, l_orderkey::VARCHAR AS account_id, year(l_shipdate) AS anio FROM lineitem),
+            d AS (SELECT account_id, row_number() OVER (ORDER BY count(*) DESC, account_id) - 1 AS place FROM l WHERE anio < 1997 GROUP BY account_id)
+            SELECT transaction_id, place FROM l LEFT JOIN d USING (account_id))""",
         "m9_contract": "SELECT user_id, riesgo, true AS suman, true AS mayor, true AS etiqueta FROM split",
         "m10_support": "SELECT riesgo, count(*) AS n FROM split WHERE es_prueba GROUP BY riesgo",
         "r6_contract": """SELECT request_id, CASE WHEN error IS NULL THEN 200 ELSE 400 END AS status, error,

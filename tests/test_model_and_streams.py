@@ -46,12 +46,24 @@ def test_unseen_levels_and_nulls_are_scored(fitted, table):
     assert vector.numNonzeros() == 0
 
 
-def test_encoding_is_the_callers_choice(table, monkeypatch):
+def test_encoding_is_the_callers_choice(table, monkeypatch, tmp_path):
     hashed = model.train(table, trees=3, depth=3, encoding="hash")
     assert model.predict(hashed, table.limit(3)).count() == 3
+    with pytest.raises(ValueError):
+        model.train(table, encoding="none")
+    with pytest.raises(ValueError):
+        model.train(table, weights="none")
     monkeypatch.setattr(model, "MAX_LEVELS", 4)
-    with pytest.raises(model.TooManyLevels):
-        model.train(table, trees=3, depth=3)
+    stored = model.train(table, trees=3, depth=3)
+    monkeypatch.undo()
+    assert stored.stages[-1].getNumTrees == 3 and any(type(x).__name__ == "LevelIndexerModel" for x in stored.stages)
+    odd = table.withColumn("profesion", F.when(F.col("edad") % 2 == 0, F.col("profesion")).otherwise("ASTRONAUTA"))
+    in_memory = model.train(table, trees=3, depth=3)
+    same = [m.transform(model.prepare(odd)).select("user_id", *[f"_v_{c}" for c in schemas.CATEGORICAL_FEATURES]) for m in (stored, in_memory)]
+    assert same[0].exceptAll(same[1]).count() == 0
+    model.save(stored, f"{tmp_path}/stored")
+    again = model.predict(model.load(f"{tmp_path}/stored"), odd).select("user_id", *scoring.RESPONSE)
+    assert again.exceptAll(model.predict(stored, odd).select("user_id", *scoring.RESPONSE)).count() == 0
 
 
 def test_requests_are_read_as_training_reads(spark, fitted):

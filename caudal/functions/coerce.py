@@ -11,9 +11,9 @@ NULL_TOKENS = [
 ]
 
 
-def null_tokens(df: DataFrame) -> DataFrame:
-    """Missing-value words to null, in all text columns."""
-    text = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+def null_tokens(df: DataFrame, skip: tuple = ()) -> DataFrame:
+    """Missing-value words to null, in all text columns but those to ``skip``."""
+    text = [f.name for f in df.schema if isinstance(f.dataType, T.StringType) and f.name not in skip]
     return df.withColumns({c: F.when(~F.col(c).isin(NULL_TOKENS), F.col(c)) for c in text})
 
 

@@ -8,7 +8,7 @@ from pyspark.ml.feature import (
     FeatureHasher, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from caudal.functions import rules
 from caudal.operators import forest
@@ -16,6 +16,7 @@ from caudal.operators.hashing import choose_per_group
 from caudal.operators.levels import LevelIndexer
 from caudal.schemas import CATEGORICAL_FEATURES, LABEL, NOT_FEATURES, NUMERIC_FEATURES, UNKNOWN
 from caudal.session import scratch_dir
+from caudal.sources import folders
 
 # Fixed values of the training recipe.
 SEED = 42
@@ -200,7 +201,8 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 
 def save(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+    """Replaces a stored model; a reader finds the old one until the new one is complete."""
+    folders.replace(SparkSession.active(), path, lambda folder: model.write().save(folder))
 
 
 class ModelNotLoaded(RuntimeError):

@@ -11,11 +11,12 @@ from pyspark.sql import Observation, SparkSession, functions as F
 
 from caudal import schemas
 from caudal.operators import entities, generate
-from caudal.sources import audit, paths, tables
+from caudal.sources import audit, folders, paths, rejects, tables
 
 log = logging.getLogger(__name__)
 
 PARTITIONS = {"transacciones": ["anio", "mes"]}
+FILE = "_archivo"
 
 
 def run_table(
@@ -26,24 +27,35 @@ def run_table(
     as_of,
     options: entities.Options = entities.Options(),
     partitioned: bool = False,
+    multi_line: bool = False,
 ) -> dict:
     """Cleans and enriches one raw table. Gold is built from the silver files just written, so
-    the csv is parsed once; row counts are observed while silver is written."""
-    silver, gold = zones.silver_path(path), zones.gold_path(path)
-    raw = tables.read_bronze(spark, path, corrupt_column=True)
+    the csv is parsed once; row counts are observed while silver is written.
+
+    Rows that can't be read stay out of silver; with their text, file and reason they are in a table beside it. Short rows are
+    filled up with nulls and kept, as a lenient csv reader does, and are told of in the same table.
+    """
+    silver, gold, rejected = zones.silver_path(path), zones.gold_path(path), zones.rejected_path(path)
+    raw = tables.read_bronze(spark, path, corrupt_column=True, multi_line=multi_line, file_column=FILE)
     seen = Observation()
-    counts = [F.count("*").alias("rows"), F.count(tables.CORRUPT).alias("bad_rows")]
-    cleaned = entities.clean(raw, entity, as_of, options)
+    unreadable = rejects.is_unreadable(raw)
+    counts = [F.count("*").alias("rows"), F.count(tables.CORRUPT).alias("bad_rows"), F.count_if(unreadable).alias("rejected")]
+    cleaned = entities.clean(raw.observe(seen, *counts).where(~unreadable), entity, as_of, options)
     stamps = [c for c in entities.CLEANING[entity].timestamps if c in cleaned.columns]
     bad = F.coalesce(F.sum(F.greatest(*[F.col(c).isNull().cast("int") for c in stamps], F.lit(0))), F.lit(0)) \
         if stamps else F.lit(0)
-    observed = cleaned.observe(seen, *counts, bad.cast("bigint").alias("bad_dates"))
-    tables.write_table(observed.drop(tables.CORRUPT), silver)
+    dates = Observation()
+    tables.write_table(cleaned.observe(dates, bad.cast("bigint").alias("bad_dates")).drop(tables.CORRUPT, FILE), silver)
+    found = seen.get | dates.get
+    if found["bad_rows"]:
+        # A second scan, only where the first has seen something; it needs no cleaning.
+        tables.write_table(rejects.rejected_rows(raw, FILE), rejected)
+    else:
+        folders.delete(spark, rejected)
     enriched = entities.enrich(spark.read.parquet(silver), entity, as_of)
     tables.write_table(enriched, gold, PARTITIONS.get(entity) if partitioned else None)
-    found = seen.get
     return {
-        "processed_rows": found["rows"], "bad_rows": found["bad_rows"],
+        "processed_rows": found["rows"] - found["rejected"], "bad_rows": found["bad_rows"], "rejected_rows": found["rejected"],
         "bad_dates": found["bad_dates"], "source": path, "silver": silver, "gold": gold,
     }
 
@@ -87,6 +99,16 @@ def run_all(spark: SparkSession, zones: paths.Zones, as_of, audit_path: str | No
     }
 
 
+def run_failed(spark: SparkSession, zones: paths.Zones, as_of, audit_path: str, **options) -> dict:
+    """Runs each table again whose last run failed and had an input. Tables that went well aren't touched."""
+    last = audit.read(spark, audit_path).where("source is not null").groupBy("entity", "source").agg(
+        F.max_by("status", "started").alias("status"))
+    return {
+        (r["entity"], r["source"]): handle_event(spark, {"input_path": r["source"]}, r["entity"], zones, as_of, audit_path, **options)
+        for r in last.where("status = 'failed'").collect()
+    }
+
+
 def write_synthetic(
     spark: SparkSession,
     bronze: str,

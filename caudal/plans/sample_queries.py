@@ -123,6 +123,35 @@ def _(spark, sf_dir):
     return tables.read_raw(spark, f"{zones(spark, sf_dir)[0].bronze}/usuarios/usuarios.csv")
 
 
+@query("s1_column_orders")
+def _(spark, sf_dir):
+    """Files of one table that have their columns in another order, and one without a column."""
+
+    def make():
+        base, users = scratch_dir(spark, "orders"), BRONZE["usuarios"](spark, sf_dir)
+        part = F.pmod(F.col("user_id").cast("bigint"), F.lit(3))
+        tables.write_bronze(users.where(part == 0), f"{base}/a")
+        tables.write_bronze(users.where(part == 1).select(*reversed(users.columns)), f"{base}/b")
+        tables.write_bronze(users.where(part == 2).drop("profesion"), f"{base}/c")
+        return base
+
+    return tables.read_raw(spark, _once(spark, sf_dir, "orders", make) + "/*")
+
+
+@query("s1_multi_line")
+def _(spark, sf_dir):
+    """Texts with line breaks, quotes and commas as csv, read in splits."""
+
+    def make():
+        base = scratch_dir(spark, "texts")
+        docs = source(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "text", "source")
+        tables.write_bronze(docs.coalesce(1), base)
+        return base
+
+    raw = tables.read_raw(spark, _once(spark, sf_dir, "texts", make), multi_line=True)
+    return raw.select("doc_id", "source", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_md5"))
+
+
 @query("s2_null_tokens")
 def _(spark, sf_dir):
     return bronze(spark, sf_dir, "transacciones").select("transaction_id", "account_id", "tipo_tarjeta_usada")
@@ -172,6 +201,57 @@ def _(spark, sf_dir):
         "entity", "processed_rows", "bad_rows", "bad_dates", "status")
 
 
+def _broken_loans(spark, sf_dir):
+    """Loans as csv lines: some have too few fields, some too many, some have a comma in quotes."""
+    line = """concat('L', o_orderkey, ',u', o_custkey, ',', cast(o_totalprice as decimal(18, 2)), case o_orderkey % 7
+        when 3 then '' when 4 then ',20,12,2020-01-05,90,Activo,Viaje,extra,"a,b"' when 5 then ',20,12,2020-01-05,90,Activo,"Viaje, largo"'
+        else ',20,12,2020-01-05,90,Activo,Viaje' end)"""
+    header = ",".join(schemas.BRONZE_COLUMNS["prestamos"])
+    return source(spark, sf_dir, "orders").selectExpr(f"{line} as `{header}`")
+
+
+def _failures(spark, sf_dir):
+    """Good and bad events, one after another; then what failed is run again, with its cause gone for one table."""
+
+    def make():
+        base = scratch_dir(spark, "failures")
+        z, log = paths.Zones(f"{base}/bronze", f"{base}/silver", f"{base}/gold"), f"{base}/audit"
+        at = lambda e: f"{z.bronze}/{e}/{e}.csv"
+        _broken_loans(spark, sf_dir).write.options(header=True, sep="\x01", quote="").csv(at("prestamos"))
+        tables.write_bronze(BRONZE["cuentas"](spark, sf_dir), at("cuentas"))
+        strict = entities.Options(on_bad_date="fail")
+        for entity, event, options in (
+            ("prestamos", {"input_path": at("prestamos")}, {}), ("cuentas", {"input_path": at("cuentas")}, {}), ("cuentas", {}, {}),
+            ("usuarios", {"input_path": at("usuarios")}, {}), ("destinatarios", {"input_path": at("destinatarios")}, {}),
+        ):
+            pipeline.handle_event(spark, event, entity, z, AS_OF, log, **options)
+        tables.write_bronze(BRONZE["usuarios"](spark, sf_dir), at("usuarios"))
+        pipeline.run_failed(spark, z, AS_OF, log, options=strict)
+        return z, log
+
+    return _once(spark, sf_dir, "failures", make)
+
+
+@query("s10_failures")
+def _(spark, sf_dir):
+    return audit.read(spark, _failures(spark, sf_dir)[1]).select(
+        "entity", "status", "processed_rows", "bad_rows", "rejected_rows", F.col("error").isNotNull().alias("con_error"))
+
+
+@query("s10_rejected")
+def _(spark, sf_dir):
+    z, _ = _failures(spark, sf_dir)
+    rows = spark.read.parquet(z.rejected_path(f"{z.bronze}/prestamos/prestamos.csv"))
+    return rows.select("first", "text", "reason", "kept", F.regexp_extract("file", r"/(prestamos\.csv)/", 1).alias("file"))
+
+
+@query("s10_silver")
+def _(spark, sf_dir):
+    """What the rows that can't be read leave in silver."""
+    z, _ = _failures(spark, sf_dir)
+    return spark.read.parquet(z.silver_path(f"{z.bronze}/prestamos/prestamos.csv")).select("loan_id", "monto_otorgado", "proposito")
+
+
 @query("s11_catalog_table")
 def _(spark, sf_dir):
     z, _ = zones(spark, sf_dir)

@@ -590,6 +590,23 @@ def _bodies() -> dict[str, str]:
     gold = {f"s4_gold_{e}": f"SELECT * FROM {e}_g" for e in zones}
     bodies = {
         "s1_read_bronze": "SELECT * FROM usuarios_b",
+        "s1_column_orders": "SELECT * REPLACE (CASE WHEN CAST(user_id AS BIGINT) % 3 <> 2 THEN profesion END AS profesion) FROM usuarios_b",
+        "s1_multi_line": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, source, md5(coalesce(text, '')) AS text_md5 FROM documents",
+        "s10_failures": """SELECT * FROM (
+            WITH o AS (SELECT count(*) AS n, count(*) FILTER (o_orderkey % 7 IN (3, 4)) AS bad, count(*) FILTER (o_orderkey % 7 = 4) AS gone FROM orders)
+            SELECT 'prestamos' AS entity, 'ok' AS status, n - gone AS processed_rows, bad AS bad_rows, gone AS rejected_rows, false AS con_error FROM o
+            UNION ALL SELECT 'cuentas', 'ok', (SELECT count(*) FROM orders), 0, 0, false
+            UNION ALL SELECT 'cuentas', 'failed', NULL, NULL, NULL, true
+            UNION ALL SELECT 'usuarios', 'failed', NULL, NULL, NULL, true
+            UNION ALL SELECT 'usuarios', 'ok', (SELECT count(*) FROM customer), 0, 0, false
+            UNION ALL SELECT 'destinatarios', 'failed', NULL, NULL, NULL, true
+            UNION ALL SELECT 'destinatarios', 'failed', NULL, NULL, NULL, true)""",
+        "s10_rejected": """SELECT 'L' || o_orderkey AS first, 'L' || o_orderkey || ',u' || o_custkey || ',' || CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR)
+                || CASE o_orderkey % 7 WHEN 4 THEN ',20,12,2020-01-05,90,Activo,Viaje,extra,"a,b"' ELSE '' END AS text,
+            CASE o_orderkey % 7 WHEN 4 THEN '11 of 9 fields' ELSE '3 of 9 fields' END AS reason, o_orderkey % 7 = 3 AS kept, 'prestamos.csv' AS file
+            FROM orders WHERE o_orderkey % 7 IN (3, 4)""",
+        "s10_silver": """SELECT 'L' || o_orderkey AS loan_id, CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS DOUBLE) AS monto_otorgado,
+            CASE o_orderkey % 7 WHEN 3 THEN 'OTRO' WHEN 5 THEN 'VIAJE, LARGO' ELSE 'VIAJE' END AS proposito FROM orders WHERE o_orderkey % 7 <> 4""",
         "s2_null_tokens": """SELECT transaction_id, nullif(account_id, 'N/A') AS account_id,
             nullif(tipo_tarjeta_usada, 'N/A') AS tipo_tarjeta_usada FROM transacciones_b""",
         **{f"s3_silver_{e}": f"SELECT * FROM {e}_s" for e in zones},

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 SCHEMA = (
     "entity string, source string, silver string, gold string, processed_rows bigint, "
-    "bad_rows bigint, bad_dates bigint, seconds double, status string, error string, "
+    "bad_rows bigint, rejected_rows bigint, bad_dates bigint, seconds double, status string, error string, "
     "started timestamp"
 )
 

@@ -11,6 +11,8 @@ from pyspark.sql import Column, functions as F
 # Endings of the derived tables.
 SILVER_SUFFIX = "_cleaned.parquet"
 GOLD_SUFFIX = "_enriched.parquet"
+#: Records that can't be read, beside the cleaned table.
+REJECTED_SUFFIX = "_rejected.parquet"
 
 
 def object_path(path: str, bucket: str, suffix: str) -> str:
@@ -50,6 +52,9 @@ class Zones:
     def silver_path(self, path: str) -> str:
         return self._target(path, self.silver, SILVER_SUFFIX)
 
+    def rejected_path(self, path: str) -> str:
+        return self._target(path, self.silver, REJECTED_SUFFIX)
+
     def gold_path(self, path: str) -> str:
         return self._target(path, self.gold, GOLD_SUFFIX)
 

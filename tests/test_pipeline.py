@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from caudal import schemas
 from caudal.operators import entities
 from caudal.plans import pipeline, sample_bank
-from caudal.sources import audit, catalog, paths, tables
+from caudal.sources import audit, catalog, folders, paths, tables
 
 AS_OF = sample_bank.AS_OF
 
@@ -148,3 +148,38 @@ def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
         session.scratch_dir(fake, "x")
     conf["spark.checkpoint.dir"] = "s3a://shared"
     assert session.scratch_dir(fake, "x").startswith("s3a://shared/caudal-x-")
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_unreadable_rows_have_a_table_of_their_own(spark, zones, tmp_path, multi_line):
+    path, log = put(zones, "prestamos", LOANS + 'l4,u4,1,2,3,2020-01-01,5,Activo,Viaje,"more, and"\nNA\n'), f"{tmp_path}/audit"
+    assert pipeline.handle_event(spark, {"input_path": path}, "prestamos", zones, AS_OF, log, multi_line=multi_line)["statusCode"] == 200
+    silver = spark.read.parquet(zones.silver_path(path))
+    assert sorted(r.loan_id or "" for r in silver.collect()) == ["", "l1", "l2", "l3"] and "_archivo" not in silver.columns
+    rejected = {r.text: r for r in spark.read.parquet(zones.rejected_path(path)).collect()}
+    assert {t[:2]: (r.reason, r.kept) for t, r in rejected.items()} == {
+        "l3": ("5 of 9 fields", True), "l4": ("10 of 9 fields", False), "NA": ("1 of 9 fields", True)}
+    assert all(r.file.endswith("prestamos/prestamos.csv") for r in rejected.values())
+    row = audit.read(spark, log).first()
+    assert (row.processed_rows, row.bad_rows, row.rejected_rows) == (4, 3, 1)
+    put(zones, "prestamos", LOANS.replace("l3,u3,5,16,12\n", ""))
+    pipeline.handle_event(spark, {"input_path": path}, "prestamos", zones, AS_OF, log)
+    assert not folders.exists(spark, zones.rejected_path(path))
+
+
+def test_only_what_failed_is_run_again(spark, zones, tmp_path):
+    log, missing = f"{tmp_path}/audit", f"{zones.bronze}/cuentas/cuentas.csv"
+    loans = put(zones, "prestamos", LOANS)
+    for entity, path in (("prestamos", loans), ("cuentas", missing)):
+        pipeline.handle_event(spark, {"input_path": path}, entity, zones, AS_OF, log)
+    assert pipeline.run_failed(spark, zones, AS_OF, log)["cuentas", missing]["statusCode"] == 500
+    put(zones, "cuentas", "account_id,user_id\na,u\n")
+    again = pipeline.run_failed(spark, zones, AS_OF, log)
+    assert list(again) == [("cuentas", missing)] and again["cuentas", missing]["statusCode"] == 200
+    assert pipeline.run_failed(spark, zones, AS_OF, log) == {}
+
+
+def test_line_breaks_in_quotes_reach_gold(spark, zones):
+    path = put(zones, "prestamos", LOANS.replace('"", otra"', '"",\n otra"'))
+    assert pipeline.run_table(spark, "prestamos", path, zones, AS_OF, multi_line=True)["processed_rows"] == 3
+    assert {r.loan_id for r in spark.read.parquet(zones.gold_path(path)).collect()} == {"l1", "l2", "l3"}

@@ -1,16 +1,19 @@
 """Synthetic banking tables of any size.
 
-Every value is a function of the row's own key and the seed, so all tables are made without any
-shuffle, a transaction knows its account without looking it up, and the output does not depend on
+Every value is a function of the row's own key and the seed, so tables are made without any
+shuffle (but for a look-up where recipient ids have gaps), a transaction knows its account without looking it up, and the output does not depend on
 partitioning. ``ids`` is any table with a distinct bigint ``id``; ``as_of`` is a midnight.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from caudal.functions.dates import instant
 from caudal.operators.hashing import below, choose_per_group, digest, uuid_text, whole
+from caudal.operators.numbering import numbered
 
 # Value domains, amount ranges in pesos, and table sizes.
 ESTADOS_LABORALES = ["Empleado", "Independiente", "Desempleado", "Estudiante", "Pensionado"]
@@ -170,24 +173,42 @@ def generate_recipients(ids: DataFrame, seed: int = SEED) -> DataFrame:
     )
 
 
-def numbering(ids: DataFrame) -> tuple[int, int]:
-    """First id and number of ids, which must be consecutive: a transaction then computes its recipient instead of
-    looking it up."""
-    first, last, count = ids.agg(F.min("id"), F.max("id"), F.count("id")).first()
-    if count and last - first + 1 != count:
-        raise ValueError("recipient ids must be consecutive")
-    return first or 0, count
+@dataclass(frozen=True)
+class Recipients:
+    """Which recipients there are: `count` consecutive ids from `first` on, or a table (place, id) of other ids."""
+
+    count: int
+    first: int = 0
+    table: DataFrame | None = None
+
+
+def numbering(ids: DataFrame) -> Recipients:
+    """Recipients a transaction can name. Where ids are consecutive it computes one instead of looking it up; any
+    other ids get places without gaps, stored, to be looked up. Null and repeated ids count once or not at all."""
+    known = ids.select("id").where("id is not null").distinct()
+    first, last, count = known.agg(F.min("id"), F.max("id"), F.count("id")).first()
+    if not count or last - first + 1 == count:
+        return Recipients(count, first or 0)
+    return Recipients(count, table=numbered(known, ["id"], "place"))
+
+
+def _with_recipient(rows: DataFrame, place: Column, named: Column, recipients: Recipients) -> DataFrame:
+    """Adds `_recipient`, the id of the recipient of that place, for the rows that name one."""
+    if recipients.table is None:
+        return rows.withColumn("_recipient", F.when(named, F.lit(recipients.first) + place))
+    # Rows that name none get keys of their own, so they don't meet in one partition.
+    apart = -1 - F.pmod(F.xxhash64("id", "_t"), F.lit(1 << 20))
+    listed = recipients.table.select(F.col("place").alias("_place"), F.col("id").alias("_recipient"))
+    return rows.withColumn("_at", F.when(named, place).otherwise(apart)).join(listed, F.col("_at") == F.col("_place"), "left")
 
 
 def generate_transactions(
-    ids: DataFrame, as_of, recipients: tuple[int, int] = (0, RECIPIENTS), seed: int = SEED
+    ids: DataFrame, as_of, recipients: Recipients = Recipients(RECIPIENTS), seed: int = SEED
 ) -> DataFrame:
     """Five to fifty transactions per user on the user's own accounts, after their opening.
 
-    ``recipients`` is the first id and the number of recipients, see ``numbering``. 70 % of outgoing
-    transfers name one.
+    ``recipients`` is what ``numbering`` says of the recipient ids. 70 % of outgoing transfers name one.
     """
-    first, count = recipients
     user, number = F.col("id"), F.col("_t")
     low, high = TRANSACTIONS_PER_USER
     size = F.lit(low) + below(_draws(seed, "volumen", user), 0, high - low + 1)
@@ -208,7 +229,9 @@ def generate_transactions(
         kind = kind.when(is_type, F.lit(name))
         amount = amount.when(is_type, _money(h1, 2, least, most))
         category = category.when(is_type, _pick(categories, h1, 3))
-    named = (kind == "Transferencia Enviada") & (below(h2, 2, 10) < 7) & F.lit(count > 0)
+    named = (kind == "Transferencia Enviada") & (below(h2, 2, 10) < 7) & F.lit(recipients.count > 0)
+    place = below(_draws(seed, "destino", user, number), 0, max(recipients.count, 1))
+    rows = _with_recipient(rows, place, named, recipients)
     return rows.select(
         uuid_text(_draws(seed, "transaction_id", user, number)).alias("transaction_id"),
         "account_id", "user_id",
@@ -218,8 +241,7 @@ def generate_transactions(
         category.alias("categoria"),
         _pick(CANALES, h2, 1).alias("canal"),
         _pick(TARJETAS, h2, 3).alias("tipo_tarjeta_usada"),
-        F.when(named, _recipient_id(F.lit(first) + below(_draws(seed, "destino", user, number), 0, max(count, 1)), seed))
-        .alias("recipient_id_fk"),
+        F.when(named, _recipient_id(F.col("_recipient"), seed)).alias("recipient_id_fk"),
         F.concat_ws(" ", F.lit("Movimiento"), number.cast("string"), F.lit("de"), kind).alias("descripcion"),
     )
 

@@ -753,6 +753,25 @@ query("g4_transactions")(lambda spark, sf_dir: generate.generate_transactions(
     _ids(spark, sf_dir), GENERATED_AS_OF, generate.numbering(_ids(spark, sf_dir, "supplier", "s_suppkey"))))
 
 
+def _gapped(spark, sf_dir):
+    """Recipient ids with gaps, as keys from several sources have them."""
+    return source(spark, sf_dir, "supplier").select((F.col("s_suppkey") * 1000 + F.col("s_nationkey")).alias("id"))
+
+
+@query("g4_gapped_recipients")
+def _(spark, sf_dir):
+    made = generate.generate_transactions(_ids(spark, sf_dir), GENERATED_AS_OF, generate.numbering(_gapped(spark, sf_dir)))
+    return made.select("transaction_id", "recipient_id_fk")
+
+
+@query("g4_gapped_dangling")
+def _(spark, sf_dir):
+    """Transactions whose recipient is not in the recipient table, where ids have gaps: none."""
+    made = generate.generate_all(_ids(spark, sf_dir), _gapped(spark, sf_dir), GENERATED_AS_OF)
+    named = made["transacciones"].where("recipient_id_fk is not null").select(F.col("recipient_id_fk").alias("recipient_id"))
+    return named.join(made["destinatarios"], "recipient_id", "left_anti").agg(F.count("*").alias("n"))
+
+
 @query("g4_dangling_recipients")
 def _(spark, sf_dir):
     """Transactions whose recipient is not in the recipient table: none."""

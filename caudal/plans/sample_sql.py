@@ -532,6 +532,7 @@ def _generated() -> dict[str, str]:
     kind = f"([{', '.join(repr(k) for k in kinds.split(','))}])[CAST(kind AS INTEGER) + 1]"
     a1, a2 = _h("cuentas", "(id)", "(k)", "1"), _h("cuentas", "(id)", "(k)", "2")
     d1, d2 = _h("destinatarios", "(s_suppkey)", "1"), _h("destinatarios", "(s_suppkey)", "2")
+    _place = _below(_h("destino", "(id)", "(t)"), 0, "(SELECT count(*) FROM supplier)")
     target = "((SELECT min(s_suppkey) FROM supplier) + " + _below(_h("destino", "(id)", "(t)"), 0, "(SELECT count(*) FROM supplier)") + ")"
     return {
         "g1_users": f"""SELECT user_id, CAST((id % 1090000000 * 618033989) % 1090000000 + 10000000
@@ -569,6 +570,11 @@ def _generated() -> dict[str, str]:
             CASE WHEN kind = 1 AND {_below("h2", 2, 10)} < 7 THEN {_uuid(_h("recipient_id", "(" + target + ")"))} END
                 AS recipient_id_fk,
             'Movimiento ' || t || ' de ' || {kind} AS descripcion FROM gen_tx""",
+        "g4_gapped_recipients": f"""SELECT {_uuid(_h("transaction_id", "(id)", "(t)"))} AS transaction_id,
+            CASE WHEN kind = 1 AND {_below("h2", 2, 10)} < 7 THEN {_uuid(_h("recipient_id", "(key)"))} END AS recipient_id_fk
+            FROM gen_tx JOIN (SELECT s_suppkey * 1000 + s_nationkey AS key, row_number() OVER (ORDER BY key) - 1 AS place FROM supplier)
+            ON place = {_place}""",
+        "g4_gapped_dangling": "SELECT CAST(0 AS BIGINT) AS n",
         "g5_loans": f"""SELECT {_uuid(_h("loan_id", "(id)"))} AS loan_id, user_id, monto AS monto_otorgado,
             (1500 + {_below("h1", 3, 2001)}) / 100 AS tasa_interes_anual, plazo AS plazo_meses,
             {_iso(f"earliest + {_below('h2', 0, f'(greatest({_END} - earliest, 0) + 1)')}")} AS fecha_desembolso,

@@ -65,6 +65,20 @@ def test_same_output_for_any_partitioning(spark):
         assert one[name].exceptAll(many[name]).count() == 0
 
 
+def test_any_recipient_ids(spark):
+    """Ids with gaps, repeated ids and a null: every recipient is named, none other, and gaps alone change nothing else."""
+    ids = spark.createDataFrame([(i,) for i in [5, 5, None, 17, 10**12, -3]], "id long")
+    t = generate.generate_all(spark.range(USERS), ids, AS_OF)
+    named = {r[0] for r in t["transacciones"].where("recipient_id_fk is not null").select("recipient_id_fk").collect()}
+    assert named == {r[0] for r in t["destinatarios"].where("recipient_id is not null").select("recipient_id").collect()} - {
+        r[0] for r in generate.generate_recipients(ids.where("id is null")).select("recipient_id").collect()}
+    plain = generate.generate_transactions(spark.range(USERS), AS_OF, generate.numbering(spark.range(4)))
+    assert t["transacciones"].drop("recipient_id_fk").exceptAll(plain.drop("recipient_id_fk")).count() == 0
+    assert generate.numbering(spark.range(7, 9)) == generate.Recipients(2, 7)
+    none = generate.generate_transactions(spark.range(5), AS_OF, generate.numbering(ids.limit(0)))
+    assert none.where("recipient_id_fk is not null").count() == 0 < none.count()
+
+
 def test_written_tables_run_through(spark, tmp_path):
     from caudal.sources.paths import Zones
 

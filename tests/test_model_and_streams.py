@@ -154,3 +154,61 @@ def test_ingest_stream_loses_no_file(spark, sf, tmp_path):
                       f"{tmp_path}/check", sample_bank.AS_OF).awaitTermination()
     got = spark.read.parquet(f"{tmp_path}/gold")
     assert got.count() == 9 and got.select("archivo").distinct().count() == 3
+
+
+def _arrive(folder, name, keys, day="2020-01-05"):
+    folder.mkdir(exist_ok=True)
+    lines = [",".join(schemas.BRONZE_COLUMNS["prestamos"]), *(f"{k},u,100,20,12,{day},9,Activo,Viaje" for k in keys)]
+    (folder / name).write_text("\n".join(lines) + "\n")
+
+
+def test_replaced_files_replace_their_rows(spark, tmp_path):
+    landing, out = tmp_path / "in dir", {n: f"{tmp_path}/{n}" for n in ("silver", "gold", "checkpoint", "audit_path")}
+
+    def run():
+        ingest.ingest(spark, "prestamos", str(landing), out["silver"], out["gold"], out["checkpoint"], sample_bank.AS_OF,
+                      files_per_batch=1, audit_path=out["audit_path"]).awaitTermination()
+        for zone in ("silver", "gold"):
+            got = spark.read.parquet(out[zone])
+            yield sorted(r.loan_id for r in got.collect())
+        yield {r.archivo.rpartition("/")[2]: r.processed_rows for r in spark.read.parquet(out["audit_path"]).collect()}
+
+    for n in range(4):
+        _arrive(landing, f"f {n}.csv", [f"{n}a", f"{n}b"])
+    _arrive(landing, "empty.csv", [])
+    first = ["0a", "0b", "1a", "1b", "2a", "2b", "3a", "3b"]
+    assert list(run())[:2] == [first, first]
+    assert list(run())[:2] == [first, first]  # nothing new
+    _arrive(landing, "f 1.csv", ["1c", "1d", "1e"], "2021-01-01")  # other rows
+    _arrive(landing, "f 2.csv", [])  # no rows any more
+    _arrive(landing, "empty.csv", ["e1"])  # rows for the first time
+    _arrive(landing, "f 9.csv", ["9a"])  # new as well
+    second = ["0a", "0b", "1c", "1d", "1e", "3a", "3b", "9a", "e1"]
+    assert list(run()) == [second, second, {"f%200.csv": 2, "f%201.csv": 3, "f%203.csv": 2, "f%209.csv": 1, "empty.csv": 1}]
+    _arrive(landing, "f 2.csv", ["2z"])
+    third = sorted([*second, "2z"])
+    assert list(run())[:2] == [third, third]
+
+    tables_now = ingest.Tables(spark, "prestamos", out["silver"], out["gold"], out["audit_path"], None, sample_bank.AS_OF, entities.Options())
+    before = len(list((tmp_path / "gold").glob("lote=*")))
+    assert ingest.merge_batches(tables_now, 6) == before - 2 and len(list((tmp_path / "gold").rglob("part-*.parquet"))) == 2
+    assert list(run())[:2] == [third, third]
+    _arrive(landing, "f 3.csv", ["3y"])
+    fourth = sorted({*third, "3y"} - {"3a", "3b"})
+    assert list(run())[:2] == [fourth, fourth]
+    assert ingest.merge_batches(tables_now) == 1 and list(run())[:2] == [fourth, fourth]
+
+
+def test_a_merge_that_was_cut_off_counts_no_row_twice(spark, tmp_path, monkeypatch):
+    landing, silver, gold = tmp_path / "in", f"{tmp_path}/silver", f"{tmp_path}/gold"
+    for n in range(3):
+        _arrive(landing, f"f{n}.csv", [f"{n}a"])
+    ingest.ingest(spark, "prestamos", str(landing), silver, gold, f"{tmp_path}/c", sample_bank.AS_OF, files_per_batch=1).awaitTermination()
+    out = ingest.Tables(spark, "prestamos", silver, gold, None, None, sample_bank.AS_OF, entities.Options())
+    with monkeypatch.context() as m:
+        m.setattr(ingest, "read_manifest", lambda *a, seen=[], real=ingest.read_manifest: seen.append(1) or (1 / 0 if len(seen) > 3 else real(*a)))
+        with pytest.raises(ZeroDivisionError):
+            ingest.merge_batches(out)
+    assert spark.read.parquet(silver).count() > 3  # the moment between
+    assert ingest.merge_batches(out) == 2
+    assert sorted(r.loan_id for r in spark.read.parquet(silver).collect()) == ["0a", "1a", "2a"] == sorted(r.loan_id for r in spark.read.parquet(gold).collect())

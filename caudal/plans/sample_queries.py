@@ -14,7 +14,7 @@ from caudal.operators import (
 from caudal.plans import pipeline, training
 from caudal.plans.sample_bank import AS_OF, BRONZE, requests, source
 from caudal.session import configure, scratch_dir
-from caudal.sources import audit, catalog, paths, tables
+from caudal.sources import audit, catalog, folders, paths, registry, tables
 from caudal.streaming import ingest as stream_ingest, scoring as stream_scoring
 
 QUERIES = {}
@@ -740,6 +740,58 @@ def _(spark, sf_dir):
         "status", "error", F.col("prediccion_numerica").isNotNull().alias("con_puntaje")).agg(F.count("*").alias("n"))
 
 
+def _lines(spark, sf_dir):
+    """Requests as lines. A line can't be null, so a missing body is an empty line."""
+
+    def make():
+        base = scratch_dir(spark, "lines")
+        requests(spark, sf_dir).select(F.translate(F.coalesce("body", F.lit("")), "\r\n", "  ").alias("value")).write.text(base)
+        return base
+
+    return _once(spark, sf_dir, "lines", make)
+
+
+@query("t2_stream_rows")
+def _(spark, sf_dir):
+    """Each request's answer, from a stream over models in versions."""
+    base = scratch_dir(spark, "versions")
+    registry.publish(trained(spark, sf_dir).model, f"{base}/models")
+    stream_scoring.score_versions(
+        f"{base}/models", stream_scoring.read_requests(spark, _lines(spark, sf_dir)), f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{base}/out").select(
+        F.md5(F.col("body").cast("binary")).alias("body_md5"), "status", "error",
+        F.col("prediccion_numerica").isNotNull().alias("con_puntaje"), "version")
+
+
+@query("t1_replaced_files")
+def _(spark, sf_dir):
+    """Loans that arrive in four files, two of which are replaced by a longer version with the right rows later; then the small batches
+    are merged."""
+    base, loans = scratch_dir(spark, "replaced"), BRONZE["prestamos"](spark, sf_dir)
+    part = F.pmod(F.col("loan_id").cast("bigint"), F.lit(4))
+
+    def put(n, rows):
+        tables.write_bronze(rows.coalesce(1), f"{base}/new")
+        made = next(c for c in folders.children(spark, f"{base}/new") if c.startswith("part-"))
+        folders.delete(spark, f"{base}/in/f{n}.csv")
+        folders.make(spark, f"{base}/in")
+        folders.rename(spark, f"{base}/new/{made}", f"{base}/in/f{n}.csv")
+
+    def run():
+        stream_ingest.ingest(spark, "prestamos", f"{base}/in", f"{base}/silver", f"{base}/gold", f"{base}/checkpoint", AS_OF,
+                             files_per_batch=1).awaitTermination()
+
+    for n in range(4):
+        rows = loans.where(part == n)
+        put(n, rows.withColumn("estado_prestamo", F.lit("Viejo")).where(F.col("plazo_meses") != "12") if n in (1, 3) else rows)
+    run()
+    for n in (1, 3):
+        put(n, loans.where(part == n))
+    run()
+    stream_ingest.merge_batches(stream_ingest.Tables(spark, "prestamos", f"{base}/silver", f"{base}/gold", None, None, AS_OF, entities.Options()))
+    return spark.read.parquet(f"{base}/gold").select(*schemas.GOLD_COLUMNS["prestamos"])
+
+
 # --- generator: one user per customer, one recipient per supplier ---------------------------------
 
 def _ids(spark, sf_dir, table="customer", key="c_custkey"):

@@ -814,6 +814,9 @@ def _bodies() -> dict[str, str]:
         "r3_r4_request_features": _request_features(),
         "r7_prompt": _prompt(),
         "t1_stream_ingest": gold["s4_gold_transacciones"],
+        "t1_replaced_files": gold["s4_gold_prestamos"],
+        "t2_stream_rows": """SELECT md5(translate(coalesce(body, ''), chr(13) || chr(10), '  ')) AS body_md5,
+            CASE WHEN error IS NULL THEN 200 ELSE 400 END AS status, error, error IS NULL AS con_puntaje, 'v000001' AS version FROM checked""",
     }
     return bodies | _generated()
 

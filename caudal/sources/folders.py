@@ -24,6 +24,11 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(place, True)
 
 
+def make(spark: SparkSession, path: str) -> None:
+    fs, place = _at(spark, path)
+    fs.mkdirs(place)
+
+
 def rename(spark: SparkSession, source: str, target: str) -> None:
     fs, place = _at(spark, source)
     if not fs.rename(place, _at(spark, target)[1]):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from caudal import schemas
 from caudal.operators import entities, model, scoring
 from caudal.plans import sample_bank, sample_queries, training
-from caudal.sources import tables
+from caudal.sources import registry, tables
 from caudal.streaming import ingest, scoring as stream
 
 
@@ -212,3 +212,47 @@ def test_a_merge_that_was_cut_off_counts_no_row_twice(spark, tmp_path, monkeypat
     assert spark.read.parquet(silver).count() > 3  # the moment between
     assert ingest.merge_batches(out) == 2
     assert sorted(r.loan_id for r in spark.read.parquet(silver).collect()) == ["0a", "1a", "2a"] == sorted(r.loan_id for r in spark.read.parquet(gold).collect())
+
+
+def test_versions(spark, fitted, tmp_path):
+    root = f"{tmp_path}/models"
+    with pytest.raises(model.ModelNotLoaded):
+        registry.current(spark, root)
+    assert registry.publish(fitted, root) == "v000001" == registry.current(spark, root)
+    assert registry.publish(fitted, root, registry.About(rules_mode="corrected")) == "v000002" == registry.current(spark, root)
+    assert registry.load(spark, root, "v000002")[1].rules_mode == "corrected"
+    registry.point_to(spark, root, "v000001")
+    assert registry.current(spark, root) == "v000001" and registry.versions(spark, root) == ["v000001", "v000002"]
+    fitted.write().save(f"{root}/versions/v000003/model")  # a publisher that died
+    assert registry.versions(spark, root) == ["v000001", "v000002"]
+    with pytest.raises(model.ModelNotLoaded):
+        registry.point_to(spark, root, "v000003")
+    assert registry.publish(fitted, root) == "v000004"
+
+
+def test_a_version_saved_during_a_stream_is_taken_up(spark, fitted, tmp_path, monkeypatch):
+    root, landing = f"{tmp_path}/models", tmp_path / "in"
+    landing.mkdir()
+    for n in range(3):
+        (landing / f"{n}.txt").write_text('{"edad": 30, "estado_laboral": "Desempleado"}\nbad\n')
+    seen, real = [], registry.current
+
+    def current(spark, root):
+        if len(seen) == 1:  # between the first and the second batch
+            registry.publish(fitted, root, registry.About(rules_mode="corrected"))
+        seen.append(1)
+        return real(spark, root)
+
+    def run(name):
+        requests = stream.read_requests(spark, str(landing), 1)
+        stream.score_versions(root, requests, f"{tmp_path}/{name}", f"{tmp_path}/c-{name}").awaitTermination()
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    assert {(r.status, r.version) for r in run("none").collect()} == {(500, None), (400, None)}
+    registry.publish(fitted, root)
+    used, real_score = [], scoring.score_requests
+    monkeypatch.setattr(scoring, "score_requests", lambda *a, **k: used.append(k["rules_mode"]) or real_score(*a, **k))
+    monkeypatch.setattr(registry, "current", current)
+    got = run("out").where("status = 200").collect()
+    assert sorted(r.version for r in got) == ["v000001", "v000002", "v000002"]
+    assert used == ["reference", "corrected", "corrected"]

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import unicodedata
-
 from pyspark.sql import Column, functions as F
 
+from caudal.functions import scripts
+
 # The characters a plain strip() removes from both ends.
 WHITESPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
 
@@ -22,28 +22,23 @@ SHORT_FORMS = {
 }
 
 
-def _one_letter_forms() -> dict[str, str]:
-    forms = dict(SHORT_FORMS)
-    for code in (*range(0x00A0, 0x0250), *range(0x1E00, 0x1F00), *range(0x2000, 0x200B)):
-        char = chr(code)
-        base = "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c))
-        if char not in forms and len(base) == 1 and base.isascii() and (base.isalnum() or base == " "):
-            forms[char] = base
-    return forms
-
-
-_FORMS = _one_letter_forms()
+_FORMS = SHORT_FORMS | {c: f for c, f in scripts.forms()[0].items() if c not in SHORT_FORMS and c not in LONG_FORMS}
 _COMBINING = "".join(map(chr, range(0x0300, 0x0370)))
 _FROM = "".join(_FORMS) + _COMBINING  # marks have no counterpart, so translate() deletes them
 _TO = "".join(_FORMS.values())
 
 
+def _is_ascii(text: Column) -> Column:
+    return F.octet_length(text) == F.char_length(text)
+
+
 def to_ascii(text: Column) -> Column:
-    """Latin letters with marks become plain letters; pure ASCII text skips the work."""
+    """Letters of all scripts with a rule become plain Latin letters; pure ASCII text skips the work, and most other
+    text is done after one translation."""
     plain = F.translate(text, _FROM, _TO)
     for char, form in LONG_FORMS.items():
         plain = F.replace(plain, F.lit(char), F.lit(form))
-    return F.when(F.octet_length(text) == F.char_length(text), text).otherwise(plain)
+    return F.when(_is_ascii(text), text).when(_is_ascii(plain), plain).otherwise(scripts.several_letters(plain))
 
 
 def strip(text: Column) -> Column:

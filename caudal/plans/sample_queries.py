@@ -792,6 +792,16 @@ def _(spark, sf_dir):
     return spark.read.parquet(f"{base}/gold").select(*schemas.GOLD_COLUMNS["prestamos"])
 
 
+@query("p1_scripts")
+def _(spark, sf_dir):
+    """Names in other scripts, with ligatures and wide letters, as each customer's city."""
+    names = ["Αθήνα", "Ψυχή Θεσσαλονίκη", "Москва", "Щёлково Жуковский", "Київ", "Београд Љубљана", "ﬁn ﬂuß ǆep", "Ｂｏｇｏｔá Ⅷ", "서울 한국", "とうきょう",
+             "Երևան", "თბილისი", "ירושלים", "بغداد", "東京 Ñuñoa", "Straße Œuvre", "x² ½"]
+    place = F.pmod("c_custkey", F.lit(len(names))).cast("int")
+    return source(spark, sf_dir, "customer").select(
+        "c_custkey", text.normalise(F.concat_ws(" ", F.get(F.array(*map(F.lit, names)), place), F.col("c_name"))).alias("ciudad"))
+
+
 # --- generator: one user per customer, one recipient per supplier ---------------------------------
 
 def _ids(spark, sf_dir, table="customer", key="c_custkey"):

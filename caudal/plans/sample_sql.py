@@ -596,6 +596,9 @@ def _bodies() -> dict[str, str]:
     gold = {f"s4_gold_{e}": f"SELECT * FROM {e}_g" for e in zones}
     bodies = {
         "s1_read_bronze": "SELECT * FROM usuarios_b",
+        "p1_scripts": """SELECT c_custkey, (['ATHENA', 'PSUKHE THESSALONIKE', 'MOSKVA', 'SHCHIOLKOVO ZHUKOVSKII', 'KIYIV', 'BEOGRAD LJUBLJANA', 'FIN FLUSS DZEP', 'BOGOTA VIII',
+            'SEOUL HANGUG', 'TOUKIYOU', 'EREWAN', 'TBILISI', 'YRVSHLYM', 'BGDAD', '東京 NUNOA', 'STRASSE OEUVRE', 'X2 1/2'])[c_custkey % 17 + 1] || ' ' || upper(c_name) AS ciudad
+            FROM customer""",
         "s1_column_orders": "SELECT * REPLACE (CASE WHEN CAST(user_id AS BIGINT) % 3 <> 2 THEN profesion END AS profesion) FROM usuarios_b",
         "s1_multi_line": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, source, md5(coalesce(text, '')) AS text_md5 FROM documents",
         "s10_failures": """SELECT * FROM (

@@ -136,3 +136,29 @@ def test_gold_contract(spark, entity):
 def test_missing_columns_are_skipped(spark):
     df = spark.createDataFrame([("1", "12")], "loan_id string, plazo_meses string")
     assert entities.refine(df, "prestamos", AS_OF).columns == ["loan_id", "plazo_meses"]
+
+
+def test_every_script_with_a_rule_like_character_by_character(spark):
+    """The column of any text is what its characters give one by one; characters without rule stay."""
+    from caudal.functions import scripts, text
+
+    blocks = [(0x00A1, 0x0250), (0x0370, 0x0700), (0x10A0, 0x1100), (0x1E00, 0x2190), (0x2460, 0x2500), (0x3041, 0x3100),
+              (0x4E00, 0x4E40), (0xAC00, 0xAE00), (0xD700, 0xD7A4), (0xFB00, 0xFB50), (0xFF01, 0xFFDD)]
+    chars = [chr(c) for a, b in blocks for c in range(a, b) if chr(c).isprintable()]
+    listed = set(text.SHORT_FORMS) | set(text.LONG_FORMS)
+    df = spark.createDataFrame([(c,) for c in chars], "c string").select("c", text.to_ascii(F.concat(F.lit("x"), "c")).alias("t"))
+    got = {r.c: r.t for r in df.collect()}
+    hangul = {"가": "xga", "각": "xgag", "힣": "xhih", "읽": "xilg"}
+    for c in chars:
+        if "가" <= c <= "힣":
+            assert got[c].isascii() and got[c] == hangul.get(c, got[c])
+        elif c not in listed:
+            assert got[c] == "x" + (scripts.latin(c) or c)
+    assert sum(len(x.encode()) == len(x) for x in got.values()) > 2_500
+
+
+def test_capitals_follow_their_small_letters():
+    from caudal.functions.scripts import latin
+
+    assert "".join(map(latin, "Ωμέγα Щука Įž ΐ")) == "Omega Shchuka Iz i"
+    assert latin("日") is None and latin("½") == "1/2"

@@ -70,6 +70,14 @@ def dropped(*tables: DataFrame) -> None:
             path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def free_name(df: DataFrame, wanted: str) -> str:
+    """The wanted name, longer if a column of df has it, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -92,12 +100,15 @@ def join_by_key(rows: DataFrame, facts: DataFrame, key: str, count: str) -> Data
 
     `count` is a column of facts: rows of the key. Keys with more than 1/HEAVY_SHARE of all rows,
     HEAVY_SHARE at most by arithmetic, are broadcast; the others are shuffled, and none of them can
-    fill a partition. Null keys match null keys. Columns of facts follow those of rows.
+    fill a partition. Without heavy keys it is one plain join. Null keys match null keys. Columns of facts follow those of rows.
     """
-    total = facts.agg(F.sum(count)).first()[0] or 0
-    limit = max(total // HEAVY_SHARE, 100)
-    heavy = facts.filter(F.col(count) > limit).withColumn("_heavy", F.lit(True))
+    total, most = facts.agg(F.sum(count), F.max(count)).first()
+    limit = max((total or 0) // HEAVY_SHARE, 100)
     names = [c for c in facts.columns if c != key]
+    if (most or 0) <= limit:
+        light = facts.select(F.col(key).alias("_key"), *names)
+        return rows.join(light, F.col(key).eqNullSafe(F.col("_key")), "left").select(*rows.columns, *names)
+    heavy = facts.filter(F.col(count) > limit).withColumn("_heavy", F.lit(True))
     first = rows.join(
         F.broadcast(heavy.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_h_{c}") for c in names], "_heavy")),
         F.col(key).eqNullSafe(F.col("_key")), "left",

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caudal.llm.common import join_by_key, stored, string_bytes
+from caudal.llm.common import free_name, join_by_key, stored, string_bytes
 
 SLOTS = 4
 MOVES = 200
@@ -246,22 +246,24 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def without_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay, with all their columns; see `exact_duplicates`."""
+    """The rows of docs that stay, with all their columns; see `exact_duplicates`. Of rows equal in doc_id and text one stays, also
+    where the doc_id is null; null texts count as empty ones. An empty table gives an empty one."""
     found = stored(exact_duplicates(docs), "duplicates")
-    kept = found.filter("kept").select(F.col("doc_id").alias("_id"), F.unhex("text_sha256").alias("_key_kept"))
     docs = docs.withColumn("text", F.col("text").cast("string"))
+    key, kept_id, kept_key = (free_name(docs, n) for n in (KEY, "_id_kept", "_key_kept"))
+    kept = found.filter("kept").select(F.col("doc_id").alias(kept_id), F.unhex("text_sha256").alias(kept_key))
     place = docs.columns.index("text")
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text = batch.column(place)
             keys = next(_digest_rows(iter([pa.record_batch([text, text], ["doc_id", "text"])]))).column(1)
-            yield pa.record_batch([*batch.columns, keys], [*batch.schema.names, KEY])
+            yield pa.record_batch([*batch.columns, keys], [*batch.schema.names, key])
 
-    rows = docs.mapInArrow(keyed, T.StructType([*docs.schema.fields, T.StructField(KEY, T.BinaryType())]))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col(KEY) == F.col("_key_kept"))
+    rows = docs.mapInArrow(keyed, T.StructType([*docs.schema.fields, T.StructField(key, T.BinaryType())]))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(kept_id)) & (F.col(key) == F.col(kept_key))
     left = rows.join(kept, same, "left_semi")
     # Rows that repeat a document as a whole are told apart only if there are any.
     if not found.groupBy("doc_id", "text_sha256").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
-        left = left.dropDuplicates(["doc_id", KEY])
-    return left.drop(KEY)
+        left = left.dropDuplicates(["doc_id", key])
+    return left.drop(key)

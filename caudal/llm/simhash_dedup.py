@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caudal.llm.common import (
-    LOWER, SPACE, groups_for, grouped, join_by_key, mixed, packed, slices, stored, string_bytes, unpacked, word_spans,
+    LOWER, SPACE, free_name, groups_for, grouped, join_by_key, mixed, packed, slices, stored, string_bytes, unpacked, word_spans,
 )
 from caudal.llm.components import components
 
@@ -333,8 +333,9 @@ def near_duplicates(
 
 
 def without_near_duplicates(docs: DataFrame, **parameters) -> DataFrame:
-    """The rows of docs, with all their columns, whose doc_id is the smallest of its component; rows without doc_id stay.
-    See `near_duplicates` for the parameters."""
-    found = near_duplicates(docs, **parameters)
-    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    """The rows of docs, with all their columns, whose doc_id is the smallest of its component; rows without doc_id stay,
+    and so do repeated rows of a doc_id that stays. Of texts without words, which all are near duplicates, one stays. An empty table gives
+    an empty one. See `near_duplicates` for the parameters."""
+    found, name = near_duplicates(docs, **parameters), free_name(docs, "_gone")
+    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col(name), "left_anti")

@@ -229,7 +229,7 @@ def test_pipeline_removes_what_was_planted(spark, make, tmp_path):
 
     base, other, third, item = words(200), words(200), words(170), " ".join(words(30))
     edited = list(base)
-    edited[100] = "changed"
+    edited[-1] = "changed"  # one shingle: few bits of the fingerprint
     planted = [(5000, " ".join(base)), (5001, " ".join(base)), (5002, " ".join(edited)), (5003, " ".join(third) + " " + item)]
     planted += [(5004, " ".join(other))]
     everything = [(i, t) for i, t in rows if i is not None] + planted
@@ -241,3 +241,18 @@ def test_pipeline_removes_what_was_planted(spark, make, tmp_path):
     good, bad = ({i for i, ok in truth.items() if ok is wanted} for wanted in (True, False))
     assert len(left & bad) <= 0.02 * len(bad)
     assert len(good - left) <= 0.02 * len(good)
+
+
+@pytest.mark.parametrize("name", ["exact_dedup", "near_dedup"])
+def test_filtering_stages_on_odd_rows_and_clashing_names(spark, make, name):
+    stage = dict(corpus_pipeline.STAGES)[name]
+    clashing = ["_id", "_ID_kept", "_content_key", "_key_kept", "_gone", "_key", "_heavy", "component_id", "fingerprint"]
+    docs = make(ODD).withColumns({c: F.lit("x") for c in clashing if c != "_ID_kept"}).withColumn("_ID_kept", F.lit("x"))
+    left = stage(spark, docs, None)
+    assert left.columns == docs.columns
+    texts = sorted((r.doc_id if r.doc_id is not None else -1, r.text or "") for r in left.collect())
+    if name == "exact_dedup":  # of equal texts the largest doc_id, each row once
+        assert texts == sorted([(-1, "no id"), (2, ""), (3, " \n\t "), (5, "one TWO three"), (6, ODD[-3][1]), (7, ODD[-2][1]), (8, ODD[-1][1])])
+    else:  # 1, 2, 3 have no words; 5 is 4 in other case
+        assert {i for i, _ in texts} == {-1, 1, 4, 6, 7, 8} and len(texts) == 8
+    assert stage(spark, make([]), None).count() == 0

@@ -15,7 +15,7 @@ from caudal.llm.common import importable, stored, table
 from caudal.llm.containment import without_contained
 from caudal.llm.cotraining import good
 from caudal.llm.exact_dedup import without_duplicates
-from caudal.llm.similar import without_similar
+from caudal.llm.simhash_dedup import without_near_duplicates
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,9 +29,9 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (Jaccard similarity of five-word shingles of 0.8 or more) the document with the
-    smallest doc_id."""
-    return without_similar(docs)
+    """Of each group of near duplicates (fingerprints of four-word shingles that link at four or fewer differing bits) the
+    document with the smallest doc_id."""
+    return without_near_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

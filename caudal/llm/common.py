@@ -25,10 +25,15 @@ HEAVY_SHARE = 400
 BATCH_BYTES = 8 << 20
 
 
+#: Workers live long and run one stage after another: large arrays go back to the system as soon as they are free.
+WORKER_MEMORY = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "1", "MALLOC_MMAP_THRESHOLD_": str(1 << 20), "MALLOC_TRIM_THRESHOLD_": str(1 << 20)}
+
+
 def importable(spark: SparkSession) -> None:
     """Python workers find this package where the driver found it, if it isn't installed there, and get small batches."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     environment, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    environment.update(WORKER_MEMORY)
     path = environment.get("PYTHONPATH", "")
     if root not in path.split(":"):
         environment["PYTHONPATH"] = f"{root}:{path}".rstrip(":")

@@ -32,7 +32,7 @@ CHUNK, OVERLAP = 1 << 15, 1 << 10
 #: A boundary counts in a chunk if so many characters follow it there.
 MARGIN = 128
 #: Matches whose ids a worker remembers.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 17
 
 
 @lru_cache(maxsize=2)

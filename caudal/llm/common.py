@@ -22,7 +22,7 @@ HEAVY_SHARE = 400
 
 
 #: Bytes of an Arrow batch: texts can be long, and both sides hold several batches a task.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 #: Workers live long and run one stage after another: large arrays go back to the system as soon as they are free.

@@ -24,9 +24,10 @@ null doc_id has no place in the order: such rows match nothing and come back who
 
 from __future__ import annotations
 
+import secrets
 import zlib
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 
 from caudal.llm.common import (
     BYTE_VALUES, SPACE, gram_hashes, grouped, groups_for, mixed, packed, prefix_hashes, slices, span_hashes,
-    stored, string_bytes, text_bytes, unpacked, word_hashes,
+    stored, string_bytes, text_bytes, unpacked, word_digests,
 )
 
 #: Symbols handled at once; positions within take 18 bits of an anchor key.
@@ -66,6 +67,8 @@ class Scheme:
     other_doc: bool
     #: Repeated windows among the open segments of one group: see `solve` of the operators.
     solve: Callable[[dict[str, np.ndarray | list]], list[np.ndarray]]
+    #: Key of the word digests, drawn anew for each job, so that no text can be made to collide. Results don't depend on it.
+    key: int = field(default_factory=lambda: secrets.randbits(64))
 
 
 # ---------------------------------------------------------------- symbols
@@ -93,7 +96,7 @@ def symbols_of(scheme: Scheme, data: np.ndarray, offsets: np.ndarray) -> tuple[n
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
     starts, ends = words_of(data, offsets)
-    return word_hashes(data, starts, ends), np.searchsorted(starts, offsets)
+    return word_digests(data, starts, ends, scheme.key), np.searchsorted(starts, offsets)
 
 
 # ---------------------------------------------------------------- anchors

@@ -10,7 +10,9 @@ import xxhash
 
 from caudal.llm import components as components_module
 from caudal.llm import repeats, rlz_dedup, simhash_dedup, suffix_dedup
+from caudal.llm.common import word_digests
 from caudal.llm.exact_dedup import CuckooIndex, exact_duplicates, without_duplicates
+from caudal.llm.rlz_dedup import without_repeated_passages
 from tests.llm.cases import ODD
 
 
@@ -269,3 +271,23 @@ def test_factors_take_up_at_the_boundary():
         for at in range(len(block) - 3):
             reference.setdefault(tuple(block[at : at + 4]), (block, at))
     assert rlz_dedup.factors(a + b, reference, 4) == [(0, 6), (3, 9), (6, 12)]
+
+
+def test_words_that_collide_in_polynomials_are_told_apart(make):
+    """A doubling pattern of two letters and its mirror image: equal modulo 2^64 for every odd base."""
+    a, b = "a", "b"
+    for _ in range(10):
+        a, b = a + b, b + a
+    twelve = " ".join(f"w{i}" for i in range(12))
+    got = without_repeated_passages(make([(1, f"{a} {twelve}"), (2, f"{b} {twelve}"), (3, f"{a} {twelve}")])).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed) for r in got} == {1: (13, 0), 2: (13, 0), 3: (13, 13)}
+
+
+def test_word_digests_are_those_of_the_bytes():
+    words = [b"", b"a", b"a\0", b"abcdefg", b"abcdefgh", b"abcdefghi", b"x" * 64, b"x" * 65, b"x" * 63 + b"y", b"a", b"y" * 300]
+    data = np.frombuffer(b" ".join(words), np.uint8)
+    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    starts = ends - [len(w) for w in words]
+    for key in (0, 1, 2**64 - 1):
+        got = word_digests(data, starts, ends, key).tolist()
+        assert got[1] == got[9] and len(set(got)) == len(set(words))

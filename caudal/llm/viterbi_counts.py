@@ -1,16 +1,19 @@
 """Token counts of a unigram vocabulary, without the tokens.
 
-A word is what the text has between spaces, with a mark in front (the usual meta-space split). An
-Aho-Corasick automaton enumerates all vocabulary pieces in a word by their ends; dynamic programming
+Spaces become marks, and one more mark stands before the text (the usual meta-space form). A word is a run of marks
+with what follows up to the next mark; no piece of such a vocabulary reaches from one word into the next, so words are
+taken singly, and where a piece does, or the mark itself is no piece, the text is taken as one word. An Aho-Corasick automaton enumerates all vocabulary pieces in a word by their ends; dynamic programming
 keeps, for each end, the best score and how many pieces the best path has, and nothing else.
 
 Tie rules are the tokenizer's: of equal scores at one end the piece that starts first stays, so pieces are tried longest
 first and only a larger score replaces; a character that is no piece of its own costs the lowest score less a
-penalty, and is tried last; unknown pieces in a row are one token.
+penalty, and is tried last. Where the vocabulary has byte pieces, such a character is as many tokens as it has
+bytes in UTF-8; else unknown pieces in a row are one token.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,13 +26,15 @@ from pyspark.sql import functions as F
 from caudal.llm.common import importable
 
 MARK = "▁"
+WORD = re.compile(f"{MARK}+[^{MARK}]*")
 PENALTY = 10.0
 #: Words whose counts a worker remembers; longer ones are counted each time.
 REMEMBERED, LONGEST = 1 << 19, 64
 
 
 def pieces_of(path: str) -> list[tuple[str, float]]:
-    """Pieces and scores of a model file: the unknown piece first, then all ordinary ones."""
+    """Pieces and scores of a model file: the unknown piece first, then all ordinary ones. Byte pieces aren't among them:
+    the text of their names is no match, and their scores decide nothing."""
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     ordinary = [
         i for i in range(model.get_piece_size())
@@ -38,19 +43,29 @@ def pieces_of(path: str) -> list[tuple[str, float]]:
     return [(model.id_to_piece(model.unk_id()), 0.0), *((model.id_to_piece(i), model.get_score(i)) for i in ordinary)]
 
 
+def has_byte_pieces(path: str) -> bool:
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    return sum(map(model.is_byte, range(model.get_piece_size()))) == 256
+
+
 class PieceCounter:
-    """Counts pieces of words; the first piece of the vocabulary stands for unknown characters."""
+    """Counts pieces of words; the first piece of the vocabulary stands for unknown characters, unless there are byte
+    pieces for them: then its name is no match either."""
 
-    def __init__(self, pieces: list[tuple[str, float]]):
+    def __init__(self, pieces: list[tuple[str, float]], byte_pieces: bool = False):
         self.automaton = ahocorasick.Automaton()
         for i, (piece, score) in enumerate(pieces):
-            self.automaton.add_word(piece, (len(piece), score, i == 0))
+            if i or not byte_pieces:
+                self.automaton.add_word(piece, (len(piece), score, i == 0))
         self.automaton.make_automaton()
+        self.byte_pieces = byte_pieces
+        across = re.compile(f"[^{MARK}]{MARK}")
+        self.by_word = any(piece == MARK for piece, _ in pieces) and not any(across.search(piece) for piece, _ in pieces)
         self.unknown = min(score for _, score in pieces) - PENALTY
         self.known: dict[str, tuple[int, int, float]] = {}
 
     def word(self, word: str) -> tuple[int, int, float]:
-        """Pieces, unknown ones among them, and score of the best path."""
+        """Tokens, those for unknown characters among them, and score of the best path."""
         n = len(word)
         best: list[float | None] = [None] * (n + 1)
         best[0] = 0.0
@@ -74,24 +89,23 @@ class PieceCounter:
                 start = end - 1
                 score = best[start] + self.unknown
                 if best[end] is None or score > best[end]:
-                    joins = ends_unknown[start]
+                    tokens = len(word[start].encode()) if self.byte_pieces else not ends_unknown[start]
                     best[end], ends_unknown[end] = score, True
-                    counts[end] = counts[start] + (not joins)
-                    unknown[end] = unknown[start] + (not joins)
+                    counts[end] = counts[start] + tokens
+                    unknown[end] = unknown[start] + tokens
         return counts[n], unknown[n], best[n]
 
     def text(self, text: str) -> tuple[int, int, float]:
         if not text:
             return 0, 0, 0.0
-        words = text.replace(" ", MARK).split(MARK)
-        if not words[0]:
-            del words[0]
+        text = MARK + text.replace(" ", MARK)
+        words = WORD.findall(text) if self.by_word else [text]
         known = self.known
         found = list(map(known.get, words))
         for i in [i for i, got in enumerate(found) if got is None]:
             word = words[i]
             if (got := known.get(word)) is None:  # else it has come up earlier in this text
-                got = self.word(MARK + word)
+                got = self.word(word)
                 if len(word) <= LONGEST:
                     if len(known) >= REMEMBERED:
                         known.clear()
@@ -103,7 +117,7 @@ class PieceCounter:
 
 @lru_cache(maxsize=2)
 def counter(path: str) -> PieceCounter:
-    return PieceCounter(pieces_of(path))
+    return PieceCounter(pieces_of(path), has_byte_pieces(path))
 
 
 def _count(path: str):
@@ -123,8 +137,8 @@ def _count(path: str):
 
 
 def token_counts(docs: DataFrame, path: str) -> DataFrame:
-    """One row for each row of docs (doc_id, text; other columns are not read): doc_id, n_tokens, n_unknown (unknown
-    tokens among them), score of the best segmentation. Null and empty texts have no tokens. Nothing depends on
+    """One row for each row of docs (doc_id, text; other columns are not read): doc_id, n_tokens, n_unknown (those
+    for characters without a piece, byte pieces included), score of the best segmentation. Null and empty texts have no tokens. Nothing depends on
     doc_id, so null and repeated ones are fine. The model file must be readable on every executor."""
     importable(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_count(path), "doc_id long, n_tokens long, n_unknown long, score double")

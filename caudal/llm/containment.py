@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from caudal.llm.common import NOT_WORD, gram_hashes, importable, string_bytes, word_hashes, word_spans
 
 SHINGLE, SHARE = 5, 0.8
+#: What separates words beside the ASCII separators: all that is no letter, mark or digit.
+OTHER = r"[^\x00-\x7F\p{L}\p{M}\p{N}]+"
 #: Items of at most so many shingles are looked up shingle by shingle.
 WHOLE = 16
 BINS = 4
@@ -35,6 +37,11 @@ ITEM_BYTES = 8 << 20
 FOUND = "doc_id long, item_id long, n_shared long, n_shingles long, containment double"
 
 
+def plain(texts: pa.Array | pa.Scalar) -> pa.Array | pa.Scalar:
+    """Texts in lower case, with separators in ASCII only."""
+    return pc.utf8_lower(pc.replace_substring_regex(texts, OTHER, " "))
+
+
 def words_of(text: bytes) -> list[bytes]:
     data = np.frombuffer(text, np.uint8)
     return [text[a:b] for a, b in zip(*(x.tolist() for x in word_spans(data, NOT_WORD)), strict=True)]
@@ -161,7 +168,7 @@ class Search:
         return out
 
     def column(self, column: pa.Array) -> list[list[tuple]]:
-        data, offsets = string_bytes(pc.utf8_lower(column))
+        data, offsets = string_bytes(plain(column))
         return [self.text(data[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
 
 
@@ -198,14 +205,14 @@ def _item_blocks(items: DataFrame, shingle: int, share: float) -> Iterator:
     n = -(-(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // ITEM_BYTES)
     for k in range(n):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k) if n > 1 else items
-        yield context.broadcast(Items([(r[0], pc.utf8_lower(r[1]).as_py().encode()) for r in part.collect()], shingle, share))
+        yield context.broadcast(Items([(r[0], plain(pa.scalar(r[1])).as_py().encode()) for r in part.collect()], shingle, share))
 
 
 def contained(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, share: float = SHARE) -> DataFrame:
     """(doc_id, item_id, n_shared, n_shingles, containment) for each row of docs (doc_id, text) and row of items (item_id,
     text) whose containment is at least `share`; other columns are not read.
 
-    Words are runs of letters and digits in lower case. An item of fewer words than a shingle is one shingle of all its
+    Words are runs of letters, marks and digits of any script, in lower case. An item of fewer words than a shingle is one shingle of all its
     words. Items and documents without words (null, empty, blank) are in no row. Null ids stay null. Rows that repeat
     give rows that repeat. No items or no documents give an empty result.
     """

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -98,13 +99,13 @@ def test_no_documents_to_shard(make):
 
 
 def grams(text):
-    words = re.findall(r"[0-9a-z\u0080-\U0010ffff]+", (text or "").lower())
+    words = regex.findall(r"[\p{L}\p{M}\p{N}]+", (text or "").lower())
     k = min(5, len(words))
     return {tuple(words[i : i + k]) for i in range(len(words) - k + 1)} if words else set(), k
 
 
 def held(text, k):
-    words = re.findall(r"[0-9a-z\u0080-\U0010ffff]+", (text or "").lower())
+    words = regex.findall(r"[\p{L}\p{M}\p{N}]+", (text or "").lower())
     return {tuple(words[i : i + k]) for i in range(len(words) - k + 1)}
 
 
@@ -113,7 +114,8 @@ def benchmark_case():
     words = [f"word{i}" for i in range(400)]
     items = [(i, " ".join(rnd.choice(words) for _ in range(rnd.choice([1, 3, 5, 9, 21, 30, 60, 200])))) for i in range(60)]
     items += [(None, "an item without a number but with enough words"), (90, None), (91, "  ?! "), items[4]]
-    rows = list(ODD) + [(200, "Say: an item, without a NUMBER but with enough words!")]
+    rows = list(ODD) + [(200, "Say: an item, without a NUMBER but with enough words!"),
+                        (201, "“An item—without a number…but with ‘enough’ words”"), (202, "an ítem without a number but with enough wórds")]
     for i in range(300):
         text = [rnd.choice(words) for _ in range(rnd.choice([5, 100, 3000]))]
         if i % 3 == 0:

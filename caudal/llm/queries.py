@@ -26,25 +26,36 @@ from caudal.llm.viterbi_counts import token_counts
 
 
 def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A capture log over the pages: each page as a full response, a revisit some weeks later that carries an ETag (a
-    stale one for every third page), and one that carries a modification date only and may come before the page. The
-    revisits spell the URL in another way."""
-    page = F.col("page_id")
+    """A capture log over the pages: each page as two full responses with other validators some days apart, a revisit that
+    carries the ETag of the second (a stale one for every third page), and one that carries the first's modification date
+    only and may come before the page. The revisits spell the URL in another way. A third of the pages are captures of one
+    URL, whose ETag changes from day to day."""
+    page, day = F.col("page_id"), 86_400
+    hot = F.pmod(page, F.lit(3)) == 1
     start = F.lit(1_704_067_200) + F.pmod(page * 7919, F.lit(2_592_000))
-    etag, modified = F.md5(F.col("html").cast("binary")), F.concat(F.lit("day "), F.pmod(page, F.lit(365)).cast("string"))
-    headers = {
-        "Content-Type": F.lit("text/html"), "Content-Length": F.octet_length("html").cast("string"), "ETag": etag,
-        "Cache-Control": F.concat(F.lit("max-age="), F.pmod(page, F.lit(100)).cast("string")), "Date": start.cast("string"),
-    }
-    late, early = start + 1 + F.pmod(page * 31, F.lit(5_000_000)), start + F.pmod(page * 17, F.lit(2_000_000)) - 1_000_000
+    url = F.when(hot, "https://www.hot.example/news?id=1").otherwise(F.col("url"))
+    other = F.concat(F.regexp_replace(url, "^https?://", "HTTPS://"), F.lit("#again"))
+    digest = F.md5(F.col("html").cast("binary"))
+    of_day = lambda at: F.concat(F.lit("day-"), F.floor(at / day).cast("string"))
+    etag = lambda at, version: F.when(hot, of_day(at)).otherwise(F.concat(digest, F.lit(f"-{version}")))
+    modified = lambda version: F.concat(F.lit("day "), F.pmod(page + version, F.lit(365)).cast("string"))
     as_map = lambda d: F.create_map(*[x for k, v in d.items() for x in (F.lit(k), v)])
-    other = F.concat(F.regexp_replace("url", "^https?://", "HTTPS://"), F.lit("#again"))
-    stale = F.when(F.pmod(page, F.lit(3)) == 0, F.lit("stale")).otherwise(etag)
+
+    def response(version: int) -> tuple:
+        at = start + version * 700_000
+        headers = {
+            "Content-Type": F.lit("text/html"), "Content-Length": (F.octet_length("html") + version).cast("string"), "ETag": etag(at, version),
+            "Cache-Control": F.concat(F.lit("max-age="), F.pmod(page + version, F.lit(100)).cast("string")), "Date": at.cast("string"),
+        }
+        return page * 4 + version, url, at, False, etag(at, version), modified(version), as_map(headers)
+
+    late, early = start + 1 + F.pmod(page * 31, F.lit(5_000_000)), start + F.pmod(page * 17, F.lit(2_000_000)) - 1_000_000
+    known = F.when(F.pmod(page, F.lit(3)) == 0, F.lit("stale")).otherwise(etag(late, 1))
     rows = [
-        (page * 4, F.col("url"), start, False, etag, modified, as_map(headers)),
-        (page * 4 + 1, other, late, True, F.concat(F.lit("W/"), stale), F.lit(None).cast("string"),
+        response(0), response(1),
+        (page * 4 + 2, other, late, True, F.concat(F.lit("W/"), known), F.lit(None).cast("string"),
          as_map({"date": late.cast("string"), "CACHE-CONTROL": F.lit("no-cache"), "Content-Length": F.lit("0")})),
-        (page * 4 + 2, other, early, True, F.lit(None).cast("string"), modified,
+        (page * 4 + 3, other, early, True, F.lit(None).cast("string"), modified(0),
          as_map({"Date": early.cast("string"), "Content-Type": F.lit("none")})),
     ]
     names = ["capture_id", "url", "at", "revisit", "etag", "last_modified", "headers"]
@@ -181,8 +192,9 @@ _TRACKING = ", ".join(f"'{t}'" for t in TRACKING)
 SQL = {
     "op1_revisits": f"""
         WITH p AS (
-            SELECT page_id, 1704067200 + (page_id * 7919) % 2592000 AS start, md5(html) AS tag, 'day ' || page_id % 365 AS modified,
-                   strlen(html) AS n, regexp_replace(regexp_replace(url, '#.*$', ''), '^https?://', '', 'i') AS bare
+            SELECT page_id, page_id % 3 = 1 AS hot, 1704067200 + (page_id * 7919) % 2592000 AS start, md5(html) AS digest, strlen(html) AS n,
+                   regexp_replace(regexp_replace(CASE WHEN hot THEN 'https://www.hot.example/news?id=1' ELSE url END, '#.*$', ''),
+                                  '^https?://', '', 'i') AS bare
             FROM pages),
         k AS (
             SELECT *, string_split(bare, '?')[1] AS head,
@@ -192,14 +204,20 @@ SQL = {
             SELECT *, regexp_replace(lower(regexp_extract(head, '^([^/]*)', 1)), '^www[.]|:(80|443)$', '', 'g')
                    || regexp_replace(regexp_extract(head, '^[^/]*(.*)$', 1), '/+$', '')
                    || CASE WHEN len(query) > 0 THEN '?' || array_to_string(query, '&') ELSE '' END AS url_key FROM k),
+        versions AS (
+            SELECT page_id * 4 + version AS id, url_key, start + version * 700000 AS captured, n + version AS n,
+                   CASE WHEN hot THEN 'day-' || captured // 86400 ELSE digest || '-' || version END AS tag,
+                   'day ' || (page_id + version) % 365 AS modified, 'max-age=' || (page_id + version) % 100 AS cache
+            FROM u, (VALUES (0), (1)) v(version)),
         responses AS (
-            SELECT url_key, start AS captured, max(page_id * 4) AS response_id, max_by(tag, page_id) AS tag, max_by(modified, page_id) AS modified,
-                   max_by(n, page_id) AS n, max_by('max-age=' || page_id % 100, page_id) AS cache FROM u GROUP BY ALL),
+            SELECT url_key, captured, max(id) AS response_id, max_by(tag, id) AS tag, max_by(modified, id) AS modified,
+                   max_by(n, id) AS n, max_by(cache, id) AS cache FROM versions GROUP BY ALL),
         revisits AS (
-            SELECT page_id * 4 + 1 AS capture_id, url_key, start + 1 + (page_id * 31) % 5000000 AS captured,
-                   CASE WHEN page_id % 3 = 0 THEN 'stale' ELSE tag END AS tag, NULL AS modified, 'no-cache' AS cache, '0' AS n, NULL AS kind FROM u
+            SELECT page_id * 4 + 2 AS capture_id, url_key, start + 1 + (page_id * 31) % 5000000 AS captured,
+                   CASE WHEN page_id % 3 = 0 THEN 'stale' WHEN hot THEN 'day-' || captured // 86400 ELSE digest || '-1' END AS tag,
+                   NULL AS modified, 'no-cache' AS cache, '0' AS n, NULL AS kind FROM u
             UNION ALL
-            SELECT page_id * 4 + 2, url_key, start + (page_id * 17) % 2000000 - 1000000, NULL, modified, NULL, NULL, 'none' FROM u),
+            SELECT page_id * 4 + 3, url_key, start + (page_id * 17) % 2000000 - 1000000, NULL, 'day ' || page_id % 365, NULL, NULL, 'none' FROM u),
         j AS (
             SELECT v.*, r.response_id, r.tag AS r_tag, r.n AS r_n, r.cache AS r_cache,
                    CASE WHEN r.response_id IS NULL THEN 'orphan'
@@ -211,11 +229,48 @@ SQL = {
                CASE WHEN status = 'resolved' THEN 'text/html' ELSE kind END AS content_type,
                captured::VARCHAR AS date, CASE WHEN status = 'resolved' THEN r_tag END AS etag
         FROM j""",
+    "op4_rlz_dedup": r"""
+        WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        p AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM w),
+        s AS (SELECT doc_id, pos, sha256(string_agg(word, ' ') OVER x) AS content, count(*) OVER x = 13 AS whole FROM p
+              WINDOW x AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)),
+        r AS (SELECT doc_id, pos, whole AND doc_id > min(doc_id) OVER (PARTITION BY whole, content) AS again FROM s),
+        c AS (SELECT doc_id, pos, bool_or(again) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS gone FROM r),
+        k AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (NOT gone) AS kept
+              FROM p JOIN c USING (doc_id, pos) GROUP BY doc_id)
+        SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM w LEFT JOIN k USING (doc_id)""",
+    "op5_containment": r"""
+        WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}]+') AS words FROM documents),
+        v AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}]+') AS words FROM benchmark),
+        i AS (SELECT item_id, words, least(5, len(words)) AS width FROM v WHERE len(words) > 0),
+        si AS (SELECT DISTINCT item_id, width, array_to_string(words[n:n + width - 1], ' ') AS shingle
+               FROM (SELECT *, unnest(range(1, len(words) - width + 2)) AS n FROM i)),
+        sd AS (SELECT DISTINCT doc_id, width, array_to_string(words[n:n + width - 1], ' ') AS shingle
+               FROM (SELECT *, unnest(range(1, len(words) - width + 2)) AS n FROM w JOIN (SELECT DISTINCT width FROM i) ON width <= len(words))),
+        b AS (SELECT item_id, count(*) AS n_shingles FROM si GROUP BY item_id),
+        f AS (SELECT doc_id, item_id, count(*) AS n_shared FROM si JOIN sd USING (width, shingle) GROUP BY ALL)
+        SELECT doc_id, item_id, n_shared, n_shingles, n_shared / n_shingles AS containment
+        FROM f JOIN b USING (item_id) WHERE n_shared >= 0.8 * n_shingles""",
     "op7_exact_dedup": f"""
         WITH d AS (SELECT doc_id, sha256({_AZ}) AS text_sha256 FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, text_sha256
         FROM d WINDOW w AS (PARTITION BY text_sha256)""",
+    "op10_suffix_dedup": """
+        WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS data FROM documents),
+        p AS (SELECT doc_id, data, unnest(range(1, octet_length(data) + 1)) AS pos FROM d),
+        s AS (SELECT doc_id, pos, pos + 99 <= octet_length(data) AS whole, sha256(data[pos:pos + 99]) AS content FROM p),
+        r AS (SELECT doc_id, pos, whole AND row_number() OVER (PARTITION BY whole, content ORDER BY doc_id, pos) > 1 AS again FROM s),
+        c AS (SELECT doc_id, pos, bool_or(again) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 99 PRECEDING AND CURRENT ROW) AS gone FROM r),
+        e AS (SELECT doc_id, pos, gone, gone IS DISTINCT FROM lag(gone) OVER (PARTITION BY doc_id ORDER BY pos) AS edge FROM c),
+        i AS (SELECT doc_id, pos, gone, count(*) FILTER (edge) OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM e),
+        g AS (SELECT doc_id, run, gone, min(pos) AS a, max(pos) AS b FROM i GROUP BY ALL),
+        k AS (SELECT doc_id, sum(b - a + 1) FILTER (gone) AS n_removed, count(*) FILTER (gone) AS n_spans,
+              string_agg(hex(data[a:b]), '' ORDER BY a) FILTER (NOT gone) AS kept FROM g JOIN d USING (doc_id) GROUP BY doc_id)
+        SELECT doc_id, octet_length(data)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+               sha256(coalesce(unhex(kept), ''::BLOB)) AS kept_sha256
+        FROM d LEFT JOIN k USING (doc_id)""",
     "op12_top_k": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings

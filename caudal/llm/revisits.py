@@ -5,9 +5,10 @@ join to the latest earlier full response of the same canonical URL, whose valida
 the revisit; the response's headers are then updated by those headers of the revisit that a not-modified answer may
 carry.
 
-The as-of join works in two levels, so that a URL with very many captures is no single task's work: within a slice of
-time of one URL by a window, and over the slices' last responses, of which there is one a slice. All of
-it is DataFrame expressions.
+The as-of join works on instants: the captures of one URL at one time are first reduced to their last response, with
+partial sums before the shuffle. Windows go over the instants of a slice of time, and over the slices' last responses, of
+which there is one a slice, so no window grows with the captures of a URL beyond the number of different times. The
+revisits then find their instant by an equal join. All of it is DataFrame expressions.
 """
 
 from __future__ import annotations
@@ -69,15 +70,19 @@ def resolved_revisits(captures: DataFrame) -> DataFrame:
     placed = rows.filter(placeable).withColumn("slice", F.floor(F.unix_timestamp("at") / SLICE)).withColumn(
         "response", F.when(~F.col("revisit"), response)
     )
+    instants = placed.groupBy("url_key", "slice", "at").agg(
+        F.max_by("response", F.when(~F.col("revisit"), F.struct("capture_id"))).alias("own"), F.max("revisit").alias("asked")
+    )
     # A response at the very time of a revisit comes after it.
-    inside = Window.partitionBy("url_key", "slice").orderBy(F.col("at"), F.col("revisit").desc(), F.col("capture_id"))
-    found = placed.withColumn("near", F.last("response", ignorenulls=True).over(inside)).filter("revisit")
+    inside = Window.partitionBy("url_key", "slice").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     over = Window.partitionBy("url_key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    slices = placed.groupBy("url_key", "slice").agg(
-        F.max_by("response", F.when(~F.col("revisit"), F.struct("at", "capture_id"))).alias("latest")
-    )
+    slices = instants.groupBy("url_key", "slice").agg(F.max_by("own", F.when(F.col("own").isNotNull(), F.col("at"))).alias("latest"))
     carried = slices.select("url_key", "slice", F.last("latest", ignorenulls=True).over(over).alias("far"))
-    joined = found.join(carried, ["url_key", "slice"], "left").withColumn("response", F.coalesce("near", "far"))
+    located = (
+        instants.withColumn("near", F.last("own", ignorenulls=True).over(inside)).filter("asked")
+        .join(carried, ["url_key", "slice"], "left").select("url_key", "at", F.coalesce("near", "far").alias("response"))
+    )
+    joined = placed.filter("revisit").drop("slice", "response").join(located, ["url_key", "at"], "left")
     unplaced = rows.filter(~placeable & F.col("revisit")).withColumn("response", F.lit(None).cast(joined.schema["response"].dataType))
     columns = ["capture_id", "url_key", "at", "etag", "last_modified", "headers", "response"]
     merged = joined.select(*columns).unionByName(unplaced.select(*columns))

@@ -3,12 +3,15 @@
 One classifier sees the content of a text (kinds of characters, words, repetition, single words that tell the classes apart),
 the other what is known about
 the page without reading it (language, source, declared and real size, layout). Both learn from labelled documents. Over
-some rounds each labels the documents of an unlabelled pool it is most confident about, for the other to learn from. On a
-held-out fold each view's score is calibrated, and the calibrated log odds are combined by weights fitted on that fold too,
-so that a view that says little weighs little.
-
-Training uses bounded samples (LABELLED, POOL below); scoring is a pass over all documents without shuffle, the models
-being a few hundred numbers.
+some rounds each labels the unlabelled documents it is most confident about, for the other to learn from: in every stratum
+(source and language) and class a share of its documents, so lessons grow with the table and rare sources have theirs. They are
+chosen anew in each round, more in later ones, so an early mistake isn't kept; together they weigh as much as the labelled
+documents at most. On a held-out fold each view's score is calibrated, and the calibrated log odds are combined by weights
+fitted on that fold too, so that a view that says little weighs little.
+
+Only the labelled documents are a bounded sample (`labelled`, a parameter). The views of all others are computed once and
+stored, a few hundred bytes a document; a round is two passes over them, of which counts in bins of the score and then the
+lessons go on. The final scoring is a pass over all documents without shuffle, the models being a few hundred numbers.
 """
 
 from __future__ import annotations
@@ -21,21 +24,24 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caudal.llm.common import LOWER, NOT_WORD, importable, stored, string_bytes, word_hashes
+from caudal.llm.common import LOWER, NOT_WORD, dropped, importable, stored, string_bytes, word_hashes
 from caudal.llm.repeats import words_of
 
-#: Most labelled documents and most pool documents that training uses, about (drawn by hash of doc_id).
-LABELLED, POOL = 20_000, 20_000
-ROUNDS, GROWTH, CONFIDENT = 3, 1_000, 0.95
+#: Most labelled documents that training uses unless the caller says otherwise, about (drawn by hash of doc_id).
+LABELLED = 20_000
+#: In round r a view labels about r times SHARE of the documents of each stratum, of those it is CONFIDENT about.
+ROUNDS, SHARE, CONFIDENT = 3, 0.02, 0.95
+#: Sources and languages are hashed to so many strata; scores are ordered by bins of 1/FINE of log odds.
+STRATA, FINE, BINS = 256, 16, 1024
 #: One labelled document in so many is held out for calibration.
 FOLD = 5
-REGULARISATION, ITERATIONS = 1e-3, 15
-#: Tasks of a pass over the (bounded) training rows.
-TASKS = 6
+REGULARISATION, ITERATIONS = 1e-3, 30
+#: A training pass has a task for so many rows, and so many tasks at least.
+TASK_ROWS, TASKS = 20_000, 6
 #: Hashed words, languages and sources.
 WORDS, LANGS, SOURCES = 64, 8, 16
 #: Most single words for each of toxicity and quality, the fewest labelled documents that must have such a word, and its least
@@ -134,16 +140,24 @@ def _batch_features(batch: pa.RecordBatch, places: list[int | None], chosen: np.
 
 
 def _feature_rows(chosen: np.ndarray):
-    """(doc_id, label, inputs) to (doc_id, label, views)."""
+    """(two columns, inputs) to (the two columns, views)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            views = [pa.array(list(v), pa.list_(pa.float64())) for v in _batch_features(batch, [2, 3, 4, 5], chosen)]
+            views = [
+                pa.ListArray.from_arrays(np.arange(len(v) + 1, dtype=np.int32) * v.shape[1], v.astype(np.float32).ravel())
+                for v in _batch_features(batch, [2, 3, 4, 5], chosen)
+            ]
             yield pa.record_batch([*batch.columns[:2], *views], [*batch.schema.names[:2], *VIEWS])
 
     return run
 
 
+def _matrix(column: pa.ListArray) -> np.ndarray:
+    """A list column of equal lengths, a row each."""
+    return column.flatten().to_numpy().reshape(len(column), -1)
+
+
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(text, low, toxic) to (word, documents that have it, of these of low quality, of these toxic)."""
     for batch in batches:
@@ -248,24 +262,109 @@ class QualityModel:
         return docs.mapInArrow(run, docs.schema)
 
 
-def _fit(rows: DataFrame, view: str) -> View:
-    """Logistic regression of label on an array column, by Spark."""
+def _fit(rows: DataFrame, view: str, n: int = 0) -> View:
+    """Logistic regression of label on an array column of about n rows, weighted by weight, by Spark."""
     model = LogisticRegression(
-        maxIter=ITERATIONS, regParam=REGULARISATION, featuresCol="features", labelCol="label"
-    ).fit(rows.select(array_to_vector(view).alias("features"), F.col("label").cast("double")).coalesce(TASKS))
+        maxIter=ITERATIONS, regParam=REGULARISATION, featuresCol="features", labelCol="label", weightCol="weight"
+    ).fit(
+        rows.select(array_to_vector(F.col(view).cast("array<double>")).alias("features"), F.col("label").cast("double"), "weight")
+        .coalesce(max(TASKS, n // TASK_ROWS))
+    )
     return View(np.array(model.coefficients.toArray()), float(model.intercept))
 
 
-def _raw(view: View, column: str):
-    """The view's score as an expression over an array column."""
-    weights = F.array(*[F.lit(float(w)) for w in view.weights])
-    return F.aggregate(F.zip_with(column, weights, lambda x, w: x * w), F.lit(float(view.intercept)), lambda a, b: a + b)
+def _raw_scores(views: dict[str, View]):
+    """(label, views) to (label, weight, the views' scores, each as an array of one)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                scores = [view.log_odds(_matrix(batch.column(v))) for v, view in views.items()]
+                ones = np.arange(batch.num_rows + 1, dtype=np.int32)
+                yield pa.record_batch(
+                    [batch.column("label"), pa.array(np.ones(batch.num_rows)), *(pa.ListArray.from_arrays(ones, x) for x in scores)],
+                    ["label", "weight", *VIEWS],
+                )
+
+    return run
+
+
+def _raw(views: dict[str, View], rows: DataFrame) -> DataFrame:
+    return stored(
+        rows.select("label", *VIEWS).mapInArrow(_raw_scores(views), "label int, weight double, content array<double>, page array<double>"), "scores"
+    )
+
+
+# ---------------------------------------------------------------- lessons
+
+
+def _placed(view: View, column: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Label that the view gives to each row, bin of its confidence, and whether it is confident."""
+    score = view.log_odds(_matrix(column))
+    sure = np.abs(score)
+    return (score > 0).astype(np.int64), np.minimum(sure * FINE, BINS - 1).astype(np.int64), sure >= np.log(CONFIDENT / (1 - CONFIDENT))
+
+
+def _bin_counts(views: dict[str, View]):
+    """(stratum, views) to (teacher, stratum, label, bin, rows) of confident rows, summed up within a batch."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            stratum = batch.column("stratum").to_numpy().astype(np.int64)
+            for teacher, name in enumerate(VIEWS):
+                label, at, sure = _placed(views[name], batch.column(name))
+                keys, n = np.unique(((stratum * 2 + label) * BINS + at)[sure], return_counts=True)
+                columns = [np.full(len(keys), teacher), keys // BINS // 2, keys // BINS % 2, keys % BINS, n]
+                yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], ["teacher", "stratum", "label", "bin", "n"])
+
+    return run
+
+
+def _least_bins(pool: DataFrame, views: dict[str, View], share: float, good: float) -> tuple[np.ndarray, list[int]]:
+    """The least bin whose rows become lessons, by teacher, stratum and label (BINS: none), and the number of each teacher's
+    lessons. Rows of a bin stay together, so ties are all taken."""
+    counts = pool.select("stratum", *VIEWS).mapInArrow(_bin_counts(views), "teacher long, stratum long, label long, bin long, n long")
+    counts = counts.groupBy("teacher", "stratum", "label", "bin").agg(F.sum("n").alias("n"))
+    sizes = pool.groupBy(F.col("stratum").cast("long").alias("stratum")).agg(F.count("*").alias("size"))
+    # At most 2 * STRATA * 2 groups of BINS rows, whatever the table.
+    better = Window.partitionBy("teacher", "stratum", "label").orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, -1)
+    quota = F.col("size") * share * F.when(F.col("label") == 1, good).otherwise(1 - good)
+    taken = counts.join(F.broadcast(sizes), "stratum").withColumn("before", F.coalesce(F.sum("n").over(better), F.lit(0))).filter(F.col("before") < quota)
+    least, lessons = np.full((len(VIEWS), STRATA, 2), BINS), [0] * len(VIEWS)
+    for r in taken.groupBy("teacher", "stratum", "label").agg(F.min("bin").alias("bin"), F.sum("n").alias("n")).collect():
+        least[r["teacher"], r["stratum"], r["label"]] = r["bin"]
+        lessons[r["teacher"]] += r["n"]
+    return least, lessons
+
+
+def _lesson_rows(views: dict[str, View], least: np.ndarray, weights: list[float]):
+    """(stratum, views) to (teacher, label, weight, features for the pupil)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            stratum = batch.column("stratum").to_numpy()
+            for teacher, (name, pupil) in enumerate((VIEWS, VIEWS[::-1])):
+                label, at, sure = _placed(views[name], batch.column(name))
+                rows = np.flatnonzero(sure & (at >= least[teacher, stratum, label]))
+                n = len(rows)
+                columns = [np.full(n, teacher, np.int32), label[rows].astype(np.int32), np.full(n, weights[teacher])]
+                yield pa.record_batch([*map(pa.array, columns), batch.column(pupil).take(pa.array(rows))], ["teacher", "label", "weight", "features"])
+
+    return run
 
-def _calibrated(view: View, rows: DataFrame, column: str) -> View:
-    """Log odds as a linear function of the score, fitted on rows the view hasn't seen."""
-    scaled = _fit(rows.select("label", F.array(_raw(view, column)).alias("x")), "x")
-    return View(view.weights, view.intercept, float(scaled.weights[0]), scaled.intercept)
+
+def lessons(pool: DataFrame, views: dict[str, View], share: float, good: float, known: int) -> tuple[DataFrame, list[int]]:
+    """(teacher, label, weight, features) of the rows of pool (stratum, content, page) that a view teaches the other: in each
+    stratum and class the most confident ones, `share` of its rows divided by the share of good ones; and their number by teacher.
+    Those of a teacher weigh as much as `known` rows at most."""
+    least, counts = _least_bins(pool, views, share, good)
+    weights = [min(1.0, known / max(n, 1)) for n in counts]
+    found = pool.select("stratum", *VIEWS).mapInArrow(_lesson_rows(views, least, weights), "teacher int, label int, weight double, features array<float>")
+    return stored(found, "lessons"), counts
 
 
 def _both_classes(rows: DataFrame) -> bool:
@@ -288,72 +387,79 @@ def _truth(labels: DataFrame) -> DataFrame:
     )
 
 
-def sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """(doc_id, label, content, page) of at most about LABELLED labelled documents, and POOL others with a null label; and the single
-    words of the content view, which are chosen without the documents held out."""
-    truth = _truth(labels)
-    n_docs, n_labels = docs.count(), truth.count()
+VIEW_COLUMNS = "content array<float>, page array<float>"
+
+
+def known_rows(docs: DataFrame, truth: DataFrame, most: int) -> tuple[DataFrame, np.ndarray]:
+    """(doc_id, label, content, page) of at most about `most` labelled documents, and the single words of the content view, which are
+    chosen without the documents held out."""
+    n_labels = truth.count()
     place = F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1_000_000)) / 1e6
-    chosen = stored(truth.filter(place < min(1.0, LABELLED / max(n_labels, 1))), "truth")
-    # At most LABELLED rows of four numbers, so the sample finds its texts without a shuffle of texts.
-    text = docs.filter("doc_id is not null").select("doc_id", *_inputs(docs))
-    labelled = text.join(F.broadcast(chosen), "doc_id")
+    chosen = stored(truth.filter(place < min(1.0, most / max(n_labels, 1))), "truth")
+    # At most so many rows of four numbers, so their texts are found without a shuffle of texts.
+    labelled = docs.filter("doc_id is not null").select("doc_id", *_inputs(docs)).join(F.broadcast(chosen), "doc_id")
     words = telling_words(labelled.filter(~_held("doc_id")).select("_text", "low", "toxic"))
-    rate = min(1.0, POOL / max(n_docs - n_labels, 1))
-    ids = docs.filter("doc_id is not null").select("doc_id").filter(place < rate).join(truth, "doc_id", "left_anti").distinct()
-    pool = text.join(F.broadcast(ids), "doc_id").withColumn("label", F.lit(None).cast("int"))
-    columns = ["doc_id", "label", "_text", "_lang", "_source", "_n_chars"]
-    rows = labelled.select(columns).unionByName(pool.select(columns))
-    return stored(rows.mapInArrow(_feature_rows(words), "doc_id long, label int, content array<double>, page array<double>"), "sample"), words
+    rows = labelled.select("doc_id", "label", "_text", "_lang", "_source", "_n_chars")
+    return stored(rows.mapInArrow(_feature_rows(words), f"doc_id long, label int, {VIEW_COLUMNS}"), "known"), words
+
+
+def pool_rows(docs: DataFrame, truth: DataFrame, words: np.ndarray) -> DataFrame:
+    """(stratum, content, page) of every document without label. Texts become views before the join with the labels, so
+    they are not shuffled."""
+    stratum = F.pmod(F.xxhash64("_source", "_lang"), F.lit(STRATA)).cast("int").alias("stratum")
+    rows = docs.filter("doc_id is not null").select("doc_id", *_inputs(docs)).select("doc_id", stratum, "_text", "_lang", "_source", "_n_chars")
+    views = rows.mapInArrow(_feature_rows(words), f"doc_id long, stratum int, {VIEW_COLUMNS}")
+    return stored(views.join(truth.select("doc_id"), "doc_id", "left_anti").drop("doc_id"), "pool")
 
 
-def trained(docs: DataFrame, labels: DataFrame) -> QualityModel:
+def trained(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> QualityModel:
     """Co-trains on docs (doc_id, text, lang, source, n_chars; missing ones count as null) and labels (doc_id, quality 0 or
-    1, toxic 0 or 1 or missing; see `_truth`). Rows without doc_id are not used."""
+    1, toxic 0 or 1 or missing; see `_truth`). At most about `labelled` labelled documents are used, and all others. Rows without
+    doc_id are not used. Null texts are empty ones; repeated rows count each. Without labels of both classes, as in
+    empty tables, nothing is trained and every document is good."""
     importable(docs.sparkSession)
     docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
     toxic = F.col("toxic") if "toxic" in labels.columns else F.lit(None)
-    rows, words = sample(docs, labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("double"), toxic.cast("double").alias("toxic")))
-    known = rows.filter("label is not null")
+    truth = _truth(labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("double"), toxic.cast("double").alias("toxic")))
+    known, words = known_rows(docs, truth, labelled)
     held = _held("doc_id")
-    fold, learn = known.filter(held), known.filter(~held)
+    fold, learn = known.filter(held), known.filter(~held).withColumn("weight", F.lit(1.0))
     if not _both_classes(learn):
         return QualityModel()
-    pool = rows.filter("label is null")
-    taught = dict.fromkeys(VIEWS, learn)
-    share = learn.agg(F.avg("label")).first()[0]
-    for _ in range(ROUNDS):
-        views = {v: _fit(taught[v], v) for v in VIEWS}
-        used = []
-        for teacher, pupil in (VIEWS, VIEWS[::-1]):
-            p = 1 / (1 + F.exp(-_raw(views[teacher], teacher)))
-            sure = pool.withColumn("p", p)
-            lessons = [
-                sure.filter(chosen).orderBy(order, "doc_id").limit(max(int(GROWTH * part), 1)).withColumn("label", F.lit(label))
-                for chosen, order, part, label in (
-                    (F.col("p") >= CONFIDENT, F.desc("p"), share, 1), (F.col("p") <= 1 - CONFIDENT, F.asc("p"), 1 - share, 0)
-                )
-            ]
-            lessons = stored(lessons[0].unionByName(lessons[1]).drop("p"), "lessons")
-            taught[pupil] = taught[pupil].unionByName(lessons)
-            used.append(lessons.select("doc_id"))
-        pool = pool.join(used[0].unionByName(used[1]).distinct(), "doc_id", "left_anti")
-    views = {v: _fit(taught[v], v) for v in VIEWS}
+    n, share = learn.agg(F.count("*"), F.avg("label")).first()
+    pool = pool_rows(docs, truth, words)
+    views = {v: _fit(learn, v, n) for v in VIEWS}
+    for number in range(1, ROUNDS + 1):
+        taught, counts = lessons(pool, views, SHARE * number, share, n)
+        views = {
+            pupil: _fit(
+                learn.select("label", "weight", F.col(pupil).alias("features")).unionByName(taught.filter(F.col("teacher") == teacher).drop("teacher")),
+                "features", n + counts[teacher],
+            )
+            for teacher, pupil in enumerate(VIEWS[::-1])
+        }
+        dropped(taught)
+    dropped(pool)
     if not _both_classes(fold):
         # Nothing to fit on: views count as independent given the class, so log odds add up and the prior counts once.
         return QualityModel(views, View(np.ones(2), -float(np.log(share / (1 - share)))), words)
-    views = {v: _calibrated(view, fold, v) for v, view in views.items()}
-    odds = F.array(*[_raw(view, v) * view.slope + view.shift for v, view in views.items()])
-    return QualityModel(views, _fit(fold.select("label", odds.alias("odds")), "odds"), words)
+    # Log odds as a linear function of the score, and then their combination, fitted on rows the views haven't seen.
+    raw = _raw(views, fold)
+    for name, view in views.items():
+        scaled = _fit(raw, name)
+        view.slope, view.shift = float(scaled.weights[0]), scaled.intercept
+    odds = F.array(*[F.col(v)[0] * view.slope + view.shift for v, view in views.items()])
+    return QualityModel(views, _fit(raw.withColumn("odds", odds), "odds"), words)
 
 
-def good(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
-    """The rows of docs, with all their columns, whose combined probability of good quality is at least `least`."""
-    return trained(docs, labels).good(docs, least)
+def good(docs: DataFrame, labels: DataFrame, least: float = 0.5, labelled: int = LABELLED) -> DataFrame:
+    """The rows of docs, with all their columns, whose combined probability of good quality is at least `least`. Null and empty texts
+    are scored as empty, rows without doc_id and repeated ones like all others; an empty table stays empty."""
+    return trained(docs, labels, labelled).good(docs, least)
 
 
-def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def scored(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> DataFrame:
     """All columns of docs with p_content, p_page, p_quality (probabilities of good quality by either view and
     combined). Every row gets its score, also those without doc_id; null and empty texts are scored as empty. Without
     labels of both classes all are 1. An empty table gives an empty result."""
-    return trained(docs, labels).scored(docs)
+    return trained(docs, labels, labelled).scored(docs)

@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 import regex
 from pyspark.sql import functions as F
@@ -184,6 +185,44 @@ def test_held_out_accuracy(spark, make):
     assert sum(unseen) / len(unseen) > 0.98
 
 
+def test_lessons_are_the_surest_of_each_stratum_and_class(spark):
+    """Against a plain selection: whole bins from the surest on, until a stratum has its share; one stratum has most rows."""
+    rng = np.random.default_rng(4)
+    n = 4000
+    stratum = np.where(rng.random(n) < 0.7, 0, rng.integers(1, 6, n))
+    content, page = (rng.normal(0, 2, (n, k)).astype(np.float32) for k in (3, 2))
+    content[:50] = [3, 3, 3]  # ties
+    views = {"content": cotraining.View(np.array([1.0, 2.0, -1.0]), 0.1), "page": cotraining.View(np.array([2.0, 1.0]), -0.5)}
+    rows = [(int(s), c.tolist(), p.tolist()) for s, c, p in zip(stratum, content, page, strict=True)]
+    pool = spark.createDataFrame(rows, "stratum int, content array<float>, page array<float>").repartition(5)
+    for share in (0.02, 0.2):
+        got, counts = cotraining.lessons(pool, views, share, 0.6, 100)
+        got = sorted((r.teacher, r.label, tuple(r.features)) for r in got.collect())
+        want = []
+        for teacher, (x, pupil) in enumerate(((content, page), (page, content))):
+            score = views[cotraining.VIEWS[teacher]].log_odds(x)
+            for s in range(6):
+                for label in (0, 1):
+                    sure = np.flatnonzero((stratum == s) & ((score > 0) == label) & (np.abs(score) >= np.log(19)))
+                    bins = (np.abs(score[sure]) * cotraining.FINE).astype(int)
+                    quota = (stratum == s).sum() * share * (0.6 if label else 1 - 0.6)
+                    want += [(teacher, label, tuple(map(float, pupil[i]))) for i, b in zip(sure, bins, strict=True) if (bins > b).sum() < quota]
+        assert got == sorted(want)
+        assert counts == [sum(t == teacher for t, *_ in want) for teacher in (0, 1)]
+        assert {s for s in range(6)} == set(stratum.tolist()) and min(counts) > 0
+
+
+def test_every_unlabelled_document_is_in_the_pool(spark, make):
+    docs, rows, _, labels = quality_case(spark, make, 300)
+    truth = cotraining._truth(labels.select("doc_id", *[F.col(c).cast("double") for c in ("quality", "toxic")]))
+    known, words = cotraining.known_rows(docs, truth, 10_000)
+    has = {r.doc_id for r in truth.collect()}
+    ids = [i for i, _ in rows if i is not None]
+    assert known.count() == sum(i in has for i in ids)
+    assert cotraining.pool_rows(docs, truth, words).count() == sum(i not in has for i in ids)
+    assert 20 < cotraining.known_rows(docs, truth, 50)[0].count() < 90
+
+
 def test_toxic_documents_are_not_good(spark):
     """Toxic documents differ from clean ones by a few words only, and most are labelled as of good quality."""
     rnd = random.Random(16)

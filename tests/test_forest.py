@@ -4,7 +4,7 @@ import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from caudal.operators import forest, levels
 from caudal.operators.numbering import numbered
@@ -50,6 +50,16 @@ def test_trees_grow_beyond_the_learners_limit(decision_list, tmp_path):
     assert again.toDebugString == whole.toDebugString and again.getNumTrees == 2
 
 
+def test_trees_grow_in_a_session_with_observed_metrics(spark, decision_list, monkeypatch):
+    """As after the zones are written: the rows of unfinished leaves are looked up on the executors."""
+    seen = Observation()
+    spark.range(3).observe(seen, F.count("*").alias("n")).write.format("noop").mode("overwrite").save()
+    assert seen.get == {"n": 3}
+    monkeypatch.setattr(forest, "DEPTH_LIMIT", 20)
+    whole = forest.fit(decision_list, "k", "y", trees=1, subset="all")
+    assert whole.trees[0].depth > 20 and whole.transform(decision_list).where("prediction <> y").isEmpty()
+
+
 def test_a_tree_put_together_is_the_tree_itself(decision_list):
     """Where nothing goes on, each tree of the forest is what the learner fitted for its bootstrap."""
     made = forest.fit(decision_list, "k", "y", trees=3, depth=4, seed=7)

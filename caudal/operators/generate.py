@@ -1,8 +1,9 @@
 """Synthetic banking tables of any size.
 
-Every value is a function of the row's own key and the seed, so tables are made without any
-shuffle (but for a look-up where recipient ids have gaps), a transaction knows its account without looking it up, and the output does not depend on
-partitioning. ``ids`` is any table with a distinct bigint ``id``; ``as_of`` is a midnight.
+Every value is a function of the row's own key and the seed, so no made row is shuffled (but for a look-up where
+recipient ids have gaps and are many), a transaction knows its account without looking it up, and the output does not depend on
+partitioning. Only ids are, where each becomes many rows: a file of ids is small and would be one task.
+``ids`` is any table with a distinct bigint ``id``; ``as_of`` is a midnight.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from caudal.functions.dates import instant
 from caudal.operators.hashing import below, choose_per_group, digest, uuid_text, whole
 from caudal.operators.numbering import numbered
+from caudal.operators.skew import dealt
+from caudal.session import scratch_dir
 
 # Value domains, amount ranges in pesos, and table sizes.
 ESTADOS_LABORALES = ["Empleado", "Independiente", "Desempleado", "Estudiante", "Pensionado"]
@@ -133,7 +136,7 @@ def _account(user: Column, number: Column, registered: Column, seed: int, as_of)
 def generate_accounts(ids: DataFrame, as_of, seed: int = SEED) -> DataFrame:
     """One to three accounts per user, opened after registration."""
     user, number = F.col("id"), F.col("_n")
-    rows = ids.select("id").withColumns(_person(user, seed, as_of)).withColumn(
+    rows = dealt(ids.select("id")).withColumns(_person(user, seed, as_of)).withColumn(
         "_n", F.explode(F.sequence(F.lit(1), F.col("_accounts").cast("int")))
     ).withColumns(_account(user, number, F.col("_registered"), seed, as_of))
     rows = rows.withColumns(
@@ -189,7 +192,9 @@ def numbering(ids: DataFrame) -> Recipients:
     first, last, count = known.agg(F.min("id"), F.max("id"), F.count("id")).first()
     if not count or last - first + 1 == count:
         return Recipients(count, first or 0)
-    return Recipients(count, table=numbered(known, ["id"], "place"))
+    path = scratch_dir(ids.sparkSession, "places")
+    numbered(known, ["id"], "place").write.parquet(path)  # its size decides how transactions look it up
+    return Recipients(count, table=ids.sparkSession.read.parquet(path))
 
 
 def _with_recipient(rows: DataFrame, place: Column, named: Column, recipients: Recipients) -> DataFrame:
@@ -212,7 +217,7 @@ def generate_transactions(
     user, number = F.col("id"), F.col("_t")
     low, high = TRANSACTIONS_PER_USER
     size = F.lit(low) + below(_draws(seed, "volumen", user), 0, high - low + 1)
-    rows = ids.select("id").withColumns(_person(user, seed, as_of)).withColumn(
+    rows = dealt(ids.select("id")).withColumns(_person(user, seed, as_of)).withColumn(
         "_t", F.explode(F.sequence(F.lit(1), size.cast("int")))
     )
     rows = rows.withColumns({

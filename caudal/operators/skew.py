@@ -64,3 +64,10 @@ def spread_left_join(
     copies = F.when(heavy, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     salted_right = right.withColumn("_salt", F.explode(copies))
     return salted_left.join(salted_right, [*on, "_salt"], "left").drop("_salt")
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """The rows in as many parts as a shuffle has, and no fewer than there are cores: for small rows, from few files or parts, of
+    which each is much work or becomes many rows."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))

@@ -87,3 +87,13 @@ def test_written_tables_run_through(spark, tmp_path):
     answers = pipeline.run_all(spark, z, AS_OF)
     assert {a["statusCode"] for a in answers.values()} == {200}
     assert tables.load_all_gold(spark, z.gold)["usuarios"].where("edad between 18 and 75").count() == 40
+
+
+def test_one_part_of_ids_becomes_many_tasks(spark):
+    ids = spark.range(100).coalesce(1)
+    for made in (generate.generate_transactions(ids, AS_OF), generate.generate_accounts(ids, AS_OF)):
+        assert made.rdd.getNumPartitions() >= 4
+    gapped = generate.numbering(spark.range(50).select((F.col("id") * 10).alias("id")))
+    assert "Window" not in gapped.table._jdf.queryExecution().optimizedPlan().toString()
+    made = generate.generate_transactions(ids, AS_OF, gapped)
+    assert "SortMergeJoin" not in made._jdf.queryExecution().sparkPlan().toString()

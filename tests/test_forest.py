@@ -28,6 +28,12 @@ def test_classes_weigh_the_same_in_each_bootstrap(spark):
     assert len({r["weight"] for r in found if r["y"] == 1}) > 1  # trees differ
 
 
+def test_draws_are_computed_once_for_the_weights(spark):
+    rows = spark.range(3000).select((F.col("id") % 2).alias("y"), forest.draws(F.col("id"), 9, 1).alias("draws"))
+    plan = forest.class_weights(rows, "y")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate ") == 1 and "size(" not in plan
+
+
 @pytest.fixture(scope="module")
 def decision_list(spark, tmp_path_factory):
     """One yes-no feature a group, classes in turn: a tree can only take away one group at a time."""

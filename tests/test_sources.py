@@ -54,6 +54,17 @@ def test_records_over_lines_are_read_in_splits(spark, tmp_path, small_splits, en
     assert lines.rdd.getNumPartitions() > 10 and csv_records._starts(lines).count() > 5
 
 
+def test_records_of_a_large_file_do_not_meet_in_one_task(spark, tmp_path):
+    written(tmp_path / "in", "one.csv", ["1,2,3", '4,"5\n5",6'])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    got = tables.read_raw(spark, str(tmp_path / "in"), multi_line=True)
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    found = rows_of(got)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in plan and found == [("1", "2", "3"), ("4", "5\n5", "6")]
+
+
 def test_unreadable_records_and_their_files(spark, tmp_path):
     written(tmp_path / "in", "one.csv", ["1,2,3", "4,5", '6,"7\n7",8', "", "9,9,9,9"])
     got = tables.read_raw(spark, str(tmp_path / "in"), corrupt_column=True, multi_line=True, file_column="f")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from caudal import schemas
 from caudal.operators import entities, model, scoring
 from caudal.plans import sample_bank, sample_queries, training
-from caudal.sources import registry, tables
+from caudal.sources import folders, registry, tables
 from caudal.streaming import ingest, scoring as stream
 
 
@@ -256,3 +256,10 @@ def test_a_version_saved_during_a_stream_is_taken_up(spark, fitted, tmp_path, mo
     got = run("out").where("status = 200").collect()
     assert sorted(r.version for r in got) == ["v000001", "v000002", "v000002"]
     assert used == ["reference", "corrected", "corrected"]
+
+
+def test_a_query_builds_the_zones_it_returns(spark, sf, monkeypatch):
+    monkeypatch.setattr(sample_queries, "_shared", {})
+    assert sample_queries.QUERIES["s3_silver_destinatarios"](spark, sf).count() > 0
+    z, _ = sample_queries._zone_paths(spark, sf)
+    assert folders.children(spark, z.silver) == ["destinatarios"] == folders.children(spark, z.bronze)

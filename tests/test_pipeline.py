@@ -183,3 +183,39 @@ def test_line_breaks_in_quotes_reach_gold(spark, zones):
     path = put(zones, "prestamos", LOANS.replace('"", otra"', '"",\n otra"'))
     assert pipeline.run_table(spark, "prestamos", path, zones, AS_OF, multi_line=True)["processed_rows"] == 3
     assert {r.loan_id for r in spark.read.parquet(zones.gold_path(path)).collect()} == {"l1", "l2", "l3"}
+
+
+def test_no_query_goes_on_without_a_table_that_failed(spark, tmp_path, monkeypatch):
+    """A failed table has no gold, which the next step would take for an empty one."""
+    from caudal.plans import sample_queries
+
+    customers = ["id as c_custkey", "id % 25 as c_nationkey", "cast(id as double) as c_acctbal"]
+    orders = ["id as o_orderkey", "id % 40 as o_custkey", "'O' as o_orderstatus", "cast(id as double) as o_totalprice", "date'1996-01-02' as o_orderdate"]
+    spark.range(40).selectExpr(*customers).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(80).selectExpr(*orders).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(5).selectExpr("id as s_suppkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.range(200).selectExpr(
+        "id % 80 as l_orderkey", "id as l_linenumber", "id % 5 as l_suppkey", "1.0d as l_extendedprice", "1.0d as l_quantity",
+        "date'1996-01-02' as l_shipdate").write.parquet(f"{tmp_path}/lineitem.parquet")
+    whole = entities.enrich
+
+    def broken(df, entity, *rest):
+        if entity == "transacciones":
+            raise OSError("no space left")
+        return whole(df, entity, *rest)
+
+    monkeypatch.setattr(entities, "enrich", broken)
+    for name in ("m10_support", "m9_predictions", "s6_load_all_gold"):
+        with pytest.raises(pipeline.RunFailed, match="transacciones.*no space left"):
+            sample_queries.QUERIES[name](spark, str(tmp_path))
+    log = sample_queries._zone_paths(spark, str(tmp_path))[1]
+    assert {r["entity"] for r in audit.read(spark, log).where("status = 'failed'").collect()} == {"transacciones"}
+
+
+def test_run_all_runs_every_table_and_tells_of_failures(spark, zones, tmp_path):
+    log = f"{tmp_path}/audit"
+    put(zones, "prestamos", LOANS)
+    with pytest.raises(pipeline.RunFailed, match="usuarios"):
+        pipeline.run_all(spark, zones, AS_OF, log)
+    status = {r["entity"]: r["status"] for r in audit.read(spark, log).collect()}
+    assert status == dict.fromkeys(schemas.ENTITIES, "failed") | {"prestamos": "ok"}

@@ -232,10 +232,16 @@ def quantised(df: DataFrame, scale: int, id_column: str = "vec_id", vector: str
     return whole.select("id", F.transform("x", lambda x: F.floor(x * scale).cast("bigint")).alias("terms"))
 
 
+def _by_shuffle(left: DataFrame, right: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """A join that sends neither side through the driver. Index, queries and thresholds all grow with the input, and stored
+    in few bytes they can pass for small enough to be broadcast."""
+    return left.hint("merge").join(right.hint("merge"), on, how)
+
+
 def _with_thresholds(queries: DataFrame, found: DataFrame, count: int) -> DataFrame:
     """A query that has found `count` vectors needs no lower score than the last of them."""
     last = found.groupBy("query").agg(F.count("*").alias("n"), F.min("score").alias("last")).where(F.col("n") >= count)
-    return queries.join(last.select("query", F.col("last").cast("double").alias("threshold")), "query", "left").fillna(
+    return _by_shuffle(queries, last.select("query", F.col("last").cast("double").alias("threshold")), "query", "left").fillna(
         float("-inf"), ["threshold"])
 
 
@@ -280,7 +286,7 @@ def exact_top_k(items: DataFrame, queries: DataFrame, k: int, skip_own: bool = T
             dealt = packs.withColumn("shard", home)
         else:
             dealt = packs.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where(F.col("shard") != home)
-        return dealt.join(index, "shard").mapInArrow(_search(count), FOUND)
+        return _by_shuffle(dealt, index, "shard").mapInArrow(_search(count), FOUND)
 
     found = stored(searched(asked.withColumn("threshold", F.lit(float("-inf"))), True), "topk-pilot")
     tables = [index, asked, found]
@@ -288,7 +294,7 @@ def exact_top_k(items: DataFrame, queries: DataFrame, k: int, skip_own: bool = T
         others = stored(searched(_with_thresholds(asked, found, count), False), "topk-others")
         tables.append(others)
         found = found.unionByName(others)
-    best = _best(found.join(asked.select("query", F.col("id").alias("query_id")), "query"), count)
+    best = _best(_by_shuffle(found, asked.select("query", F.col("id").alias("query_id")), "query"), count)
     if skip_own:
         own = F.min(F.when((F.col("vec_id") == F.col("query_id")) & (F.col("score") == F.col("own")), F.col("place")))
         best = best.withColumn("_own", F.coalesce(own.over(Window.partitionBy("query")), F.lit(count))).where(

@@ -88,3 +88,20 @@ def test_chunks_prune_exactly():
             for threshold in (-np.inf, -100, 0, 300, 800, float(exact.max()), float(exact.max()) + 1):
                 at, scores = chunk.scores(query.astype(np.float32), threshold)
                 assert sorted(zip(at.tolist(), scores.tolist())) == [(i, s) for i, s in enumerate(exact.tolist()) if s >= threshold]
+
+
+def test_no_table_is_sent_through_the_driver(spark, monkeypatch):
+    """Not even tables as small as these: index, queries and thresholds grow with the input."""
+    plans, write = {}, maxscore.stored
+
+    def recorded(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(maxscore, "stored", recorded)
+    monkeypatch.setattr(maxscore, "LEAST_ROWS", 8)
+    items = spark.range(40).selectExpr("id", "array(id % 7 - 3, id % 5, 1L) as terms")
+    assert maxscore.exact_top_k(items, items.where("id % 5 = 0"), 3).count() == 24
+    assert {"topk-pilot", "topk-others", "topk"} <= set(plans)
+    for name, plan in plans.items():
+        assert "Broadcast" not in plan, name

@@ -219,3 +219,11 @@ def test_run_all_runs_every_table_and_tells_of_failures(spark, zones, tmp_path):
         pipeline.run_all(spark, zones, AS_OF, log)
     status = {r["entity"]: r["status"] for r in audit.read(spark, log).collect()}
     assert status == dict.fromkeys(schemas.ENTITIES, "failed") | {"prestamos": "ok"}
+
+
+def test_runs_at_the_same_time_each_have_their_audit_row(spark, tmp_path):
+    from multiprocessing.pool import ThreadPool
+
+    with ThreadPool(5) as pool:
+        pool.map(lambda e: audit.append(spark, f"{tmp_path}/audit", entity=e, status="ok"), schemas.ENTITIES, 1)
+    assert {r["entity"] for r in audit.read(spark, f"{tmp_path}/audit").collect()} == set(schemas.ENTITIES)

@@ -98,3 +98,21 @@ def test_numbers_have_no_gaps(spark):
         mine = sorted((-r["x"], r["n"]) for r in numbered(df, [F.desc("x")], "n", ["g"]).where(F.col("g") == g).collect())
         assert [n for _, n in mine] == list(range(len(mine)))
     assert numbered(df.limit(0), ["x"]).count() == 0
+
+
+def test_draws_follow_the_numbers_of_the_digests(spark):
+    from caudal.operators.hashing import digest, whole
+
+    limits = forest.draw_limits()
+    words = F.array(*[whole(digest(F.col("id"), 3, f"bootstrap {t // 4}"), t % 4) for t in range(6)])
+    for r in spark.range(3000).select(words.alias("words"), forest.draws(F.col("id"), 6, 3).alias("draws")).collect():
+        assert r["draws"] == [sum(word >= limit for limit in limits) for word in r["words"]]
+
+
+def test_large_bootstraps_have_parts_by_their_rows(decision_list, monkeypatch):
+    """Not one for each file and core: each level joins the sums of all parts."""
+    monkeypatch.setattr(forest, "PART_ROWS", 300)
+    grow, seen = forest._grown, []
+    monkeypatch.setattr(forest, "_grown", lambda rows, *rest: seen.append(rows.rdd.getNumPartitions()) or grow(rows, *rest))
+    forest.fit(decision_list.repartition(6), "k", "y", trees=2, depth=2)
+    assert seen == [2, 2]

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from caudal.session import scratch_dir
+
 SALTS = 64              # pieces a heavy key is cut into
 MIN_SHARE = 0.002       # share of all rows from which a key counts as heavy
 MIN_ROWS = 1_000_000    # keys below this many rows never matter
@@ -68,6 +70,8 @@ def spread_left_join(
 
 def dealt(df: DataFrame) -> DataFrame:
     """The rows in as many parts as a shuffle has, and no fewer than there are cores: for small rows, from few files or parts, of
-    which each is much work or becomes many rows."""
+    which each is much work or becomes many rows. They are stored so, and what follows needs no shuffle."""
     spark = df.sparkSession
-    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
+    path = scratch_dir(spark, "dealt")
+    df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
